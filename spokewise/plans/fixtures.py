@@ -21,7 +21,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Tim
 from spokewise import schemas
 
 # fixed values: the data rules that make a row malformed in a fixture stage
-BAD_SECS = 3500
+BAD_SECS = 2500
 BAD_RULE_SQL = f"(usertype = 'error' AND tripduration > {BAD_SECS})"
 LONG_RULE_SQL = "(usertype = 'click' AND gender = 0)"
 SHORT_RULE_SQL = "(usertype = 'view' AND gender = 1)"

@@ -177,7 +177,8 @@ def copy_into(cat: Catalog, table_name: str, stage: str, schema: StructType | No
     parsed = parse_json_variant(spark, paths) if is_json else parse_csv(spark, paths, schema, fmt)
     seg = table.new_segment_path()
     parsed.write.partitionBy("_ok").parquet(seg)
-    staged = spark.read.parquet(seg)
+    # partition values come back as text; compare as text
+    staged = spark.read.parquet(seg).withColumn("_ok", F.col("_ok").cast("string") == F.lit("true"))
 
     stats = (staged.groupBy("_file")
              .agg(F.count(F.lit(1)).alias("row_parsed"),
