@@ -10,6 +10,6 @@ _LOADED = False
 def entries() -> dict[str, Entry]:
     global _LOADED
     if not _LOADED:
-        from spokewise.plans import q_analytics, q_sources, q_tables  # noqa: F401
+        from spokewise.plans import q_analytics, q_sources, q_streaming, q_tables  # noqa: F401
         _LOADED = True
     return dict(REGISTRY)

@@ -42,7 +42,8 @@ def distinct_days(trips: DataFrame, start: str, stop: str, ts: str = "starttime"
 
 def unload_json_by_day(trips: DataFrame, out_dir: str, start: str, stop: str,
                        keys: list[str] | None = None, ts: str = "starttime",
-                       compression: str = "gzip", partitions: int | None = None) -> None:
+                       compression: str = "gzip", partitions: int | None = None,
+                       mode: str = "errorifexists") -> None:
     """Write one JSON document per trip under ``out_dir/day=YYYY-MM-DD/``.
 
     Documents hold ``keys`` in order; NULL values are left out (T6) and
@@ -54,7 +55,7 @@ def unload_json_by_day(trips: DataFrame, out_dir: str, start: str, stop: str,
     ranged = (docs.repartitionByRange(partitions, "day", ts) if partitions
               else docs.repartitionByRange("day", ts))
     (ranged.sortWithinPartitions("day", ts)
-     .write.partitionBy("day")
+     .write.mode(mode).partitionBy("day")
      .option("timestampNTZFormat", JSON_TS_FORMAT)
      .option("ignoreNullFields", "true")
      .option("compression", compression)
