@@ -4,3 +4,19 @@ from pyspark.sql import functions as F
 
 def col(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
+
+
+def ntz_lit(value) -> Column:
+    """A TIMESTAMP_NTZ literal from text or a naive datetime, independent of any time zone.
+
+    ``F.lit(datetime)`` goes through the Python process zone and the
+    session zone; a text literal cast to NTZ goes through neither.
+    """
+    import datetime as _dt
+    if isinstance(value, Column):
+        return value.cast("timestamp_ntz")
+    if isinstance(value, _dt.datetime):
+        value = value.replace(tzinfo=None).isoformat(sep=" ")
+    elif isinstance(value, _dt.date):
+        value = value.isoformat() + " 00:00:00"
+    return F.lit(str(value)).cast("timestamp_ntz")

@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from spokewise.functions._util import col
+from spokewise.functions._util import col, ntz_lit
 
 _UNIT_ALIASES = {
     # fixed values: unit spellings accepted by the dialect's dateadd/datediff
@@ -115,4 +115,4 @@ def month_range(ts, month_start: str) -> Column:
     lo = _dt.datetime(d.year, d.month, 1)
     hi = _dt.datetime(nxt.year, nxt.month, 1)
     c = col(ts)
-    return (c >= F.lit(lo).cast("timestamp_ntz")) & (c < F.lit(hi).cast("timestamp_ntz"))
+    return (c >= ntz_lit(lo)) & (c < ntz_lit(hi))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spokewise.functions._util import ntz_lit
 from spokewise.functions import (
     asc_nulls_largest, cast_round, datediff_boundary, desc_nulls_largest, haversine,
     hour_floor, seconds_until,
@@ -101,7 +102,7 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def min_max_time(trips: DataFrame, now) -> DataFrame:
     """Earliest and latest start, and the smallest second distance from ``now``."""
-    now_c = F.lit(now).cast("timestamp_ntz")
+    now_c = ntz_lit(now)
     return trips.agg(F.min("starttime").alias("min_starttime"),
                      F.max("starttime").alias("max_starttime"),
                      F.min(seconds_until(now_c, F.col("stoptime"))).alias("min_seconds_from_now"))

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spokewise.functions import vget
+from spokewise.functions._util import ntz_lit
 
-_EPOCH_NTZ = F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
 
 
 def v_int(v: str, path: str, lenient: bool = False) -> Column:
@@ -34,7 +32,8 @@ def v_timestamp(v: str, path: str, lenient: bool = False) -> Column:
     text = vget(v, path, "string", True)
     num = vget(v, path, "double", True)
     from_text = text.try_cast("timestamp_ntz")
-    from_num = F.timestamp_add("MICROSECOND", F.round(num * F.lit(1_000_000)).cast("bigint"), _EPOCH_NTZ)
+    from_num = F.timestamp_add("MICROSECOND", F.round(num * F.lit(1_000_000)).cast("bigint"),
+                                ntz_lit("1970-01-01 00:00:00"))
     ts = F.coalesce(from_text, from_num)
     if lenient:
         return ts

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
 from spokewise import schemas
+from spokewise.functions._util import ntz_lit
 from spokewise.sources.formats import CsvFormat
 from spokewise.sources.stage import file_paths, list_stage
 from spokewise.sources.tables import VersionedTable, has_data_files
@@ -213,7 +214,7 @@ def copy_into(cat: Catalog, table_name: str, stage: str, schema: StructType | No
         F.lit(table_name).alias("table_name"),
         F.regexp_extract("_file", r"^(.*/)[^/]*$", 1).alias("stage_location"),
         F.regexp_extract("_file", r"([^/]*)$", 1).alias("file_name"),
-        (F.lit(now).cast("timestamp_ntz") if now is not None
+        (ntz_lit(now) if now is not None
          else F.localtimestamp()).alias("last_load_time"),
         "row_parsed", loaded.cast("long").alias("row_count"), "error_count", "first_error",
         status.alias("status"), F.lit(gen).cast("long").alias("generation"),

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spokewise import schemas
-from spokewise.functions._util import col
+from spokewise.functions._util import col, ntz_lit
 from spokewise.functions.jsonfn import JSON_TS_FORMAT
 
 
@@ -29,7 +29,7 @@ def day_range(ts, start: str, stop: str) -> Column:
     lo = _dt.datetime.fromisoformat(start[:10])
     hi = _dt.datetime.fromisoformat(stop[:10]) + _dt.timedelta(days=1)
     c = col(ts)
-    return (c >= F.lit(lo).cast("timestamp_ntz")) & (c < F.lit(hi).cast("timestamp_ntz"))
+    return (c >= ntz_lit(lo)) & (c < ntz_lit(hi))
 
 
 def distinct_days(trips: DataFrame, start: str, stop: str, ts: str = "starttime") -> DataFrame:

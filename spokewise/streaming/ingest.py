@@ -19,6 +19,7 @@ from pyspark.sql.types import (
 )
 
 from spokewise import schemas
+from spokewise.functions._util import ntz_lit
 from spokewise.sources.formats import CsvFormat
 from spokewise.sources.loader import CORRUPT, validate
 
@@ -36,7 +37,7 @@ RAW_JSON_SCHEMA = StructType([
 
 def _load_time(load_time) -> "F.Column":
     if load_time is not None:
-        return F.lit(load_time).cast("timestamp_ntz")
+        return ntz_lit(load_time)
     return F.current_timestamp().cast("timestamp_ntz")
 
 

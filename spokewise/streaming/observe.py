@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spokewise.functions import dateadd, seconds_until
+from spokewise.functions._util import ntz_lit
 from spokewise.sources.stage import list_stage
 from spokewise.sources.tables import has_data_files
 from spokewise.streaming.consumers import (
@@ -22,7 +23,7 @@ from spokewise.streaming.ingest import RAW_JSON_SCHEMA, pipe_history, read_raw
 
 
 def _ts(now):
-    return F.lit(now).cast("timestamp_ntz")
+    return ntz_lit(now)
 
 
 def peek(spark: SparkSession, consumer: Consumer, raw_path: str) -> DataFrame:
