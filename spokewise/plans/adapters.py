@@ -104,8 +104,8 @@ V_TRIPS_STREAM_SQL = (
 
 # ---------------------------------------------------------------- weather
 
-def weather_doc(events: DataFrame) -> DataFrame:
-    """One JSON weather document per event (FIXTURES.md §1.5), as text column ``doc``.
+def weather_fields(events: DataFrame) -> DataFrame:
+    """The top-level fields of one weather document per event (FIXTURES.md §1.5), plus ``day``.
 
     Every event is an observation, so several observations share an hour
     and the hour join fans out (trap T22).
@@ -133,14 +133,53 @@ def weather_doc(events: DataFrame) -> DataFrame:
         ).alias("weather"),
         F.struct(F.col("value").alias("deg"), (F.col("value") / F.lit(20.0)).alias("speed")).alias("wind"),
     )
-    return events.select(F.to_json(doc, JSON_OPTIONS).alias("doc"))
+    return events.select(doc.alias("d"), F.date_format(F.to_date("ts"), "yyyy-MM-dd").alias("day")) \
+        .select("d.*", "day")
 
 
-def json_weather_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``json_weather_data (v variant)`` derived from events."""
+WEATHER_KEYS = ["time", "city", "clouds", "main", "weather", "wind"]
+
+
+def weather_doc(events: DataFrame) -> DataFrame:
+    """One JSON weather document per event, as text column ``doc``."""
+    f = weather_fields(events)
+    return f.select(F.to_json(F.struct(*WEATHER_KEYS), JSON_OPTIONS).alias("doc"))
+
+
+def json_weather_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather documents parsed in place from events (no storage); for tests."""
     return weather_doc(table(spark, sf_dir, "events")).select(F.parse_json("doc").alias("v"))
 
 
+_WEATHER_TABLES: dict = {}
+
+
+def json_weather_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``json_weather_data (v variant)``: weather JSON files staged from events and loaded.
+
+    As in the reference, the documents are loaded once into a table with
+    one VARIANT column, and views read the stored binary variant. Loaded
+    once per application and data folder.
+    """
+    from pyspark.sql.types import StructField, StructType, VariantType
+
+    from spokewise.plans.fixtures import write_weather_json
+    from spokewise.session import new_workdir
+    from spokewise.sources import loader
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    t = _WEATHER_TABLES.get(key)
+    if t is None or not t.exists():
+        root = new_workdir(spark, "weather")
+        write_weather_json(weather_fields(table(spark, sf_dir, "events")), f"{root}/stage")
+        cat = loader.Catalog(spark, f"{root}/db")
+        t = cat.table("json_weather_data")
+        t.create_empty(StructType([StructField("v", VariantType(), True)]), "create table json_weather_data")
+        loader.copy_into(cat, "json_weather_data", f"{root}/stage", None, "json", on_error="abort")
+        _WEATHER_TABLES[key] = t
+    return t.read()
+
+
 # What the weather view must return, computed straight from events (oracle side).
 V_WEATHER_SQL = (
     "v_weather AS (SELECT "
@@ -168,5 +207,5 @@ def with_ctes(*ctes: str) -> str:
 
 
 __all__ = ["schemas", "table", "v_trips", "trips_from_events", "trips_stream_from_trips",
-           "json_weather_data", "weather_doc", "V_TRIPS_SQL", "V_TRIPS_STREAM_SQL",
+           "json_weather_data", "json_weather_inline", "weather_doc", "V_TRIPS_SQL", "V_TRIPS_STREAM_SQL",
            "V_WEATHER_SQL", "with_ctes"]

@@ -101,14 +101,10 @@ def write_trips_json(trips: DataFrame, path: str, malformed: bool = False) -> No
     lines.write.partitionBy("day").option("compression", "none").text(path)
 
 
-def write_weather_json(docs: DataFrame, path: str) -> None:
-    """Weather documents (column ``doc``) as ``.json`` files."""
-    v = F.parse_json("doc")
-    day = F.date_format(F.to_date(F.variant_get(v, "$.time", "string").cast("timestamp_ntz")), "yyyy-MM-dd")
-    (docs.select(day.alias("day"), F.col("doc").alias("line"))
-     .write.partitionBy("day")
-     .option("sep", "\u0001").option("quote", "\u0002").option("escapeQuotes", "false")
-     .option("compression", "none").csv(path))
+def write_weather_json(fields: DataFrame, path: str) -> None:
+    """Weather documents as ``day=.../part-*.json`` files (columns = top-level keys, plus ``day``)."""
+    from spokewise.functions.jsonfn import JSON_OPTIONS
+    fields.write.partitionBy("day").options(**JSON_OPTIONS).option("compression", "none").json(path)
 
 
 __all__ = ["BAD_RULE_SQL", "LONG_RULE_SQL", "SHORT_RULE_SQL", "csv_lines", "write_lines",

@@ -15,6 +15,7 @@ appending it twice. The station merge only reads target partitions
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -25,6 +26,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from spokewise import schemas
 from spokewise.operators.merge import STATION_COLS, merge_insert_only, stations_union
 from spokewise.operators.semistructured import trip_fields, v_double, v_int, v_string
+from spokewise.sources import fsio
 from spokewise.sources.tables import has_data_files
 from spokewise.streaming.ingest import DEFAULT_TRIGGER, RAW_JSON_SCHEMA
 
@@ -64,6 +66,21 @@ RUN_LOG_SCHEMA = StructType(list(schemas.RUN_LOG.fields) + [StructField("run", L
                                                              StructField("rows_in", LongType(), True)])
 
 
+def _run_row(name, batch_id, scheduled, completed, state, rows, run) -> str:
+    def t(x):
+        return None if x is None else x.isoformat(sep=" ")
+    return json.dumps({"name": name, "batch_id": batch_id, "scheduled_time": t(scheduled),
+                       "completed_time": t(completed), "state": state,
+                       "rows": None if rows is None else int(rows), "run": run,
+                       "rows_in": None if rows is None else int(rows)})
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """Run-log files (JSON, one row each) as a DataFrame."""
+    return spark.read.schema(RUN_LOG_SCHEMA).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]") \
+        .json(path)
+
+
 def run_log_path(state_root: str) -> str:
     return f"{state_root}/runlog"
 
@@ -105,16 +122,13 @@ def run_consumer(spark: SparkSession, consumer: Consumer, raw_path: str, handler
         rows_in = (spark.read.parquet(f"{consumer.files_log}/batch_id={batch_id}")
                    .agg(F.sum("rows")).first()[0] or 0)
         done = clock.now()
-        log = spark.createDataFrame(
-            [(consumer.name, batch_id, scheduled, done, "SUCCEEDED", int(rows_in), run, int(rows_in))],
-            RUN_LOG_SCHEMA)
-        (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("name", "batch_id").parquet(run_log_path(state)))
-        nxt = spark.createDataFrame(
-            [(consumer.name, batch_id, scheduled + interval, None, "SCHEDULED", None, run, None)],
-            RUN_LOG_SCHEMA)
-        (nxt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("name").parquet(next_run_path(state)))
+        # one small file per (task, batch), overwritten on replay: idempotent
+        fsio.write_text(spark, f"{run_log_path(state)}/{consumer.name}-{batch_id:012d}.json",
+                        _run_row(consumer.name, batch_id, scheduled, done, "SUCCEEDED", rows_in, run),
+                        overwrite=True)
+        fsio.write_text(spark, f"{next_run_path(state)}/{consumer.name}.json",
+                        _run_row(consumer.name, batch_id, scheduled + interval, None, "SCHEDULED", None, run),
+                        overwrite=True)
         batches.append(batch_id)
 
     w = (change_stream(spark, raw_path, raw_schema).writeStream

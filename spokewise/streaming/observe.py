@@ -17,7 +17,7 @@ from spokewise.functions._util import ntz_lit
 from spokewise.sources.stage import list_stage
 from spokewise.sources.tables import has_data_files
 from spokewise.streaming.consumers import (
-    RUN_LOG_SCHEMA, Consumer, next_run_path, run_log_path,
+    RUN_LOG_SCHEMA, Consumer, next_run_path, read_run_log, run_log_path,
 )
 from spokewise.streaming.ingest import RAW_JSON_SCHEMA, pipe_history, read_raw
 
@@ -71,7 +71,7 @@ def purge_candidates(spark: SparkSession, raw_path: str, table_name: str, landin
 def run_history(spark: SparkSession, state_root: str) -> DataFrame:
     """``task_history()``: executed runs plus the next scheduled run of each task."""
     cols = [f.name for f in RUN_LOG_SCHEMA.fields]
-    parts = [spark.read.schema(RUN_LOG_SCHEMA).parquet(p).select(*cols)
+    parts = [read_run_log(spark, p).select(*cols)
              for p in (run_log_path(state_root), next_run_path(state_root)) if has_data_files(spark, p)]
     if not parts:
         return spark.createDataFrame([], RUN_LOG_SCHEMA)
