@@ -86,10 +86,12 @@ def run_flow(spark, sf) -> Flow:
         ig.run_pipe_once(src, f.raw, pipe_ckpt)
 
     def consume(run, at):
-        n1 = cs.run_consumer(spark, f.trips_consumer, f.raw, cs.push_trips_handler(f.bike_trips),
-                             clock=cs.Clock(at), run=run)
-        n2 = cs.run_consumer(spark, f.stations_consumer, f.raw,
-                             cs.push_stations_handler(spark, f.bike_stations), clock=cs.Clock(at), run=run)
+        # the two tasks are independent streams on the same table: run them side by side
+        q1 = cs.start_consumer(spark, f.trips_consumer, f.raw, cs.push_trips_handler(f.bike_trips),
+                               clock=cs.Clock(at), run=run)
+        q2 = cs.start_consumer(spark, f.stations_consumer, f.raw,
+                               cs.push_stations_handler(spark, f.bike_stations), clock=cs.Clock(at), run=run)
+        n1, n2 = cs.await_all(q1, q2)
         return {"push_trips": n1, "push_stations": n2}
 
     unload_json_by_day(trips, f.landing, "1900-01-01", SPLIT_DAY)

@@ -27,6 +27,18 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (~100 TB inputs); the library never sets them itself.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.shuffle.partitions": "32000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def build_session(master: str = "local[8]", app: str = "spokewise",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     """Local builder used by tests, bench and tools (a cluster passes its own session)."""

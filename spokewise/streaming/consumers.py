@@ -101,18 +101,18 @@ def change_stream(spark: SparkSession, raw_path: str, raw_schema: StructType = R
             .where(F.col("_ok") == F.lit("true")))
 
 
-def run_consumer(spark: SparkSession, consumer: Consumer, raw_path: str, handler: Handler,
-                 clock: Clock | None = None, run: int = 0, available_now: bool = True,
-                 trigger: str = DEFAULT_TRIGGER, interval: _dt.timedelta = _dt.timedelta(minutes=1),
-                 raw_schema: StructType = RAW_JSON_SCHEMA) -> int:
-    """Start one consumer; returns the number of micro-batches it ran.
+def start_consumer(spark: SparkSession, consumer: Consumer, raw_path: str, handler: Handler,
+                   clock: Clock | None = None, run: int = 0, available_now: bool = True,
+                   trigger: str = DEFAULT_TRIGGER, interval: _dt.timedelta = _dt.timedelta(minutes=1),
+                   raw_schema: StructType = RAW_JSON_SCHEMA):
+    """Start one consumer; returns ``(query, batches)`` where ``batches`` fills as batches run.
 
     Per batch: the handler writes its output partition, then the files the
     batch consumed are logged (for peeking) and a run-log row is written.
     """
     clock = clock or Clock()
     state = consumer.state_root
-    batches = []
+    batches: list[int] = []
 
     def process(df: DataFrame, batch_id: int) -> None:
         scheduled = clock.now()
@@ -132,14 +132,31 @@ def run_consumer(spark: SparkSession, consumer: Consumer, raw_path: str, handler
         batches.append(batch_id)
 
     w = (change_stream(spark, raw_path, raw_schema).writeStream
+         .queryName(f"{consumer.name}_{run}")
          .foreachBatch(process).option("checkpointLocation", consumer.checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
-    q = w.start()
-    if available_now:
+    return w.start(), batches
+
+
+def await_all(*started) -> list[int]:
+    """Wait for ``availableNow`` consumers started together; returns batches run by each."""
+    out = []
+    for q, batches in started:
         q.awaitTermination()
         if q.exception():
             raise q.exception()
-    return len(batches)
+        out.append(len(batches))
+    return out
+
+
+def run_consumer(spark: SparkSession, consumer: Consumer, raw_path: str, handler: Handler,
+                 **kw) -> int:
+    """Run one consumer over everything committed now; returns the number of micro-batches."""
+    kw.setdefault("available_now", True)
+    q, batches = start_consumer(spark, consumer, raw_path, handler, **kw)
+    if not kw["available_now"]:
+        return 0
+    return await_all((q, batches))[0]
 
 
 # ------------------------------------------------------------------ the two tasks

@@ -51,8 +51,12 @@ def pending_files(spark: SparkSession, landing: str, raw_path: str, pattern: str
 
 def load_history(spark: SparkSession, raw_path: str, table_name: str, now, hours: int = 1) -> DataFrame:
     """``copy_history(table_name, start_time => dateadd(hour, -hours, now))`` (T-13)."""
-    h = pipe_history(read_raw(spark, raw_path, include_rejects=True), table_name)
-    return h.where(F.col("last_load_time") >= dateadd("hour", -hours, _ts(now)))
+    # All rows of a file carry the load time of their micro-batch, so filtering rows
+    # before grouping is the same as filtering files after it - and it reaches the
+    # Parquet scan, where row groups older than the window are skipped by their stats.
+    since = dateadd("hour", -hours, _ts(now))
+    raw = read_raw(spark, raw_path, include_rejects=True).where(F.col("_load_time") >= since)
+    return pipe_history(raw, table_name)
 
 
 def purge_candidates(spark: SparkSession, raw_path: str, table_name: str, landing: str, now,
