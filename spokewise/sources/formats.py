@@ -48,12 +48,15 @@ class CsvFormat:
         if self.empty_field_as_null or "" in self.null_if:
             opts["nullValue"] = ""
         nulls = [n for n in self.null_if if n != ""]
-        if len(nulls) == 1:
+        if len(nulls) == 1 and not (self.empty_field_as_null or "" in self.null_if):
             opts["nullValue"] = nulls[0]
-        elif len(nulls) > 1:
-            raise ValueError("Spark's CSV reader takes one NULL token; map the others after the read")
         return opts
 
+    def extra_null_tokens(self) -> tuple[str, ...]:
+        """NULL tokens the reader's single ``nullValue`` cannot express; mapped after the read."""
+        opts = self.reader_options()
+        return tuple(n for n in self.null_if if n != "" and n != opts.get("nullValue"))
+
 
 # fixed values: the three formats the reference declares
 FORMAT_A = CsvFormat(delimiter=",", quote='"', error_on_column_count_mismatch=False,

@@ -94,24 +94,31 @@ class LoadReport:
 
 # ------------------------------------------------------------------ parsing
 
-def _typed(tok: Column, dtype) -> Column:
+def _typed(tok: Column, dtype, timestamp_formats: tuple[str, ...] = ()) -> Column:
     if isinstance(dtype, TimestampNTZType):
-        return tok.try_cast("timestamp_ntz")
+        # ISO text first ("AUTO"), then each listed pattern
+        alts = [tok.try_cast("timestamp_ntz")]
+        alts += [F.try_to_timestamp(tok, F.lit(fmt)).cast("timestamp_ntz") for fmt in timestamp_formats]
+        return F.coalesce(*alts) if len(alts) > 1 else alts[0]
     return tok.try_cast(dtype)
 
 
-def validate(raw: DataFrame, schema: StructType, strict_columns: bool) -> DataFrame:
+def validate(raw: DataFrame, schema: StructType, strict_columns: bool,
+             null_tokens: tuple[str, ...] = (), timestamp_formats: tuple[str, ...] = ()) -> DataFrame:
     """Typed columns plus ``_ok``/``_error`` from an all-STRING parse.
 
     An empty unquoted field already arrives as NULL and is not an error;
     a non-NULL token that does not cast is.
     """
+    if null_tokens:
+        raw = raw.select(*[F.when(F.col(c).isin(*null_tokens), F.lit(None)).otherwise(F.col(c)).alias(c)
+                           if c in schema.fieldNames() else F.col(c) for c in raw.columns], "_metadata")
     typed, errs = [], []
     if strict_columns:
         errs.append(F.when(F.col(CORRUPT).isNotNull(), F.lit("column count mismatch")))
     for f in schema.fields:
         tok = F.col(f.name)
-        t = _typed(tok, f.dataType)
+        t = _typed(tok, f.dataType, timestamp_formats)
         typed.append(t.alias(f.name))
         errs.append(F.when(tok.isNotNull() & t.isNull(),
                            F.concat(F.lit(f"cannot convert '{f.name}': "), tok)))
@@ -129,7 +136,8 @@ def parse_csv(spark: SparkSession, paths: list[str], schema: StructType, fmt: Cs
     read_schema = StructType(list(schemas.all_string(schema).fields) + [StructField(CORRUPT, StringType())])
     raw = (spark.read.schema(read_schema).options(**fmt.reader_options())
            .option("columnNameOfCorruptRecord", CORRUPT).csv(paths))
-    return validate(raw, schema, fmt.error_on_column_count_mismatch)
+    return validate(raw, schema, fmt.error_on_column_count_mismatch, fmt.extra_null_tokens(),
+                    fmt.timestamp_formats)
 
 
 def parse_json_variant(spark: SparkSession, paths: list[str]) -> DataFrame:

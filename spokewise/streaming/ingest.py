@@ -66,7 +66,8 @@ def csv_source(spark: SparkSession, landing: str, schema: StructType, fmt: CsvFo
          .option("columnNameOfCorruptRecord", CORRUPT))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    parsed = validate(r.csv(landing), schema, fmt.error_on_column_count_mismatch)
+    parsed = validate(r.csv(landing), schema, fmt.error_on_column_count_mismatch,
+                      fmt.extra_null_tokens(), fmt.timestamp_formats)
     return parsed.withColumn("_load_time", _load_time(load_time))
 
 

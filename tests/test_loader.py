@@ -139,3 +139,24 @@ def test_narrow_table_by_position(spark, workdir):
     cat = loader.Catalog(spark, f"{workdir}/db")
     loader.copy_into(cat, "t", stage, narrow, TOLERANT, on_error="continue")
     assert rows(cat.table("t").read()) == [(1, "a")]
+
+
+def test_null_tokens_and_timestamp_formats(spark, workdir):
+    stage = f"{workdir}/stage"
+    write(stage, "a.csv", ["1,NULL,1/2/2018 13:05", "2,n/a,2018-01-03 00:00:00", "3,x,"])
+    fmt = CsvFormat(null_if=("", "NULL", "n/a"), timestamp_formats=("M/d/yyyy H:mm",))
+    cat = loader.Catalog(spark, f"{workdir}/db")
+    rep = loader.copy_into(cat, "t", stage, SCHEMA, fmt, on_error="abort")
+    import datetime as dt
+    assert rep.rows_rejected == 0
+    assert rows(cat.table("t").read()) == [(1, None, dt.datetime(2018, 1, 2, 13, 5)),
+                                          (2, None, dt.datetime(2018, 1, 3)), (3, "x", None)]
+
+
+def test_plain_csv_format_has_no_quotes(spark, workdir):
+    from spokewise.sources.formats import FORMAT_C
+    stage = f"{workdir}/stage"
+    write(stage, "a.csv", ['1,"a",'])
+    cat = loader.Catalog(spark, f"{workdir}/db")
+    loader.copy_into(cat, "t", stage, SCHEMA, FORMAT_C, on_error="abort")
+    assert rows(cat.table("t").read())[0][1] == '"a"'

@@ -83,3 +83,33 @@ def test_csv_pipe_rejects(spark, workdir):
     ig.run_pipe_once(src, f"{workdir}/raw", f"{workdir}/ck")
     raw = spark.read.parquet(f"{workdir}/raw")
     assert raw.where("_ok = 'true'").count() == 1 and raw.where("_ok = 'false'").count() == 2
+
+
+def test_purge_by_clean_source_and_candidates(spark, workdir):
+    import os
+    trips = v_trips(spark, SF_SMALL)
+    landing, raw, ck, arch = f"{workdir}/landing", f"{workdir}/raw", f"{workdir}/ck", f"{workdir}/archive"
+    unload_json_by_day(trips, landing, "2024-01-01", "2024-01-05", partitions=4)
+    before = ob.pending_files(spark, landing, raw).count()
+    ig.run_pipe_once(ig.json_source(spark, landing, load_time="2024-02-01 10:00:00"), raw, ck)
+    cands = ob.purge_candidates(spark, raw, "trips_raw", landing, "2024-02-01 12:00:00", hours=10)
+    assert cands.count() == before
+    assert ob.purge_candidates(spark, raw, "trips_raw", landing, "2024-02-01 23:00:00", hours=10).count() == 0
+    # removal: the source archives what it has committed (one batch behind)
+    unload_json_by_day(trips, landing, "2024-01-06", "2024-01-08", mode="append")
+    for _ in range(2):
+        ig.run_pipe_once(ig.json_source(spark, landing, clean_source="archive", archive_dir=arch), raw, ck)
+    archived = [f for _, _, fs in os.walk(arch) for f in fs if f.startswith("part-")]
+    assert len(archived) >= before
+
+
+def test_scheduled_trigger_starts_and_stops(spark, workdir):
+    trips = v_trips(spark, SF_SMALL)
+    landing = f"{workdir}/landing"
+    unload_json_by_day(trips, landing, "2024-01-01", "2024-01-02")
+    q = ig.start_pipe(ig.json_source(spark, landing), f"{workdir}/raw", f"{workdir}/ck")
+    try:
+        q.processAllAvailable()
+        assert ig.read_raw(spark, f"{workdir}/raw").count() > 0
+    finally:
+        q.stop()
