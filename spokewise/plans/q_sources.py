@@ -9,6 +9,7 @@ expected table straight from the Parquet tables.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from spokewise import schemas
 from spokewise.plans import fixtures as fx
@@ -153,8 +154,9 @@ _VARIANT_SCHEMA = _variant_schema()
 
 
 @register("stage_listing", ids="S9", oracle=TRIPS + """
-SELECT DISTINCT strftime(CAST(starttime AS DATE), '%Y-%m-%d') AS day, k.file_type
-FROM v_trips, (VALUES ('csv.gz'), ('json.gz')) k(file_type)""")
+SELECT DISTINCT strftime(CAST(starttime AS DATE), '%Y-%m-%d') AS day, 'csv.gz' AS file_type FROM v_trips
+UNION ALL
+SELECT DISTINCT strftime(CAST(starttime AS DATE), '%Y-%m-%d') AS day, 'json.gz' AS file_type FROM v_trips""")
 def q_stage_listing(spark, sf):
     root = new_workdir(spark, "listing")
     stage = _csv_stage(spark, sf, root, header=True)
@@ -329,8 +331,8 @@ def q_ctas_replace(spark, sf):
     root = new_workdir(spark, "ctas")
     t = VersionedTable(spark, f"{root}/station_rides", "station_rides")
     trips = v_trips(spark, sf)
-    t.create(trips.select(F.col("start_station_name").alias("station")).limit(0)
-             .withColumn("rides", F.lit(0).cast("long")))
+    t.create_empty(StructType([StructField("station", StringType()), StructField("rides", LongType())]),
+                   "create table station_rides (station string, rides bigint)")
     t.replace(trips.groupBy(F.col("start_station_name").alias("station"))
               .agg(F.count(F.lit(1)).alias("rides")),
               "create or replace table station_rides as (select ...)", op="create")
