@@ -144,7 +144,7 @@ SELECT CASE WHEN {LATE} THEN 2 ELSE 1 END AS run, count(*) AS rows_in FROM v_tri
 def q_change_stream(spark, sf):
     f = run_flow(spark, sf)
     h = ob.run_history(spark, f.state).where((F.col("name") == "push_trips") & (F.col("state") == "SUCCEEDED"))
-    return h.groupBy("run").agg(F.sum("rows_in").alias("rows_in"))
+    return h.groupBy(F.col("run").cast("int").alias("run")).agg(F.sum("rows_in").alias("rows_in"))
 
 
 @register("change_stream_two_consumers", ids="T-4", oracle=TRIPS + """

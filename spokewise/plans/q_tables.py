@@ -96,7 +96,7 @@ def q_update_all(spark, sf):
 
 
 @register("snapshot_log", ids="V1", oracle=TRIPS + """
-SELECT 0 AS version, 'create' AS op, count(*) AS row_count, count(DISTINCT start_station_name) AS stations FROM v_trips
+SELECT CAST(0 AS BIGINT) AS version, 'create' AS op, count(*) AS row_count, count(DISTINCT start_station_name) AS stations FROM v_trips
 UNION ALL SELECT 1, 'update', count(*), 1 FROM v_trips""")
 def q_snapshot_log(spark, sf):
     _, t = _trips_table(spark, sf, "log")
