@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import (
-    BooleanType, StringType, StructField, StructType, TimestampNTZType, VariantType,
+    BooleanType, LongType, StringType, StructField, StructType, TimestampNTZType, VariantType,
 )
 
 from spokewise import schemas
@@ -81,15 +81,85 @@ def start_pipe(source: DataFrame, raw_path: str, checkpoint: str, available_now:
     return w.start()
 
 
-def run_pipe_once(source: DataFrame, raw_path: str, checkpoint: str) -> int:
-    """Process every file present now, in as many micro-batches as the source allows."""
+def run_pipe_once(source: DataFrame, raw_path: str, checkpoint: str, ledger: bool = True) -> int:
+    """Process every file present now, in as many micro-batches as the source allows,
+    then bring the pipe's load ledger up to date."""
     q = start_pipe(source, raw_path, checkpoint, available_now=True)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+    if ledger:
+        update_pipe_ledger(source.sparkSession, raw_path, checkpoint)
     return sum(p.get("numInputRows", 0) for p in q.recentProgress)
 
 
+LEDGER_SOURCE_SCHEMA = StructType([
+    StructField("_error", StringType(), True),
+    StructField("_file", StringType(), True),
+    StructField("_load_time", TimestampNTZType(), True),
+    StructField("_ok", StringType(), True),
+])
+
+PIPE_LEDGER_SCHEMA = StructType([
+    StructField("_file", StringType(), True),
+    StructField("last_load_time", TimestampNTZType(), True),
+    StructField("row_parsed", LongType(), True),
+    StructField("row_count", LongType(), True),
+    StructField("error_count", LongType(), True),
+    StructField("first_error", StringType(), True),
+])
+
+
+def pipe_ledger_path(raw_path: str) -> str:
+    return raw_path.rstrip("/") + "_ledger"
+
+
+def _file_counts(rows: DataFrame) -> DataFrame:
+    ok = F.col("_ok") == F.lit("true")
+    return (rows.groupBy("_file")
+            .agg(F.max("_load_time").alias("last_load_time"),
+                 F.count(F.lit(1)).alias("row_parsed"),
+                 F.sum(F.when(ok, 1).otherwise(0)).cast("long").alias("row_count"),
+                 F.sum(F.when(ok, 0).otherwise(1)).cast("long").alias("error_count"),
+                 F.min("_error").alias("first_error")))
+
+
+def update_pipe_ledger(spark: SparkSession, raw_path: str, pipe_checkpoint: str) -> None:
+    """Per-file load counts of the pipe, kept incrementally (copy_history, S12/T-13).
+
+    A change stream over the raw sink reads only the four bookkeeping
+    columns of newly committed raw files and writes one row per loaded file
+    and batch (``batch_id=N`` overwritten on replay). History, pending-file
+    and purge queries read this small table instead of scanning the raw rows.
+    """
+    out = pipe_ledger_path(raw_path)
+
+    def process(df: DataFrame, batch_id: int) -> None:
+        (_file_counts(df).withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(out))
+
+    q = (spark.readStream.schema(LEDGER_SOURCE_SCHEMA).parquet(raw_path).writeStream
+         .foreachBatch(process).option("checkpointLocation", pipe_checkpoint.rstrip("/") + "_ledger")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+
+
+def read_pipe_ledger(spark: SparkSession, raw_path: str) -> DataFrame:
+    """One row per loaded file (rows of a file are summed over ledger batches)."""
+    from spokewise.sources.fsio import has_data_files
+    path = pipe_ledger_path(raw_path)
+    if not has_data_files(spark, path):
+        return spark.createDataFrame([], PIPE_LEDGER_SCHEMA)
+    led = spark.read.schema(PIPE_LEDGER_SCHEMA).parquet(path)
+    return (led.groupBy("_file")
+            .agg(F.max("last_load_time").alias("last_load_time"), F.sum("row_parsed").alias("row_parsed"),
+                 F.sum("row_count").alias("row_count"), F.sum("error_count").alias("error_count"),
+                 F.min("first_error").alias("first_error")))
+
+
 def raw_schema_of(parsed_schema: StructType) -> StructType:
     """Schema of the raw sink as read back: the partition column comes back as text."""
     return StructType([StructField(f.name, StringType() if f.name == "_ok" else f.dataType, True)
@@ -104,18 +174,9 @@ def read_raw(spark: SparkSession, raw_path: str, schema: StructType = RAW_JSON_S
     return df if include_rejects else df.where(F.col("_ok") == F.lit("true"))
 
 
-def pipe_history(raw: DataFrame, table_name: str) -> DataFrame:
-    """copy_history of a pipe: one row per loaded file, from the raw rows.
-
-    ``raw`` must include the rejected rows. A partial + final aggregate by
-    file: each task ships one row per file it saw.
-    """
-    return (raw.groupBy("_file")
-            .agg(F.max("_load_time").alias("last_load_time"),
-                 F.count(F.lit(1)).alias("row_parsed"),
-                 F.sum(F.when(F.col("_ok") == "true", 1).otherwise(0)).cast("long").alias("row_count"),
-                 F.sum(F.when(F.col("_ok") == "true", 0).otherwise(1)).cast("long").alias("error_count"),
-                 F.min("_error").alias("first_error"))
+def pipe_history(per_file: DataFrame, table_name: str) -> DataFrame:
+    """copy_history of a pipe from per-file counts (``read_pipe_ledger``)."""
+    return (per_file
             .select(F.lit(table_name).alias("table_name"),
                     F.regexp_extract("_file", r"^(.*/)[^/]*$", 1).alias("stage_location"),
                     F.regexp_extract("_file", r"([^/]*)$", 1).alias("file_name"),
@@ -125,4 +186,5 @@ def pipe_history(raw: DataFrame, table_name: str) -> DataFrame:
 
 
 __all__ = ["BooleanType", "DEFAULT_TRIGGER", "RAW_JSON_SCHEMA", "csv_source", "json_source",
-           "pipe_history", "raw_schema_of", "read_raw", "run_pipe_once", "start_pipe"]
+           "pipe_history", "raw_schema_of", "read_pipe_ledger", "read_raw", "run_pipe_once",
+           "start_pipe", "update_pipe_ledger"]

@@ -19,7 +19,7 @@ from spokewise.sources.tables import has_data_files
 from spokewise.streaming.consumers import (
     RUN_LOG_SCHEMA, Consumer, next_run_path, read_run_log, run_log_path,
 )
-from spokewise.streaming.ingest import RAW_JSON_SCHEMA, pipe_history, read_raw
+from spokewise.streaming.ingest import RAW_JSON_SCHEMA, pipe_history, read_pipe_ledger, read_raw
 
 
 def _ts(now):
@@ -41,22 +41,20 @@ def peek(spark: SparkSession, consumer: Consumer, raw_path: str) -> DataFrame:
 
 
 def pending_files(spark: SparkSession, landing: str, raw_path: str, pattern: str | None = None) -> DataFrame:
-    """Files in the landing folder the pipe has not loaded yet (``pendingFileCount``)."""
+    """Files in the landing folder the pipe has not loaded yet (``pendingFileCount``).
+
+    The listing is anti-joined with the pipe's per-file ledger (one row per
+    file), not with the raw rows.
+    """
     listing = list_stage(spark, landing, pattern)
-    if not has_data_files(spark, raw_path):
-        return listing
-    loaded = read_raw(spark, raw_path, include_rejects=True).select(F.col("_file").alias("path")).distinct()
+    loaded = read_pipe_ledger(spark, raw_path).select(F.col("_file").alias("path"))
     return listing.join(loaded, "path", "left_anti")
 
 
 def load_history(spark: SparkSession, raw_path: str, table_name: str, now, hours: int = 1) -> DataFrame:
     """``copy_history(table_name, start_time => dateadd(hour, -hours, now))`` (T-13)."""
-    # All rows of a file carry the load time of their micro-batch, so filtering rows
-    # before grouping is the same as filtering files after it - and it reaches the
-    # Parquet scan, where row groups older than the window are skipped by their stats.
     since = dateadd("hour", -hours, _ts(now))
-    raw = read_raw(spark, raw_path, include_rejects=True).where(F.col("_load_time") >= since)
-    return pipe_history(raw, table_name)
+    return pipe_history(read_pipe_ledger(spark, raw_path), table_name).where(F.col("last_load_time") >= since)
 
 
 def purge_candidates(spark: SparkSession, raw_path: str, table_name: str, landing: str, now,
