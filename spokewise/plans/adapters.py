@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise import schemas
 from spokewise.functions.jsonfn import JSON_OPTIONS
 
 # fixed values: city ids and names of the weather documents
@@ -206,6 +205,6 @@ def with_ctes(*ctes: str) -> str:
     return "WITH " + ", ".join(ctes) + " "
 
 
-__all__ = ["schemas", "table", "v_trips", "trips_from_events", "trips_stream_from_trips",
+__all__ = ["table", "v_trips", "trips_from_events", "trips_stream_from_trips",
            "json_weather_data", "json_weather_inline", "weather_doc", "V_TRIPS_SQL", "V_TRIPS_STREAM_SQL",
            "V_WEATHER_SQL", "with_ctes"]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from spokewise import schemas
 from spokewise.operators import analytics as an
 from spokewise.operators.masking import (
     SIMPLE_MASK_INT, SIMPLE_MASK_STRING, TRIPS_STREAM_MASKS, apply_masks,
@@ -235,5 +234,3 @@ def q_masked_aggregate(spark, sf):
         out = g if out is None else out.unionByName(g)
     return out
 
-
-__all__ = ["schemas", "renamed_trips"]

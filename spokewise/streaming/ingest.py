@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import (
-    BooleanType, LongType, StringType, StructField, StructType, TimestampNTZType, VariantType,
+    LongType, StringType, StructField, StructType, TimestampNTZType, VariantType,
 )
 
 from spokewise import schemas
@@ -185,6 +185,6 @@ def pipe_history(per_file: DataFrame, table_name: str) -> DataFrame:
                     F.col("_file").alias("file_path")))
 
 
-__all__ = ["BooleanType", "DEFAULT_TRIGGER", "RAW_JSON_SCHEMA", "csv_source", "json_source",
+__all__ = ["DEFAULT_TRIGGER", "RAW_JSON_SCHEMA", "csv_source", "json_source",
            "pipe_history", "raw_schema_of", "read_pipe_ledger", "read_raw", "run_pipe_once",
            "start_pipe", "update_pipe_ledger"]

@@ -7,8 +7,6 @@ log. ``now`` is always an argument, so the views are reproducible.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -135,4 +133,4 @@ def one_row(metrics: list[DataFrame]) -> DataFrame:
 
 
 __all__ = ["RAW_JSON_SCHEMA", "load_history", "next_runs", "overview", "peek", "pending_files",
-           "purge_candidates", "recent_runs", "run_history", "_dt"]
+           "purge_candidates", "recent_runs", "run_history"]
