@@ -14,7 +14,9 @@
   by ``_ok``: ``_ok=true`` becomes table data, ``_ok=false`` the reject
   table, with no second parse;
 * a per-file ledger (rows parsed / loaded, errors, first error, status)
-  is aggregated from the staged Parquet and appended to the ledger;
+  is aggregated from the staged Parquet into a ledger segment that is
+  committed in the *same* table version as the data, so a file is marked
+  loaded exactly when its rows become visible;
 * ``on_error``: ``abort`` commits nothing when any row failed,
   ``continue`` commits the good rows, ``skip_file`` drops every row of a
   file that has an error (T18).
@@ -51,7 +53,7 @@ class LoadError(RuntimeError):
 # ------------------------------------------------------------------ catalog
 
 class Catalog:
-    """A folder of named versioned tables plus the shared load ledger."""
+    """A folder of named versioned tables; each table carries its own load ledger."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -63,18 +65,27 @@ class Catalog:
             self._tables[name] = VersionedTable(self.spark, f"{self.root}/{name}", name)
         return self._tables[name]
 
-    @property
-    def ledger(self) -> VersionedTable:
-        t = self.table("_load_ledger")
-        if not t.log():
-            t.create_empty(LEDGER_SCHEMA, "create load ledger")
-        return t
+    def table_names(self) -> list[str]:
+        from spokewise.sources import fsio
+        fs, p = fsio._fs(self.spark, self.root)
+        if not fs.exists(p):
+            return []
+        return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()
+                      and fsio.exists(self.spark, f"{self.root}/{s.getPath().getName()}/_log"))
+
+    def ledger_of(self, table: VersionedTable) -> DataFrame:
+        paths = table.ledger_segments()
+        if not paths:
+            return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        return self.spark.read.schema(LEDGER_SCHEMA).parquet(*paths)
 
     def load_history(self, table_name: str | None = None, start_time=None) -> DataFrame:
-        """``copy_history(table_name, start_time)`` (S12, T-13)."""
-        h = self.ledger.read()
-        if table_name is not None:
-            h = h.where(F.col("table_name") == F.lit(table_name))
+        """``copy_history(table_name, start_time)`` (S12, T-13); all tables when no name."""
+        names = [table_name] if table_name is not None else self.table_names()
+        parts = [self.ledger_of(self.table(n)) for n in names]
+        h = parts[0] if parts else self.spark.createDataFrame([], LEDGER_SCHEMA)
+        for p in parts[1:]:
+            h = h.unionByName(p)
         if start_time is not None:
             h = h.where(F.col("last_load_time") >= F.lit(start_time).cast("timestamp_ntz"))
         return h
@@ -157,8 +168,8 @@ def pending_listing(cat: Catalog, table: VersionedTable, stage: str, pattern: st
     if force:
         return listing
     gen = table.current().generation
-    done = (cat.ledger.read()
-            .where((F.col("table_name") == table.name) & (F.col("generation") == gen)
+    done = (cat.ledger_of(table)
+            .where((F.col("generation") == gen)
                    & F.col("status").isin(LOADED, PARTIAL))
             .select(F.col("file_path").alias("path")))
     return listing.join(done, "path", "left_anti")
@@ -227,7 +238,14 @@ def copy_into(cat: Catalog, table_name: str, stage: str, schema: StructType | No
         "row_parsed", loaded.cast("long").alias("row_count"), "error_count", "first_error",
         status.alias("status"), F.lit(gen).cast("long").alias("generation"),
         F.col("_file").alias("file_path"))
-    cat.ledger.append(ledger_rows, f"copy history of {table_name}", now)
+    ledger_seg = f"{table.root}/ledger-{seg.rsplit('seg-', 1)[-1]}"
+    ledger_rows.write.parquet(ledger_seg)
+
+    # one commit publishes the rows and marks their files loaded; an aborted
+    # load commits only its ledger rows (status LOAD_FAILED), no data
+    text = f"copy into {table_name} from {stage}"
+    table.append_segments(commit_segments, text, now, ledger=[ledger_seg],
+                          op="copy" if commit_segments else "copy failed")
 
     if rejects_table:
         rt = cat.table(rejects_table)
@@ -237,7 +255,6 @@ def copy_into(cat: Catalog, table_name: str, stage: str, schema: StructType | No
 
     if not commit_segments:
         raise LoadError(f"copy into {table_name} aborted: {bad} rejected rows; first error: {totals['err']}")
-    table.append_segments(commit_segments, f"copy into {table_name} from {stage}", now)
     return LoadReport(n_files, int(good), int(bad), "LOADED" if not bad else on_error.upper())
 
 
