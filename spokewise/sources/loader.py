@@ -200,15 +200,6 @@ def copy_into(cat: Catalog, table_name: str, stage: str, schema: StructType | No
     # partition values come back as text; compare as text
     staged = spark.read.parquet(seg).withColumn("_ok", F.col("_ok").cast("string") == F.lit("true"))
 
-    stats = (staged.groupBy("_file")
-             .agg(F.count(F.lit(1)).alias("row_parsed"),
-                  F.sum(F.col("_ok").cast("long")).alias("row_count"),
-                  F.sum((~F.col("_ok")).cast("long")).alias("error_count"),
-                  F.min("_error").alias("first_error")))
-    totals = stats.agg(F.count(F.lit(1)).alias("files"), F.sum("row_count").alias("good"),
-                       F.sum("error_count").alias("bad"), F.min("first_error").alias("err")).first()
-    n_files, good, bad = totals["files"], totals["good"] or 0, totals["bad"] or 0
-
     if on_error == "continue":
         status = F.when(F.col("error_count") == 0, LOADED).otherwise(PARTIAL)
         loaded = F.col("row_count")
@@ -216,31 +207,41 @@ def copy_into(cat: Catalog, table_name: str, stage: str, schema: StructType | No
         status = F.when(F.col("error_count") == 0, LOADED).otherwise(FAILED)
         loaded = F.when(F.col("error_count") == 0, F.col("row_count")).otherwise(F.lit(0))
 
+    # One pass over the staged rows: a partial + final aggregate by file, written as the
+    # ledger segment. Totals and the failed-file list are then read from that small segment.
+    gen = table.current().generation
+    ledger_rows = (staged.groupBy("_file")
+                   .agg(F.count(F.lit(1)).alias("row_parsed"),
+                        F.sum(F.col("_ok").cast("long")).alias("row_count"),
+                        F.sum((~F.col("_ok")).cast("long")).alias("error_count"),
+                        F.min("_error").alias("first_error"))
+                   .select(F.lit(table_name).alias("table_name"),
+                           F.regexp_extract("_file", r"^(.*/)[^/]*$", 1).alias("stage_location"),
+                           F.regexp_extract("_file", r"([^/]*)$", 1).alias("file_name"),
+                           (ntz_lit(now) if now is not None else F.localtimestamp()).alias("last_load_time"),
+                           "row_parsed", loaded.cast("long").alias("row_count"), "error_count",
+                           "first_error", status.alias("status"),
+                           F.lit(gen).cast("long").alias("generation"), F.col("_file").alias("file_path")))
+    ledger_seg = f"{table.root}/ledger-{seg.rsplit('seg-', 1)[-1]}"
+    ledger_rows.write.parquet(ledger_seg)
+    ledger = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_seg)
+    totals = ledger.agg(F.count(F.lit(1)).alias("files"), F.sum("row_parsed").alias("parsed"),
+                        F.sum("error_count").alias("bad"), F.min("first_error").alias("err")).first()
+    n_files, bad = totals["files"], totals["bad"] or 0
+    good = (totals["parsed"] or 0) - bad
+
     ok_seg, bad_seg = f"{seg}/_ok=true", f"{seg}/_ok=false"
     commit_segments = [ok_seg]
     if on_error == "abort" and bad:
         commit_segments = []
     elif on_error == "skip_file" and bad:
-        failed = stats.where(F.col("error_count") > 0).select("_file")
+        failed = ledger.where(F.col("error_count") > 0).select(F.col("file_path").alias("_file"))
         kept = spark.read.parquet(ok_seg).join(failed, "_file", "left_anti")
         new_seg = table.new_segment_path()
         kept.write.parquet(new_seg)
         commit_segments = [new_seg]
         good = spark.read.parquet(new_seg).count() if has_data_files(spark, new_seg) else 0
 
-    gen = table.current().generation
-    ledger_rows = stats.select(
-        F.lit(table_name).alias("table_name"),
-        F.regexp_extract("_file", r"^(.*/)[^/]*$", 1).alias("stage_location"),
-        F.regexp_extract("_file", r"([^/]*)$", 1).alias("file_name"),
-        (ntz_lit(now) if now is not None
-         else F.localtimestamp()).alias("last_load_time"),
-        "row_parsed", loaded.cast("long").alias("row_count"), "error_count", "first_error",
-        status.alias("status"), F.lit(gen).cast("long").alias("generation"),
-        F.col("_file").alias("file_path"))
-    ledger_seg = f"{table.root}/ledger-{seg.rsplit('seg-', 1)[-1]}"
-    ledger_rows.write.parquet(ledger_seg)
-
     # one commit publishes the rows and marks their files loaded; an aborted
     # load commits only its ledger rows (status LOAD_FAILED), no data
     text = f"copy into {table_name} from {stage}"
