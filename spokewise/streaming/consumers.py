@@ -95,16 +95,23 @@ def _overwrite_partition(df: DataFrame, path: str, batch_id: int) -> None:
      .partitionBy("batch_id").parquet(path))
 
 
-def change_stream(spark: SparkSession, raw_path: str, raw_schema: StructType = RAW_JSON_SCHEMA) -> DataFrame:
-    """``create stream s on table raw``: committed raw rows, good ones only."""
-    return (spark.readStream.schema(raw_schema).parquet(raw_path)
-            .where(F.col("_ok") == F.lit("true")))
+def change_stream(spark: SparkSession, raw_path: str, raw_schema: StructType = RAW_JSON_SCHEMA,
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """``create stream s on table raw``: committed raw rows, good ones only.
+
+    ``max_files_per_trigger`` bounds a micro-batch, so a consumer that starts
+    behind a large raw table catches up in bounded batches.
+    """
+    r = spark.readStream.schema(raw_schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(raw_path).where(F.col("_ok") == F.lit("true"))
 
 
 def start_consumer(spark: SparkSession, consumer: Consumer, raw_path: str, handler: Handler,
                    clock: Clock | None = None, run: int = 0, available_now: bool = True,
                    trigger: str = DEFAULT_TRIGGER, interval: _dt.timedelta = _dt.timedelta(minutes=1),
-                   raw_schema: StructType = RAW_JSON_SCHEMA):
+                   raw_schema: StructType = RAW_JSON_SCHEMA, max_files_per_trigger: int | None = None):
     """Start one consumer; returns ``(query, batches)`` where ``batches`` fills as batches run.
 
     Per batch: the handler writes its output partition, then the files the
@@ -131,7 +138,7 @@ def start_consumer(spark: SparkSession, consumer: Consumer, raw_path: str, handl
                         overwrite=True)
         batches.append(batch_id)
 
-    w = (change_stream(spark, raw_path, raw_schema).writeStream
+    w = (change_stream(spark, raw_path, raw_schema, max_files_per_trigger).writeStream
          .queryName(f"{consumer.name}_{run}")
          .foreachBatch(process).option("checkpointLocation", consumer.checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)

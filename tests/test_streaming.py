@@ -113,3 +113,20 @@ def test_scheduled_trigger_starts_and_stops(spark, workdir):
         assert ig.read_raw(spark, f"{workdir}/raw").count() > 0
     finally:
         q.stop()
+
+
+def test_bounded_consumer_batches_equal_one_batch(spark, workdir):
+    trips = v_trips(spark, SF_SMALL)
+    landing, raw = f"{workdir}/landing", f"{workdir}/raw"
+    unload_json_by_day(trips, landing, "2024-01-01", "2024-12-31", partitions=8)
+    ig.run_pipe_once(ig.json_source(spark, landing, max_files_per_trigger=4), raw, f"{workdir}/ck")
+    out = {}
+    for name, bound in (("small", 2), ("whole", None)):
+        c = cs.Consumer(name, f"{workdir}/state")
+        q = cs.start_consumer(spark, c, raw, cs.push_trips_handler(f"{workdir}/{name}"),
+                              max_files_per_trigger=bound)
+        (n,) = cs.await_all(q)
+        out[name] = (n, cs.read_batches(spark, f"{workdir}/{name}", schemas.BIKE_TRIPS).drop("batch_id"))
+    assert out["small"][0] > out["whole"][0] == 1
+    a, b = out["small"][1], out["whole"][1]
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
