@@ -10,6 +10,8 @@ Spark DataFrame builder (what the library runs) and as DuckDB SQL text
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,6 +153,7 @@ def json_weather_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _WEATHER_TABLES: dict = {}
+_WEATHER_LOCK = threading.Lock()
 
 
 def json_weather_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,15 +170,16 @@ def json_weather_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spokewise.sources import loader
 
     key = (spark.sparkContext.applicationId, sf_dir)
-    t = _WEATHER_TABLES.get(key)
-    if t is None or not t.exists():
-        root = new_workdir(spark, "weather")
-        write_weather_json(weather_fields(table(spark, sf_dir, "events")), f"{root}/stage")
-        cat = loader.Catalog(spark, f"{root}/db")
-        t = cat.table("json_weather_data")
-        t.create_empty(StructType([StructField("v", VariantType(), True)]), "create table json_weather_data")
-        loader.copy_into(cat, "json_weather_data", f"{root}/stage", None, "json", on_error="abort")
-        _WEATHER_TABLES[key] = t
+    with _WEATHER_LOCK:
+        t = _WEATHER_TABLES.get(key)
+        if t is None or not t.exists():
+            root = new_workdir(spark, "weather")
+            write_weather_json(weather_fields(table(spark, sf_dir, "events")), f"{root}/stage")
+            cat = loader.Catalog(spark, f"{root}/db")
+            t = cat.table("json_weather_data")
+            t.create_empty(StructType([StructField("v", VariantType(), True)]), "create table json_weather_data")
+            loader.copy_into(cat, "json_weather_data", f"{root}/stage", None, "json", on_error="abort")
+            _WEATHER_TABLES[key] = t
     return t.read()
 
 

@@ -17,6 +17,7 @@ reproducible.
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import functions as F
@@ -66,13 +67,22 @@ class Flow:
 
 
 _FLOWS: dict[tuple, Flow] = {}
+_FLOW_LOCK = threading.Lock()
 
 
 def run_flow(spark, sf) -> Flow:
-    key = (id(spark), spark.sparkContext.applicationId, sf)
-    f = _FLOWS.get(key)
-    if f is not None and path_exists(spark, f.saved + "/gate"):
+    """The shared pipeline run for this session and data folder (built once, under a lock)."""
+    with _FLOW_LOCK:
+        key = (id(spark), spark.sparkContext.applicationId, sf)
+        f = _FLOWS.get(key)
+        if f is not None and path_exists(spark, f.saved + "/gate"):
+            return f
+        f = _build_flow(spark, sf)
+        _FLOWS[key] = f
         return f
+
+
+def _build_flow(spark, sf) -> Flow:
     root = new_workdir(spark, "flow")
     f = Flow(root, f"{root}/landing", f"{root}/raw", f"{root}/state", f"{root}/bike_trips",
              f"{root}/bike_stations", cs.Consumer("push_trips", f"{root}/state"),
@@ -105,7 +115,6 @@ def run_flow(spark, sf) -> Flow:
     f.gate = consume(3, RUN_3)
     spark.createDataFrame([(k, v) for k, v in f.gate.items()], "name string, gate_batches int") \
         .write.parquet(f"{f.saved}/gate")
-    _FLOWS[key] = f
     return f
 
 
