@@ -91,3 +91,25 @@ def test_version_read_lists_only_its_segments(spark, workdir):
     files = t.read(0).inputFiles()
     assert files and all(seg0 in f for f in files)
     assert t.read(0).count() == 10 and t.read().count() == 15
+
+
+def test_weather_join_executes_as_broadcast(spark, contract):
+    df = contract.queries()["weather_trip_counts"](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in final and "BroadcastHashJoin" in final
+
+
+def test_library_has_no_python_row_paths():
+    import os
+    import re
+    root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "spokewise")
+    banned = re.compile(r"\b(udf|pandas_udf|mapInPandas|applyInPandas|mapPartitions|localCheckpoint)\b|\.rdd\b")
+    hits = []
+    for d, _, files in os.walk(root):
+        for f in files:
+            if f.endswith(".py"):
+                for i, line in enumerate(open(os.path.join(d, f)), 1):
+                    if banned.search(line):
+                        hits.append(f"{f}:{i}: {line.strip()}")
+    assert not hits, hits
