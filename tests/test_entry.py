@@ -126,3 +126,18 @@ def test_every_survey_operator_is_registered():
     assert ids - covered == set()
     assert covered - ids <= {"T1", "T2", "T4", "T5", "T6", "T7", "T8", "T10", "T11", "T12", "T13", "T15",
                              "T16", "T17", "T18", "T21", "T23"}  # trap ids of §1.4
+
+
+def test_all_registered_plans_are_join_safe_and_jvm_only(spark, contract):
+    """Every key runs at sf0.001; no executed plan has a cartesian product,
+    a nested-loop join or a Python evaluation node."""
+    banned = ("CartesianProduct", "BroadcastNestedLoopJoin") + PY_NODES
+    bad = {}
+    for key, build in contract.queries().items():
+        df = build(spark, SF_SMALL)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        hits = [b for b in banned if b in plan]
+        if hits:
+            bad[key] = hits
+    assert not bad, bad
