@@ -28,7 +28,7 @@ from spokewise.operators.merge import STATION_COLS, merge_insert_only, stations_
 from spokewise.operators.semistructured import trip_fields, v_double, v_int, v_string
 from spokewise.sources import fsio
 from spokewise.sources.tables import has_data_files
-from spokewise.streaming.ingest import DEFAULT_TRIGGER, RAW_JSON_SCHEMA
+from spokewise.streaming.ingest import DEFAULT_TRIGGER, RAW_JSON_SCHEMA, drop_failed_files
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -96,7 +96,7 @@ def _overwrite_partition(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def change_stream(spark: SparkSession, raw_path: str, raw_schema: StructType = RAW_JSON_SCHEMA,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
+                  max_files_per_trigger: int | None = None, include_rejects: bool = False) -> DataFrame:
     """``create stream s on table raw``: committed raw rows, good ones only.
 
     ``max_files_per_trigger`` bounds a micro-batch, so a consumer that starts
@@ -105,26 +105,39 @@ def change_stream(spark: SparkSession, raw_path: str, raw_schema: StructType = R
     r = spark.readStream.schema(raw_schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(raw_path).where(F.col("_ok") == F.lit("true"))
+    s = r.parquet(raw_path)
+    return s if include_rejects else s.where(F.col("_ok") == F.lit("true"))
 
 
 def start_consumer(spark: SparkSession, consumer: Consumer, raw_path: str, handler: Handler,
                    clock: Clock | None = None, run: int = 0, available_now: bool = True,
                    trigger: str = DEFAULT_TRIGGER, interval: _dt.timedelta = _dt.timedelta(minutes=1),
-                   raw_schema: StructType = RAW_JSON_SCHEMA, max_files_per_trigger: int | None = None):
+                   raw_schema: StructType = RAW_JSON_SCHEMA, max_files_per_trigger: int | None = None,
+                   skip_failed_files: bool = False):
     """Start one consumer; returns ``(query, batches)`` where ``batches`` fills as batches run.
 
     Per batch: the handler writes its output partition, then the files the
     batch consumed are logged (for peeking) and a run-log row is written.
+
+    ``skip_failed_files`` applies the pipe's skip-file rule (T18): a source file
+    with any rejected row contributes no rows. The file source reads each source
+    file within one micro-batch and the raw sink commits a batch's files together,
+    so an unbounded consumer batch holds whole source files and the rule is exact;
+    it cannot be combined with ``max_files_per_trigger``.
     """
+    if skip_failed_files and max_files_per_trigger:
+        raise ValueError("skip_failed_files needs whole source files per batch: "
+                         "do not bound the batch with max_files_per_trigger")
     clock = clock or Clock()
     state = consumer.state_root
     batches: list[int] = []
 
     def process(df: DataFrame, batch_id: int) -> None:
         scheduled = clock.now()
-        handler(df, batch_id)
-        files = df.groupBy("_file").agg(F.count(F.lit(1)).alias("rows"))
+        handler(drop_failed_files(df) if skip_failed_files else df, batch_id)
+        # every file read by the batch is consumed, also a skipped one
+        good = df.where(F.col("_ok") == F.lit("true")) if skip_failed_files else df
+        files = good.groupBy("_file").agg(F.count(F.lit(1)).alias("rows"))
         _overwrite_partition(files, consumer.files_log, batch_id)
         rows_in = (spark.read.parquet(f"{consumer.files_log}/batch_id={batch_id}")
                    .agg(F.sum("rows")).first()[0] or 0)
@@ -138,7 +151,8 @@ def start_consumer(spark: SparkSession, consumer: Consumer, raw_path: str, handl
                         overwrite=True)
         batches.append(batch_id)
 
-    w = (change_stream(spark, raw_path, raw_schema, max_files_per_trigger).writeStream
+    w = (change_stream(spark, raw_path, raw_schema, max_files_per_trigger,
+                       include_rejects=skip_failed_files).writeStream
          .queryName(f"{consumer.name}_{run}")
          .foreachBatch(process).option("checkpointLocation", consumer.checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)

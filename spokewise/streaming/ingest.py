@@ -168,10 +168,28 @@ def raw_schema_of(parsed_schema: StructType) -> StructType:
 
 
 def read_raw(spark: SparkSession, raw_path: str, schema: StructType = RAW_JSON_SCHEMA,
-             include_rejects: bool = False) -> DataFrame:
-    """Batch read of the committed raw rows (the reader honours ``_spark_metadata``)."""
+             include_rejects: bool = False, skip_failed_files: bool = False) -> DataFrame:
+    """Batch read of the committed raw rows (the reader honours ``_spark_metadata``).
+
+    ``skip_failed_files`` gives the pipe skip-file semantics (T18): good rows of a
+    file that also had a rejected row are left out. The failed files come from the
+    small ``_ok=false`` partition (partition-pruned), joined as an anti-join.
+    """
     df = spark.read.schema(schema).parquet(raw_path)
-    return df if include_rejects else df.where(F.col("_ok") == F.lit("true"))
+    if include_rejects:
+        return df
+    good = df.where(F.col("_ok") == F.lit("true"))
+    if not skip_failed_files:
+        return good
+    failed = df.where(F.col("_ok") == F.lit("false")).select("_file").distinct()
+    return good.join(failed, "_file", "left_anti")
+
+
+def drop_failed_files(batch: DataFrame) -> DataFrame:
+    """Within one micro-batch of raw rows (good and rejected), keep the good rows of
+    files without any rejected row. Exact when the batch holds whole source files."""
+    failed = batch.where(F.col("_ok") != F.lit("true")).select("_file").distinct()
+    return batch.where(F.col("_ok") == F.lit("true")).join(failed, "_file", "left_anti")
 
 
 def pipe_history(per_file: DataFrame, table_name: str) -> DataFrame:

@@ -24,14 +24,14 @@ def _ts(now):
     return ntz_lit(now)
 
 
-def peek(spark: SparkSession, consumer: Consumer, raw_path: str) -> DataFrame:
+def peek(spark: SparkSession, consumer: Consumer, raw_path: str, skip_failed_files: bool = False) -> DataFrame:
     """``select * from stream``: rows the consumer has not consumed yet, without consuming them.
 
     Raw rows whose source file is absent from the consumer's file log; the
     file log is small (one row per file) and the anti-join keeps raw rows
     where they are.
     """
-    raw = read_raw(spark, raw_path)
+    raw = read_raw(spark, raw_path, skip_failed_files=skip_failed_files)
     if not has_data_files(spark, consumer.files_log):
         return raw
     done = spark.read.parquet(consumer.files_log).select("_file").distinct()

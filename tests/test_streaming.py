@@ -130,3 +130,27 @@ def test_bounded_consumer_batches_equal_one_batch(spark, workdir):
     assert out["small"][0] > out["whole"][0] == 1
     a, b = out["small"][1], out["whole"][1]
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_pipe_skip_file_semantics(spark, workdir):
+    import os
+    landing, raw = f"{workdir}/landing", f"{workdir}/raw"
+    os.makedirs(landing)
+    with open(f"{landing}/good.json", "w") as f:
+        f.write('{"tripduration": 60, "starttime": "2024-01-01 00:00:00", "usertype": "a"}\n')
+    with open(f"{landing}/mixed.json", "w") as f:
+        f.write('{"tripduration": 61, "starttime": "2024-01-01 00:01:00", "usertype": "b"}\n{bad\n')
+    ig.run_pipe_once(ig.json_source(spark, landing), raw, f"{workdir}/ck")
+    assert ig.read_raw(spark, raw).count() == 2                          # continue semantics
+    assert ig.read_raw(spark, raw, skip_failed_files=True).count() == 1  # skip-file semantics
+    c = cs.Consumer("push_trips", f"{workdir}/state")
+    assert ob.peek(spark, c, raw, skip_failed_files=True).count() == 1
+    cs.await_all(cs.start_consumer(spark, c, raw, cs.push_trips_handler(f"{workdir}/bt"), skip_failed_files=True))
+    got = cs.read_batches(spark, f"{workdir}/bt", schemas.BIKE_TRIPS).collect()
+    assert [r["usertype"] for r in got] == ["a"]
+    assert ob.peek(spark, c, raw, skip_failed_files=True).count() == 0
+    assert ob.peek(spark, c, raw).count() == 0  # the skipped file counts as consumed
+    import pytest
+    with pytest.raises(ValueError):
+        cs.start_consumer(spark, c, raw, cs.push_trips_handler(f"{workdir}/bt"), skip_failed_files=True,
+                          max_files_per_trigger=2)
