@@ -43,7 +43,7 @@ def distinct_days(trips: DataFrame, start: str, stop: str, ts: str = "starttime"
 def unload_json_by_day(trips: DataFrame, out_dir: str, start: str, stop: str,
                        keys: list[str] | None = None, ts: str = "starttime",
                        compression: str = "gzip", partitions: int | None = None,
-                       mode: str = "errorifexists") -> None:
+                       mode: str = "errorifexists", max_records_per_file: int | None = None) -> None:
     """Write one JSON document per trip under ``out_dir/day=YYYY-MM-DD/``.
 
     Documents hold ``keys`` in order; NULL values are left out (T6) and
@@ -59,4 +59,5 @@ def unload_json_by_day(trips: DataFrame, out_dir: str, start: str, stop: str,
      .option("timestampNTZFormat", JSON_TS_FORMAT)
      .option("ignoreNullFields", "true")
      .option("compression", compression)
+     .option("maxRecordsPerFile", max_records_per_file or 0)
      .json(out_dir))

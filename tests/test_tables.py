@@ -109,3 +109,28 @@ def test_masking_commutes_with_projection(spark):
     a = apply_masks(t, TRIPS_STREAM_MASKS, "SYSADMIN").select("bikeid", "usertype")
     b = apply_masks(t.select("bikeid", "usertype"), TRIPS_STREAM_MASKS, "SYSADMIN")
     assert a.exceptAll(b).count() == 0
+
+
+def test_compact_keeps_rows_and_history(spark, workdir):
+    t = VersionedTable(spark, f"{workdir}/t", "t")
+    t.create(spark.range(0, 10).toDF("id"))
+    for i in range(1, 4):
+        t.append(spark.range(i * 10, i * 10 + 10).toDF("id"))
+    before = t.current().version
+    assert len(t.current().segments) == 4
+    t.compact(files=1)
+    assert len(t.current().segments) == 1 and len(t.read().inputFiles()) == 1
+    assert sorted(r[0] for r in t.read().collect()) == list(range(40))
+    assert t.read(before).count() == 40 and t.read(0).count() == 10
+
+
+def test_unload_bounds_file_size(spark, workdir):
+    import os
+    trips = v_trips(spark, SF_SMALL)
+    out = f"{workdir}/unload"
+    unload_json_by_day(trips, out, "2024-01-01", "2024-01-31", partitions=2, max_records_per_file=10)
+    day = sorted(d for d in os.listdir(out) if d.startswith("day="))[0]
+    import gzip
+    counts = [sum(1 for _ in gzip.open(f"{out}/{day}/{f}", "rt")) for f in os.listdir(f"{out}/{day}")
+              if f.startswith("part-")]
+    assert counts and max(counts) <= 10
