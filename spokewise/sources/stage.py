@@ -16,13 +16,53 @@ def _root(path: str) -> str:
     return path.rstrip("/")
 
 
+def name_glob(pattern: str) -> str | None:
+    r"""A file-name glob implied by a full-match path regex, or None.
+
+    Only the common shape ``.*<suffix>`` is translated: ``[.]`` and ``\.``
+    are a literal dot, ``.*`` is ``*``, a bare ``.`` is ``?``, letters,
+    digits, ``_`` and ``-`` stay. ``.*[.]csv[.]gz`` becomes ``*.csv.gz``.
+    The glob only narrows the listing; the regex still decides.
+    """
+    if not pattern.startswith(".*"):
+        return None
+    out, i = ["*"], 2
+    while i < len(pattern):
+        if pattern.startswith(".*", i):
+            out.append("*")
+            i += 2
+        elif pattern.startswith("[.]", i):
+            out.append(".")
+            i += 3
+        elif pattern.startswith("\\.", i):
+            out.append(".")
+            i += 2
+        elif pattern[i] == ".":
+            out.append("?")
+            i += 1
+        elif pattern[i].isalnum() or pattern[i] in "_-":
+            out.append(pattern[i])
+            i += 1
+        else:
+            return None
+    glob = "".join(out)
+    while "**" in glob:
+        glob = glob.replace("**", "*")
+    return glob
+
+
 def list_stage(spark: SparkSession, stage: str, pattern: str | None = None) -> DataFrame:
-    """``list @stage [pattern=...]``: one row per file (path, name, size, modified)."""
+    """``list @stage [pattern=...]``: one row per file (path, name, size, modified).
+
+    When the pattern has a file-name glob form, the listing itself is
+    filtered (``pathGlobFilter``) before the exact regex is applied.
+    """
     root = _root(stage)
-    files = (spark.read.format("binaryFile")
-             .option("recursiveFileLookup", "true")
-             .load(root)
-             .select("path", "length", "modificationTime"))
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    glob = name_glob(pattern) if pattern else None
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    files = reader.load(root).select("path", "length", "modificationTime")
     # paths come back fully qualified (file:/..., hdfs://...); strip up to the stage root
     rel = F.regexp_extract(F.col("path"), r"^.*?" + _quote_re(_strip_scheme(root)) + r"/(.*)$", 1)
     out = files.select(F.col("path"), rel.alias("name"), F.col("length").alias("size"),

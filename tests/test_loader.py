@@ -198,3 +198,20 @@ def test_aborted_load_is_recorded_and_retried(spark, workdir):
     rep = loader.copy_into(cat, "t", stage, SCHEMA, STRICT, on_error="continue")
     assert rep.files == 1 and cat.table("t").read().count() == 1
     assert sorted(r["status"] for r in cat.load_history().collect()) == ["LOAD_FAILED", "PARTIALLY_LOADED"]
+
+
+def test_pattern_glob_narrows_listing_and_regex_decides(spark, workdir):
+    from spokewise.sources.stage import name_glob
+    assert name_glob(r".*[.]csv[.]gz") == "*.csv.gz"
+    assert name_glob(r".*.*[.]csv[.]gz") == "*.csv.gz"
+    assert name_glob(r".*[.]csv.gz") == "*.csv?gz"
+    assert name_glob(r"day=.*") is None and name_glob(r".*(a|b)") is None
+    stage = f"{workdir}/stage"
+    write(stage, "a.csv.gz", ["1,a,"], gz=True)
+    write(f"{stage}/sub", "b.csv.gz", ["2,b,"], gz=True)
+    write(stage, "c.csvXgz", ["3,c,"])
+    write(stage, "d.json", ["{}"])
+    names = lambda p: sorted(r["name"] for r in list_stage(spark, stage, p).collect())
+    assert names(r".*[.]csv[.]gz") == ["a.csv.gz", "sub/b.csv.gz"]
+    assert names(r".*[.]csv.gz") == ["a.csv.gz", "c.csvXgz", "sub/b.csv.gz"]
+    assert names(r"sub/.*") == ["sub/b.csv.gz"]
