@@ -37,7 +37,6 @@ UNION_SQL = f"u AS ({_arm('start')} UNION {_arm('end')})"
 SEED_SQL = ("seed AS (SELECT DISTINCT end_station_id AS station_id, end_station_name AS station_name, "
             "end_station_latitude AS station_latitude, end_station_longitude AS station_longitude, "
             "'Station at ' || end_station_name AS station_comment FROM v_trips_r)")
-TRIPS_R = with_ctes(V_TRIPS_SQL, V_TRIPS_R_SQL)
 TRIPS = with_ctes(V_TRIPS_SQL)
 
 
@@ -77,7 +76,6 @@ def q_merge_insert_only(spark, sf):
 T0 = "2024-02-01 09:00:00"
 T1 = "2024-02-01 09:05:00"
 T2 = "2024-02-01 09:06:00"
-T3 = "2024-02-01 09:07:00"
 
 
 def _trips_table(spark, sf, tag):

@@ -57,9 +57,6 @@ RUN_LOG = _s(
     ("state", S), ("rows", L),
 )
 
-OP_LOG = _s(
-    ("query_id", S), ("query_text", S), ("start_time", TS), ("table_name", S), ("version", L),
-)
 
 
 def all_string(schema: StructType) -> StructType:

@@ -160,13 +160,6 @@ def read_pipe_ledger(spark: SparkSession, raw_path: str) -> DataFrame:
                  F.min("first_error").alias("first_error")))
 
 
-def raw_schema_of(parsed_schema: StructType) -> StructType:
-    """Schema of the raw sink as read back: the partition column comes back as text."""
-    return StructType([StructField(f.name, StringType() if f.name == "_ok" else f.dataType, True)
-                       for f in parsed_schema.fields if f.name != "_ok"]
-                      + [StructField("_ok", StringType(), True)])
-
-
 def read_raw(spark: SparkSession, raw_path: str, schema: StructType = RAW_JSON_SCHEMA,
              include_rejects: bool = False, skip_failed_files: bool = False) -> DataFrame:
     """Batch read of the committed raw rows (the reader honours ``_spark_metadata``).
@@ -204,5 +197,5 @@ def pipe_history(per_file: DataFrame, table_name: str) -> DataFrame:
 
 
 __all__ = ["DEFAULT_TRIGGER", "RAW_JSON_SCHEMA", "csv_source", "json_source",
-           "pipe_history", "raw_schema_of", "read_pipe_ledger", "read_raw", "run_pipe_once",
+           "pipe_history", "read_pipe_ledger", "read_raw", "run_pipe_once",
            "start_pipe", "update_pipe_ledger"]
