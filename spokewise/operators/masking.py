@@ -21,9 +21,11 @@ class MaskPolicy:
     type_name: str
     allowed_roles: tuple[str, ...] = ("ACCOUNTADMIN",)
 
-    def apply(self, c: Column, role: str) -> Column:
+    def apply(self, c: Column, role) -> Column:
+        """``role`` is a name (folds to the column or to the mask) or a Column."""
+        r = F.upper(role) if isinstance(role, Column) else F.lit(role.upper())
         # the ELSE branch ignores the value, so NULL is masked too
-        return (F.when(F.lit(role.upper()).isin(*self.allowed_roles), c.cast(self.type_name))
+        return (F.when(r.isin(*self.allowed_roles), c.cast(self.type_name))
                 .otherwise(F.lit(self.mask_value).cast(self.type_name)))
 
 
@@ -40,6 +42,16 @@ TRIPS_STREAM_MASKS = {
 }
 
 
-def apply_masks(df: DataFrame, policies: dict[str, MaskPolicy], role: str) -> DataFrame:
+def apply_masks(df: DataFrame, policies: dict[str, MaskPolicy], role) -> DataFrame:
     cols = [policies[c].apply(F.col(c), role).alias(c) if c in policies else F.col(c) for c in df.columns]
     return df.select(*cols)
+
+
+def per_role(df: DataFrame, roles: list[str], policies: dict[str, MaskPolicy]) -> DataFrame:
+    """The table as each role sees it, in one scan: every row once per role, with a
+    ``role`` column, masked by that role. Aggregating by ``role`` then compares roles
+    without reading the table once per role."""
+    tagged = df.select(F.explode(F.array(*[F.lit(r) for r in roles])).alias("role"), "*")
+    cols = [F.col("role")] + [policies[c].apply(F.col(c), F.col("role")).alias(c) if c in policies
+                              else F.col(c) for c in df.columns]
+    return tagged.select(*cols)

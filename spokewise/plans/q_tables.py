@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from spokewise.operators import analytics as an
 from spokewise.operators.masking import (
-    SIMPLE_MASK_INT, SIMPLE_MASK_STRING, TRIPS_STREAM_MASKS, apply_masks,
+    SIMPLE_MASK_INT, SIMPLE_MASK_STRING, TRIPS_STREAM_MASKS, apply_masks, per_role,
 )
 from spokewise.operators.merge import STATION_COLS, merge_insert_only, stations_union
 from spokewise.operators.semistructured import weather_view
@@ -185,28 +185,18 @@ def _trips_stream(spark, sf):
 SELECT 'ACCOUNTADMIN' AS role, usertype, count(*) AS n FROM v_trips GROUP BY 2
 UNION ALL SELECT 'SYSADMIN', '*** masked ***', count(*) FROM v_trips""")
 def q_mask_string(spark, sf):
-    t = v_trips(spark, sf)
-    out = None
-    for role in ("ACCOUNTADMIN", "SYSADMIN"):
-        g = (t.select(SIMPLE_MASK_STRING.apply(F.col("usertype"), role).alias("usertype"))
-             .groupBy("usertype").agg(F.count(F.lit(1)).alias("n")).select(F.lit(role).alias("role"), "*"))
-        out = g if out is None else out.unionByName(g)
-    return out
+    t = v_trips(spark, sf).select("usertype")
+    return (per_role(t, ["ACCOUNTADMIN", "SYSADMIN"], {"usertype": SIMPLE_MASK_STRING})
+            .groupBy("role", "usertype").agg(F.count(F.lit(1)).alias("n")))
 
 
 @register("mask_int", ids="G2 T21", oracle=TRIPS + """
 SELECT 'ACCOUNTADMIN' AS role, bikeid, birth_year, count(*) AS n FROM v_trips GROUP BY 2, 3
 UNION ALL SELECT 'SYSADMIN', -999, -999, count(*) FROM v_trips""")
 def q_mask_int(spark, sf):
-    t = v_trips(spark, sf)
-    out = None
-    for role in ("ACCOUNTADMIN", "SYSADMIN"):
-        g = (t.select(SIMPLE_MASK_INT.apply(F.col("bikeid"), role).alias("bikeid"),
-                      SIMPLE_MASK_INT.apply(F.col("birth_year"), role).alias("birth_year"))
-             .groupBy("bikeid", "birth_year").agg(F.count(F.lit(1)).alias("n"))
-             .select(F.lit(role).alias("role"), "*"))
-        out = g if out is None else out.unionByName(g)
-    return out
+    t = v_trips(spark, sf).select("bikeid", "birth_year")
+    return (per_role(t, ["ACCOUNTADMIN", "SYSADMIN"], {"bikeid": SIMPLE_MASK_INT, "birth_year": SIMPLE_MASK_INT})
+            .groupBy("role", "bikeid", "birth_year").agg(F.count(F.lit(1)).alias("n")))
 
 
 @register("masked_table", ids="G3", oracle=STREAM + """
@@ -223,12 +213,7 @@ UNION ALL
 SELECT 'ACCOUNTADMIN', count(*) FILTER (WHERE usertype = 'click'), round(avg(birth_year), 6), count(*)
 FROM v_trips_stream""")
 def q_masked_aggregate(spark, sf):
-    out = None
-    for role in ("SYSADMIN", "ACCOUNTADMIN"):
-        m = apply_masks(_trips_stream(spark, sf), TRIPS_STREAM_MASKS, role)
-        g = m.agg(F.count(F.when(F.col("usertype") == "click", 1)).alias("n_click"),
-                  F.round(F.avg("birth_year"), 6).alias("avg_birth_year"),
-                  F.count(F.lit(1)).alias("n")).select(F.lit(role).alias("role"), "*")
-        out = g if out is None else out.unionByName(g)
-    return out
-
+    m = per_role(_trips_stream(spark, sf), ["SYSADMIN", "ACCOUNTADMIN"], TRIPS_STREAM_MASKS)
+    return m.groupBy("role").agg(F.count(F.when(F.col("usertype") == "click", 1)).alias("n_click"),
+                                 F.round(F.avg("birth_year"), 6).alias("avg_birth_year"),
+                                 F.count(F.lit(1)).alias("n"))
