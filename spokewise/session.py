@@ -85,7 +85,8 @@ def new_workdir(spark: SparkSession, tag: str) -> str:
     """A fresh, never-reused folder under the shared work folder."""
     base = shared_dir(spark)
     if base.startswith("file:"):
-        base = base[len("file:"):]
+        # file:/x, file:///x -> /x (a leading // would read as a host name)
+        base = "/" + base[len("file:"):].lstrip("/")
     path = f"{base}/spokewise/{tag}-{uuid.uuid4().hex[:12]}"
     if "://" not in path:
         os.makedirs(path, exist_ok=True)

@@ -112,3 +112,14 @@ def test_sql_functions(spark):
                             simple_mask_string('x', 'ACCOUNTADMIN') ms,
                             round(haversine(0.0, 0.0, 1.0, 0.0), 6) d""").first()
     assert (r.m, r.s, r.h, r.r, r.mi, r.ms, r.d) == (1, 1, dt.datetime(2024, 3, 10, 2), 3, -999, "x", 111.194927)
+
+
+def test_workdir_under_file_uri_checkpoint_dir(spark, monkeypatch):
+    import os
+
+    from spokewise import session
+    monkeypatch.setattr(session, "shared_dir", lambda s: "file:///tmp/spokewise-uri-test")
+    p = session.new_workdir(spark, "uri")
+    assert p.startswith("/tmp/spokewise-uri-test/spokewise/uri-") and os.path.isdir(p)
+    monkeypatch.setattr(session, "shared_dir", lambda s: "hdfs://nn:8020/ckpt")
+    assert session.new_workdir(spark, "h").startswith("hdfs://nn:8020/ckpt/spokewise/h-")
