@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise.llm import bpe, quality_rules
+from spokewise.llm import bpe, quality_rules, simhash_bktree
 from spokewise.llm.common import held_out, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def byte_bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_bktree.components(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+    return found.select("doc_id", simhash_bktree.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), byte_bpe_path())
 
@@ -30,6 +35,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Builder] = {
+    "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
