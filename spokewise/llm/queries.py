@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise.llm import bpe, quality_rules, simhash_bktree
+from spokewise.llm import bpe, quality_rules, simhash_bktree, warc
 from spokewise.llm.common import held_out, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def byte_bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_digests(table(spark, sf_dir, "pages"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_bktree.components(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", simhash_bktree.hex_fingerprint().alias("fingerprint"), "component_id")
@@ -35,9 +39,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Builder] = {
+    "op3_warc": op3_warc,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+             d AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS digest FROM p),
+             m AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY digest) END AS last_id FROM d)
+        SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+               CASE WHEN page_id < last_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id < last_id THEN last_id END AS refers_to
+        FROM m""",
+}
