@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise.llm import bpe, quality_rules, simhash_bktree, substring_dedup, warc
+from spokewise.llm import bpe, decontamination, quality_rules, simhash_bktree, substring_dedup, warc
 from spokewise.llm.common import held_out, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_digests(table(spark, sf_dir, "pages"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=20)
     return cut.select("doc_id", "n_words", "n_removed", substring_dedup.kept_digest().alias("kept_sha256"))
@@ -45,6 +49,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Builder] = {
     "op3_warc": op3_warc,
+    "op4_decontamination": op4_decontamination,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,

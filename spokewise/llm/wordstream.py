@@ -1,7 +1,7 @@
 """Words of a column of texts as numpy arrays: places, hashes and window hashes without a loop over words.
 
-A word is a run of bytes other than space and 0x09-0x0D, as everywhere in
-this subpackage. Texts are taken from the Arrow buffers in blocks of a few
+A word is a run of bytes other than space and 0x09-0x0D (or other than the
+bytes that the caller marks). Texts are taken from the Arrow buffers in blocks of a few
 megabytes, so the memory stays bounded however many rows a batch has.
 """
 
@@ -18,8 +18,10 @@ BLOCK = 2 << 20  # bytes of text handled at a time (more only for one longer tex
 _M = (1 << 64) - 1
 #: Fixed odd multipliers of the polynomial hashes (bytes in a word, words in a window) and their inverses.
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
-_BLANK = np.zeros(256, bool)
-_BLANK[[32, *range(9, 14)]] = True
+#: Bytes between words; NOT_ALNUM also cuts at ASCII punctuation and control bytes.
+BLANK = np.zeros(256, bool)
+BLANK[[32, *range(9, 14)]] = True
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 class _Powers:
@@ -75,8 +77,8 @@ class Words:
         return at, span_hash(self.hashes, at, at + length, WORD_BASE)
 
 
-def _split(data: np.ndarray, bounds: np.ndarray, fold: np.ndarray | None) -> Words:
-    blank = _BLANK[data]
+def _split(data: np.ndarray, bounds: np.ndarray, between: np.ndarray) -> Words:
+    blank = between[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[bounds] = True  # words end at the end of their text
     word = ~blank
@@ -84,13 +86,13 @@ def _split(data: np.ndarray, bounds: np.ndarray, fold: np.ndarray | None) -> Wor
     start = np.flatnonzero(word & (~before | edge[:-1]))
     after = np.concatenate([word[1:], [False]]) if len(data) else word
     stop = np.flatnonzero(word & (~after | edge[1:])) + 1
-    seen = fold[data] if fold is not None else data
-    h = span_hash(seen.astype(np.uint64) + np.uint64(1), start, stop, BYTE_BASE)
+    h = span_hash(data.astype(np.uint64) + np.uint64(1), start, stop, BYTE_BASE)
     return Words(data, start, stop, np.searchsorted(start, bounds), h, bounds)
 
 
-def blocks(texts: pa.Array, fold: np.ndarray | None = None, block: int = BLOCK) -> Iterator[tuple[int, int, Words]]:
-    """(first row, last row + 1, words) over blocks of rows; ``fold`` maps bytes before hashing. Null: no words."""
+def blocks(texts: pa.Array, between: np.ndarray = BLANK, block: int = BLOCK) -> Iterator[tuple[int, int, Words]]:
+    """(first row, last row + 1, words) over blocks of rows; ``between`` marks the bytes between words.
+    A null text has no words."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_binary())
@@ -104,5 +106,5 @@ def blocks(texts: pa.Array, fold: np.ndarray | None = None, block: int = BLOCK)
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + block, "right")) - 1)
         to = min(to, n)
         data = body[offsets[at]:offsets[to]]
-        yield at, to, _split(data, offsets[at:to + 1] - offsets[at], fold)
+        yield at, to, _split(data, offsets[at:to + 1] - offsets[at], between)
         at = to
