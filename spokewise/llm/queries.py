@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise.llm import bpe, decontamination, quality_rules, simhash_bktree, substring_dedup, warc
+from spokewise.llm import bpe, decontamination, quality_gam, quality_rules, simhash_bktree, substring_dedup, warc
 from spokewise.llm.common import held_out, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,14 @@ def byte_bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_gam.train(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
+    return quality_gam.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_digests(table(spark, sf_dir, "pages"))
 
@@ -48,6 +56,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Builder] = {
+    "op2_quality_gam": op2_quality_gam,
     "op3_warc": op3_warc,
     "op4_decontamination": op4_decontamination,
     "op5_substring_dedup": op5_substring_dedup,
