@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise.llm import bpe, decontamination, quality_gam, quality_rules, simhash_bktree, substring_dedup, warc
+from spokewise.llm import bpe, decontamination, quality_gam, quality_rules, simhash_bktree, substring_dedup, toxicity, warc
 from spokewise.llm.common import held_out, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,14 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), byte_bpe_path())
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), out="q")
     return q.select("doc_id", "q.n_words", "q.word_chars", "q.n_symbols", "q.n_dup_lines", "q.n_repeat_words",
@@ -62,6 +70,7 @@ QUERIES: dict[str, Builder] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
+    "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
 

@@ -21,6 +21,7 @@ BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 #: Bytes between words; NOT_ALNUM also cuts at ASCII punctuation and control bytes.
 BLANK = np.zeros(256, bool)
 BLANK[[32, *range(9, 14)]] = True
+LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
 NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
