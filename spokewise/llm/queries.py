@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise.llm import bpe, decontamination, quality_gam, quality_rules, simhash_bktree, substring_dedup, toxicity, warc
+from spokewise.llm import bpe, decontamination, line_dedup, quality_gam, quality_rules, simhash_bktree, substring_dedup, toxicity, warc
 from spokewise.llm.common import held_out, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), byte_bpe_path())
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.summary(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
@@ -70,6 +74,7 @@ QUERIES: dict[str, Builder] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
+    "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }

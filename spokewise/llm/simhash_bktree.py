@@ -28,7 +28,6 @@ empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spokewise.llm.blocks import block_keys
 from spokewise.llm.common import written
 from spokewise.llm.components import connected_components
 
@@ -127,54 +127,17 @@ def group_links(values: list[int], radius: int) -> list[tuple[int, int]]:
     return [(values[k], values[top(k)]) for k in range(len(values)) if top(k) != k]
 
 
-def _cut(bits: list[int], parts: int) -> list[list[int]]:
-    """``bits`` in so many runs of about equal length."""
-    edge = [round(k * len(bits) / parts) for k in range(parts + 1)]
-    return [bits[x:y] for x, y in zip(edge, edge[1:])]
-
-
-def _runs(bits: list[int]) -> list[tuple[int, int]]:
-    """(shift, width) of the maximal runs of neighbouring bits."""
-    out: list[list[int]] = []
-    for b in bits:
-        if out and b == out[-1][0] + out[-1][1]:
-            out[-1][1] += 1
-        else:
-            out.append([b, 1])
-    return [(s, w) for s, w in out]
-
-
-def _value(fp: Column, bits: list[int]) -> Column:
-    """The given bits of ``fp`` packed into an integer."""
-    value, at = F.lit(0).cast("long"), 0
-    for s, w in _runs(bits):
-        value = value.bitwiseOR(F.shiftleft(F.shiftrightunsigned(fp, s).bitwiseAND(F.lit((1 << w) - 1)), at))
-        at += w
-    return value
-
-
-def _keys(fp: Column, free: list[int], parts: int) -> list[tuple[Column, list[int]]]:
-    """(key, bits that it leaves free) for every pair of the blocks of ``free``."""
-    blocks = _cut(free, parts)
-    out = []
-    for n, (i, j) in enumerate(combinations(range(parts), 2)):
-        width = len(blocks[i]) + len(blocks[j])
-        key = _value(fp, blocks[i] + blocks[j]).bitwiseOR(F.lit(n << width).cast("long"))
-        out.append((key, [b for b in free if b not in blocks[i] and b not in blocks[j]]))
-    return out
-
-
 def fingerprint_links(distinct: DataFrame, radius: int = 2, split: int = SPLIT) -> DataFrame:
     """(a, b) links between distinct fingerprints (column ``fp``) that connect all within ``radius`` bits."""
     parts = radius + 2
     every, fp = list(range(64)), F.col("fp")
-    first = _keys(fp, every, parts)
+    first = block_keys(fp, every, parts)
     dealt = distinct.select("fp", F.posexplode(F.array(*[k for k, _ in first])).alias("deal", "shard"))
     sizes = dealt.groupBy("deal", "shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     dealt = dealt.join(sizes, ["deal", "shard"])
     again = F.lit(None)
     for n, (_, free) in enumerate(first):
-        again = F.when(F.col("deal") == n, F.array(*[k for k, _ in _keys(fp, free, parts)])).otherwise(again)
+        again = F.when(F.col("deal") == n, F.array(*[k for k, _ in block_keys(fp, free, parts)])).otherwise(again)
     dealt = dealt.select("fp", "deal", "shard", F.explode(
         F.when(F.col("n") > split, again).otherwise(F.array(F.lit(-1).cast("long")))).alias("sub"))
     src = dealt.repartition("deal", "shard", "sub").sortWithinPartitions("deal", "shard", "sub", "fp")
