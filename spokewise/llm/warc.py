@@ -20,11 +20,13 @@ response and reads back as null; rows that repeat the largest id of equal
 payloads are all responses; CR and LF in a url are written as %0D and %0A,
 a null url has no target line. An empty table gives no archive and an
 empty result. An archive whose chain does not end at its last byte is
-reported by ``broken_archives``.
+reported by ``broken_archives``. Archives are read whole, one at a time, by
+a task: write them with a size that an executor can hold.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -45,24 +47,36 @@ MIN_BYTES = 1000            # payloads from this size on are written once
 ARCHIVE_BYTES = 16 << 20    # aimed at for one archive
 HEADER_BYTES = 64 << 10     # a header longer than this is no header
 
-_HEADER = "offset long, next long, record_id string, type string, refers_id string, uri string, digest string, payload binary"
+_HEADER = "offset long, next long, record_id string, type string, refers_id string, uri string, digest string, " \
+          "bytes long, sha1 string, payload binary"
 
 
 def _urn(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("null")), F.lit(">"))
 
 
-def plan_records(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """(page_id, url, payload, digest, refers_to): ``refers_to`` is set for revisits."""
-    p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload")).withColumn(
-        "digest", F.sha1(F.encode("payload", "UTF-8")))
-    # copies fold to one row a task before the shuffle; only digests with a copy come back
-    same = (p.where((F.octet_length("payload") >= min_bytes) & F.col("page_id").isNotNull()).groupBy("digest")
-            .agg(F.max("page_id").alias("last_id"), F.min("page_id").alias("first_id"))
-            .where("first_id < last_id").select("digest", "last_id"))
-    same = written(same, "warc-copies")
-    refers = F.when(F.col("page_id") < F.col("last_id"), F.col("last_id"))
-    return p.join(same, "digest", "left").select("page_id", "url", "payload", "digest", refers.alias("refers_to"))
+def plan_revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """(page_id, digest, refers_to) of the pages whose payload another page with a larger id has too.
+
+    Only ids and digests are shuffled. Copies fold to one row a task before the shuffle, and the join
+    reads two written tables, so that a digest with many copies can be split.
+    """
+    keys = written(pages.where(F.col("page_id").isNotNull() & (F.octet_length("html") >= min_bytes)).select(
+        "page_id", F.unhex(F.sha1(F.encode("html", "UTF-8"))).alias("digest")), "warc-digests")
+    last = keys.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("first_id"))
+    last = written(last.where("first_id < refers_to").select("digest", "refers_to"), "warc-copies")
+    return keys.join(last, "digest").where("page_id < refers_to").select(
+        "page_id", F.lower(F.hex("digest")).alias("digest"), "refers_to").distinct()
+
+
+def plan_records(pages: DataFrame, n: int, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """(page_id, url, payload, digest, refers_to) in ``n`` partitions; ``refers_to`` is set for revisits.
+    The payloads are shuffled once, by page id."""
+    revisits = written(plan_revisits(pages, min_bytes), "warc-revisits").repartition(n, "page_id")
+    p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload")).repartition(n, "page_id")
+    p = p.withColumn("digest", F.sha1(F.encode("payload", "UTF-8")))
+    return p.join(revisits.hint("shuffle_hash"), ["page_id", "digest"], "left").select(
+        "page_id", "url", "payload", "digest", "refers_to")
 
 
 def record(row_type: str = "refers_to") -> Column:
@@ -85,11 +99,12 @@ def record(row_type: str = "refers_to") -> Column:
 
 
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_BYTES,
-                   archive_bytes: int = ARCHIVE_BYTES) -> str:
-    """Write one record per row of ``pages`` (page_id, url, html) into archives below ``folder``."""
+                   archive_bytes: int = ARCHIVE_BYTES, compression: str = "gzip") -> str:
+    """Write one record per row of ``pages`` (page_id, url, html) into archives below ``folder``
+    (``compression``: gzip or none, of the whole archive)."""
     size = pages.agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0)) + 512)).first()[0] or 0
-    rows = plan_records(pages, min_bytes).select(record().alias("value"))
-    rows.repartition(1 + size // archive_bytes).write.option("lineSep", END).text(folder)
+    rows = plan_records(pages, 1 + size // archive_bytes, min_bytes).select(record().alias("value"))
+    rows.write.option("lineSep", END).option("compression", compression).text(folder)
     return folder
 
 
@@ -110,43 +125,56 @@ def _candidates(data: bytes) -> Iterator[tuple]:
             if data[stop:stop + 4] == b"\r\n\r\n":
                 yield (at, stop + 4, _field(header, b"WARC-Record-ID"), _field(header, b"WARC-Type"),
                        _field(header, b"WARC-Refers-To"), _field(header, b"WARC-Target-URI"),
-                       _field(header, b"WARC-Payload-Digest"), data[start:stop])
+                       _field(header, b"WARC-Payload-Digest"), start, stop)
         at = data.find(magic, at + 1)
 
 
-def candidates(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per candidate record of the archives in ``folder``."""
+def candidates(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
+    """One row per candidate record of the archives in ``folder``; size, offset and next count the bytes
+    of the archive's plain text. Without ``payloads`` only their length and digest are kept."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path", "content")
     schema = f"path string, size long, {_HEADER}"
     names = [x.split()[0] for x in schema.split(", ")]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), *[pa.string()] * 5, pa.binary()]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), *[pa.string()] * 5, pa.int64(), pa.string(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, content in zip(b.column(0), b.column(1)):
-                data, path = content.as_py(), path.as_py()
-                rows = [(path, len(data), *x) for x in _candidates(data)]
-                for k in range(0, len(rows), 1000):
-                    part = list(zip(*rows[k:k + 1000]))
-                    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(part, kinds)], names=names)
+                data, path, rows = content.as_py(), path.as_py(), []
+                if data[:2] == b"\x1f\x8b":
+                    data = gzip.decompress(data)
+                for x in _candidates(data):
+                    body = data[x[-2]:x[-1]]
+                    rows.append((path, len(data), *x[:-2], len(body), hashlib.sha1(body).hexdigest(),
+                                 body if payloads else None))
+                    if len(rows) == 1000:
+                        yield _batch(rows, kinds, names)
+                        rows = []
+                if rows:
+                    yield _batch(rows, kinds, names)
+
+    return files.mapInArrow(run, schema).withColumn("archive", F.xxhash64("path"))
+
 
-    return files.mapInArrow(run, schema)
+def _batch(rows: list[tuple], kinds: list, names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), kinds)], names=names)
 
 
 def reachable(links: DataFrame) -> DataFrame:
-    """(path, offset) of the candidates that the chain from offset 0 reaches; ``links`` has path, offset, next.
+    """(archive, offset) of the candidates that the chain from offset 0 reaches; ``links`` has archive,
+    offset and next.
 
     After k rounds ``jump`` goes 2**k records ahead and all records below the 2**k-th are reached.
     """
-    jump = links.select("path", "offset", "next")
-    reached = jump.where("offset = 0").select("path", "offset")
+    jump = links.select("archive", "offset", "next")
+    reached = jump.where("offset = 0").select("archive", "offset")
     n = reached.count()
     while n:
-        ahead = reached.join(jump, ["path", "offset"]).select("path", F.col("next").alias("offset"))
-        ahead = ahead.join(links.select("path", "offset"), ["path", "offset"], "left_semi")
+        ahead = reached.join(jump, ["archive", "offset"]).select("archive", F.col("next").alias("offset"))
+        ahead = ahead.join(links.select("archive", "offset"), ["archive", "offset"], "left_semi")
         reached = written(reached.union(ahead).distinct(), "warc-reached")
-        far = jump.select("path", F.col("offset").alias("start"), F.col("next").alias("offset"))
-        jump = written(far.join(jump, ["path", "offset"]).select("path", F.col("start").alias("offset"), "next"),
+        far = jump.select("archive", F.col("offset").alias("start"), F.col("next").alias("offset"))
+        jump = written(far.join(jump, ["archive", "offset"]).select("archive", F.col("start").alias("offset"), "next"),
                        "warc-jumps")
         n, before = reached.count(), n
         if n == before:
@@ -154,21 +182,23 @@ def reachable(links: DataFrame) -> DataFrame:
     return reached
 
 
-def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """The records of the archives: path, offset, record_id, type, refers_id, uri, digest, payload (binary)."""
-    found = written(candidates(spark, folder), "warc-candidates")
-    chain = reachable(found.select("path", "offset", "next"))
-    return found.join(chain, ["path", "offset"], "left_semi").drop("size", "next")
+def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
+    """The records of the archives: path, offset, record_id, type, refers_id, uri, digest (as the header
+    has it), bytes and sha1 of the payload, payload (binary; null without ``payloads``)."""
+    found = written(candidates(spark, folder, payloads), "warc-candidates")
+    chain = reachable(found.select("archive", "offset", "next"))
+    return found.join(chain, ["archive", "offset"], "left_semi").drop("archive", "size", "next")
 
 
 def broken_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, size, chain_end) of archives whose chain does not end at the last byte."""
-    found = written(candidates(spark, folder).drop("payload"), "warc-candidates")
-    chain = found.join(reachable(found.select("path", "offset", "next")), ["path", "offset"], "left_semi")
-    ends = chain.groupBy("path").agg(F.max("next").alias("chain_end"))
-    sizes = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select(
-        "path", F.col("length").alias("size")).where("size > 0")
-    return sizes.join(ends, "path", "left").where("chain_end is null or chain_end != size")
+    """(path, size, chain_end) of archives whose chain does not end at the last byte (null: no chain)."""
+    found = written(candidates(spark, folder, False), "warc-candidates")
+    chain = found.join(reachable(found.select("archive", "offset", "next")), ["archive", "offset"], "left_semi")
+    ends = chain.groupBy("path").agg(F.max("next").alias("chain_end"), F.max("size").alias("size"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).where(
+        "length > 0").select("path")
+    return files.join(ends, "path", "left").where("chain_end is null or chain_end != size").select(
+        "path", "size", "chain_end")
 
 
 def page_digests(pages: DataFrame, folder: str | None = None) -> DataFrame:
@@ -179,9 +209,9 @@ def page_digests(pages: DataFrame, folder: str | None = None) -> DataFrame:
     def number(c: str) -> Column:
         return F.regexp_extract(F.coalesce(c, F.lit("")), r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
 
-    rec = written(read_archives(spark, folder).select(
-        number("record_id").alias("page_id"), "type", number("refers_id").alias("refers_to"),
-        F.octet_length("payload").cast("long").alias("bytes"), F.sha1("payload").alias("sha1")), "warc-records")
+    rec = written(read_archives(spark, folder, payloads=False).select(
+        number("record_id").alias("page_id"), "type", number("refers_id").alias("refers_to"), "bytes", "sha1"),
+        "warc-records")
     # a revisit's payload is its response's
     full = rec.where("type = 'response' and page_id is not null").select(
         F.col("page_id").alias("refers_to"), F.col("bytes").alias("r_bytes"), F.col("sha1").alias("r_sha1"))
