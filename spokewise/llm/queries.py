@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise.llm import bpe, decontamination, line_dedup, quality_gam, quality_rules, simhash_bktree, substring_dedup, toxicity, warc
+from spokewise.llm import bpe, decontamination, licenses, line_dedup, quality_gam, quality_rules, simhash_bktree, substring_dedup, toxicity, warc
 from spokewise.llm.common import held_out, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def byte_bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licenses.families(docs, licenses.train(docs))
+
+
 def op2_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_gam.train(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
@@ -68,6 +73,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Builder] = {
+    "op1_licenses": op1_licenses,
     "op2_quality_gam": op2_quality_gam,
     "op3_warc": op3_warc,
     "op4_decontamination": op4_decontamination,
