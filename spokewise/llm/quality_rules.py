@@ -26,8 +26,7 @@ from spokewise.llm.common import BLANK_RUN, NOT_BLANK, let, words_of
 WINDOW = 8            # words of a repetition window
 MIN_WORDS = 20        # fewer: rejected
 MAX_REPEAT = 30       # percent of words in repeated windows
-MIN_JUDGED = 3        # words from which on a line's punctuation is judged (words: single spaces and one)
-MAX_SYMBOLS = 0.1     # symbols for each word of a line
+MAX_SYMBOLS = 0.1     # symbols for each word of a line (its spaces and one)
 MAX_SHOUTS = 0.3      # exclamation and question marks for each word of a line
 MAX_LOST = 0.3        # share of the words' characters that cleaning may remove
 
@@ -92,8 +91,9 @@ def line_fails(line: Column) -> Column:
 
     def rules(gaps: Column) -> Column:
         n = gaps + 1
-        punctuation = (gaps >= MIN_JUDGED - 1) & ((F.regexp_count(line, F.lit(SYMBOLS)) > MAX_SYMBOLS * n)
-                                                  | (F.regexp_count(line, F.lit(SHOUTS)) > MAX_SHOUTS * n))
+        # one mark alone (a heading, an exclamation) is no failure
+        punctuation = ((F.regexp_count(line, F.lit(SYMBOLS)) > F.greatest(F.lit(1.0), MAX_SYMBOLS * n))
+                       | (F.regexp_count(line, F.lit(SHOUTS)) > F.greatest(F.lit(1.0), MAX_SHOUTS * n)))
         return punctuation | line.rlike(NAVIGATION) | line.rlike(STUTTER) | line.rlike(BOILERPLATE)
 
     gaps = F.char_length(line) - F.char_length(F.replace(line, F.lit(" "), F.lit("")))
