@@ -49,7 +49,7 @@ def test_quality_held_out_accuracy(spark):
 def test_quality_model_learns_single_features_and_pairs():
     rng = np.random.default_rng(0)
     x = rng.random((4000, len(quality_gam.FEATURES))).astype(np.float32)
-    y = ((x[:, 0] > 0.7) ^ (x[:, 3] > 0.5)).astype(float)
+    y = ((x[:, 0] > 0.75) ^ (x[:, 3] > 0.5)).astype(float)
     m = quality_gam.fit(x[:3000], y[:3000])
     assert ((m.scores(x[3000:]) > 0.5) == y[3000:]).mean() > 0.95
     assert {0, 3} in [{i, j} for i, j, _ in m.pairs]
