@@ -9,7 +9,6 @@ Public entry points (see README.md for the statement-by-statement map):
 * merge: ``stations_union``, ``merge_insert_only``
 * masking: ``MaskPolicy``, ``apply_masks``
 * streams: ``spokewise.streaming.ingest`` / ``consumers`` / ``observe``
-* SQL: ``register_sql_functions``
 """
 
 __version__ = "0.1.0"
@@ -28,7 +27,6 @@ _EXPORTS = {
     "merge_insert_only": "spokewise.operators.merge",
     "MaskPolicy": "spokewise.operators.masking",
     "apply_masks": "spokewise.operators.masking",
-    "register_sql_functions": "spokewise.functions.sqlfuncs",
 }
 
 

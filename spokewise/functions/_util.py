@@ -20,3 +20,14 @@ def ntz_lit(value) -> Column:
     elif isinstance(value, _dt.date):
         value = value.isoformat() + " 00:00:00"
     return F.lit(str(value)).cast("timestamp_ntz")
+
+
+def utc_ntz(instant: Column) -> Column:
+    """An instant as UTC wall-clock time (TIMESTAMP_NTZ), whatever the session zone is."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), ntz_lit("1970-01-01 00:00:00"))
+
+
+def utc_now() -> Column:
+    """The present UTC wall-clock time as a literal."""
+    import datetime as _dt
+    return ntz_lit(_dt.datetime.now(_dt.timezone.utc))

@@ -80,16 +80,6 @@ def weather_trip_counts(trips: DataFrame, weather_view: DataFrame) -> DataFrame:
             .orderBy(desc_nulls_largest("num_trips"), asc_nulls_largest("conditions")))
 
 
-def weather_trip_pairs(trips: DataFrame, weather_view: DataFrame) -> DataFrame:
-    """J1 written literally (left join on hour, NULL rejection, count) - for tests only."""
-    j = trips.join(weather_view,
-                   hour_floor(weather_view["observation_time"]) == hour_floor(trips["starttime"]),
-                   "left")
-    return (j.select(F.col("weather").alias("conditions"))
-            .where(F.col("conditions").isNotNull())
-            .groupBy("conditions").agg(F.count(F.lit(1)).alias("num_trips")))
-
-
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """``select count(*)`` of several tables, one row per table."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")

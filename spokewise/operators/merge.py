@@ -36,13 +36,6 @@ def stations_union(trips: DataFrame) -> DataFrame:
     return both.select("s.*").distinct()
 
 
-def stations_union_literal(trips: DataFrame) -> DataFrame:
-    """U1 as written in the reference (two arms, UNION) - for tests."""
-    def arm(prefix):
-        return trips.select(_station(prefix).alias("s")).select("s.*")
-    return arm("start").unionByName(arm("end")).distinct()
-
-
 def merge_insert_only(target: DataFrame, source: DataFrame, key: str = "station_id") -> DataFrame:
     """Rows of ``source`` whose key has no match in ``target``: the rows MERGE inserts.
 

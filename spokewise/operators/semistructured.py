@@ -11,8 +11,10 @@ from spokewise.functions._util import ntz_lit
 
 
 def v_int(v: str, path: str, lenient: bool = False) -> Column:
-    """``v:path::int``: numeric value rounded, not truncated."""
-    return F.round(vget(v, path, "double", lenient)).cast("int")
+    """``v:path::int``: numeric value rounded, not truncated (T2), through decimal so that large
+    integers keep their digits; lenient: what does not fit is NULL."""
+    rounded = F.round(vget(v, path, "decimal(38,9)", lenient))
+    return rounded.try_cast("int") if lenient else rounded.cast("int")
 
 
 def v_double(v: str, path: str, lenient: bool = False) -> Column:

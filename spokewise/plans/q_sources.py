@@ -60,7 +60,7 @@ def q_csv_format_options(spark, sf):
 def q_file_pattern_filter(spark, sf):
     root, cat = _catalog(spark, "pattern")
     stage = _csv_stage(spark, sf, root, header=True)
-    unload_json_by_day(v_trips(spark, sf), f"{stage}/json", "2024-01-01", "2099-12-31")
+    unload_json_by_day(v_trips(spark, sf), f"{stage}/json")
     loader.copy_into(cat, "trips", stage, schemas.TRIPS, FORMAT_A, on_error="continue",
                      pattern=CSV_GZ, now=LOAD_NOW)
     return cat.table("trips").read()
@@ -160,7 +160,7 @@ SELECT DISTINCT strftime(CAST(starttime AS DATE), '%Y-%m-%d') AS day, 'json.gz'
 def q_stage_listing(spark, sf):
     root = new_workdir(spark, "listing")
     stage = _csv_stage(spark, sf, root, header=True)
-    unload_json_by_day(v_trips(spark, sf), f"{stage}/json", "2024-01-01", "2099-12-31")
+    unload_json_by_day(v_trips(spark, sf), f"{stage}/json")
     ls = list_stage(spark, stage)
     return (ls.select(F.date_format(day_of_path("name"), "yyyy-MM-dd").alias("day"),
                       F.regexp_extract("name", r"\.([a-z]+\.gz)$", 1).alias("file_type"))
@@ -251,14 +251,42 @@ def q_load_once(spark, sf):
     return cat.table("trips").read()
 
 
-@register("truncate_reload", ids="S19 T17", oracle=TRIPS + f"SELECT {TRIP_COLS} FROM v_trips")
+@register("truncate_reload", ids="S19 T17", oracle=TRIPS + f"SELECT {TRIP_COLS}, 0 AS left_by_truncate FROM v_trips")
 def q_truncate_reload(spark, sf):
     root, cat = _catalog(spark, "trunc")
     stage = _csv_stage(spark, sf, root, header=False)
     loader.copy_into(cat, "trips", stage, schemas.TRIPS, FORMAT_B, on_error="abort", now=LOAD_NOW)
     loader.truncate(cat, "trips")
+    left = cat.table("trips").read().count()
     loader.copy_into(cat, "trips", stage, schemas.TRIPS, FORMAT_B, on_error="abort", now=LOAD_NOW)
-    return cat.table("trips").read()
+    return cat.table("trips").read().withColumn("left_by_truncate", F.lit(left).cast("int"))
+
+
+@register("load_after_restore", ids="S13 V3", oracle=TRIPS + f"""
+SELECT {TRIP_COLS}, (SELECT count(*) FROM v_trips) AS loaded_again FROM v_trips""")
+def q_load_after_restore(spark, sf):
+    # rows undone by a restore are pending again
+    root, cat = _catalog(spark, "loadrestore")
+    stage = _csv_stage(spark, sf, root, header=False)
+    loader.copy_into(cat, "trips", stage, schemas.TRIPS, FORMAT_B, now=LOAD_NOW)
+    t = cat.table("trips")
+    t.restore_before(t.log()[-1].query_id)
+    again = loader.copy_into(cat, "trips", stage, schemas.TRIPS, FORMAT_B, now=LOAD_NOW)
+    return t.read().withColumn("loaded_again", F.lit(again.rows_loaded).cast("long"))
+
+
+@register("load_after_recreate", ids="S13 S18", oracle=TRIPS + f"""
+SELECT {TRIP_COLS}, (SELECT count(*) FROM v_trips) AS loaded_again FROM v_trips""")
+def q_load_after_recreate(spark, sf):
+    # a table that was dropped and created again has loaded nothing
+    root, cat = _catalog(spark, "loadcreate")
+    stage = _csv_stage(spark, sf, root, header=False)
+    loader.copy_into(cat, "trips", stage, schemas.TRIPS, FORMAT_B, now=LOAD_NOW)
+    t = cat.table("trips")
+    t.drop()
+    t.create_empty(schemas.TRIPS)
+    again = loader.copy_into(cat, "trips", stage, schemas.TRIPS, FORMAT_B, now=LOAD_NOW)
+    return t.read().withColumn("loaded_again", F.lit(again.rows_loaded).cast("long"))
 
 
 @register("unload_json_by_day", ids="S14 O4 F11 T6 T7", oracle=TRIPS + """
@@ -269,7 +297,7 @@ FROM v_trips""")
 def q_unload_json_by_day(spark, sf):
     root = new_workdir(spark, "unload")
     out = f"{root}/stage"
-    unload_json_by_day(v_trips(spark, sf), out, "2024-01-01", "2099-12-31")
+    unload_json_by_day(v_trips(spark, sf), out)
     doc_schema = schemas.TRIPS.__class__([f for f in schemas.TRIPS.fields if f.name in schemas.TRIP_DOC_KEYS])
     from spokewise.functions.jsonfn import JSON_TS_FORMAT
     back = (spark.read.schema(doc_schema).option("timestampNTZFormat", JSON_TS_FORMAT).json(out)
@@ -288,29 +316,29 @@ def q_distinct_days(spark, sf):
 
 @register("insert_values", ids="S16 D3", oracle="""
 SELECT CAST(event_id AS INTEGER) AS col1, event_type AS col2 FROM events
-UNION ALL SELECT * FROM (VALUES (123, 'test string1'), (456, 'test string2')) v(col1, col2)""")
+UNION ALL SELECT * FROM (VALUES (-1, 'first added row'), (-2, 'second added row')) v(col1, col2)""")
 def q_insert_values(spark, sf):
     root = new_workdir(spark, "insv")
     t = VersionedTable(spark, f"{root}/testtable", "testtable")
     e = table(spark, sf, "events")
     t.create(e.select(F.col("event_id").cast("int").alias("col1"), F.col("event_type").alias("col2")))
-    rows = spark.createDataFrame([(123, "test string1"), (456, "test string2")], schemas.TESTTABLE)
-    t.append(rows, "INSERT INTO testtable(col1, col2) VALUES(123, 'test string1'),(456, 'test string2')")
+    rows = spark.createDataFrame([(-1, "first added row"), (-2, "second added row")], schemas.TESTTABLE)
+    t.append(rows, "two literal rows")
     return t.read()
 
 
 @register("bind_insert", ids="P17 S16", oracle="""
 SELECT CAST(event_id AS INTEGER) AS col1, event_type AS col2 FROM events
-UNION ALL SELECT 789, 'test string3'""")
+UNION ALL SELECT -3, 'bound row'""")
 def q_bind_insert(spark, sf):
-    # INSERT ... VALUES(%(col1)s, %(col2)s) with a dict: named parameters of spark.sql
+    # values bound by name, as arguments of spark.sql
     root = new_workdir(spark, "bind")
     t = VersionedTable(spark, f"{root}/testtable", "testtable")
     e = table(spark, sf, "events")
     t.create(e.select(F.col("event_id").cast("int").alias("col1"), F.col("event_type").alias("col2")))
     row = spark.sql("SELECT CAST(:col1 AS INT) AS col1, CAST(:col2 AS STRING) AS col2",
-                    args={"col1": 789, "col2": "test string3"})
-    t.append(row, "INSERT INTO testtable(col1, col2) VALUES(:col1, :col2)")
+                    args={"col1": -3, "col2": "bound row"})
+    t.append(row, "one row from named parameters")
     return t.read()
 
 

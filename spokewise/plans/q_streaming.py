@@ -29,7 +29,7 @@ from spokewise.plans.fixtures import csv_lines, write_lines
 from spokewise.plans.registry import register
 from spokewise.session import new_workdir
 from spokewise.sources.formats import CsvFormat
-from spokewise.sources.stage import day_of_path
+from spokewise.sources.stage import day_of_path, list_stage
 from spokewise.sources.tables import path_exists
 from spokewise.sources.unload import unload_json_by_day
 from spokewise.streaming import consumers as cs
@@ -104,10 +104,10 @@ def _build_flow(spark, sf) -> Flow:
         n1, n2 = cs.await_all(q1, q2)
         return {"push_trips": n1, "push_stations": n2}
 
-    unload_json_by_day(trips, f.landing, "1900-01-01", SPLIT_DAY)
+    unload_json_by_day(trips, f.landing, None, SPLIT_DAY)
     ingest(LOAD_1)
     consume(1, RUN_1)
-    unload_json_by_day(trips, f.landing, next_day, "2999-12-31", mode="append")
+    unload_json_by_day(trips, f.landing, next_day, None, mode="append")
     ob.pending_files(spark, f.landing, f.raw).select("path", "name").write.parquet(f"{f.saved}/pending")
     ingest(LOAD_2)
     trip_fields(ob.peek(spark, f.trips_consumer, f.raw)).write.parquet(f"{f.saved}/peek")
@@ -182,7 +182,7 @@ def q_stream_gate(spark, sf):
     return gate.join(totals, "name").select("name", "gate_batches", "rows_in")
 
 
-@register("push_trips", ids="T-7 T-9", oracle=TRIPS + f"SELECT {BIKE_TRIP_COLS} FROM v_trips")
+@register("push_trips", ids="T-7", oracle=TRIPS + f"SELECT {BIKE_TRIP_COLS} FROM v_trips")
 def q_push_trips(spark, sf):
     return _bike_trips(spark, run_flow(spark, sf))
 
@@ -247,6 +247,35 @@ def q_purge_candidates(spark, sf):
             .agg(F.sum("row_count").alias("row_count")))
 
 
+@register("purge_after_push", ids="T-9 T-11", oracle=TRIPS + f"""
+SELECT {DAY} AS day, count(*) AS row_count, CAST({LATE} AS INT) AS purged FROM v_trips GROUP BY ALL""")
+def q_purge_after_push(spark, sf):
+    """Two loads ten hours apart; after push_trips ran, the files of the recent, clean load are removed.
+    A malformed line keeps one more file from being eligible. Days, their rows, and whether their files went."""
+    root = new_workdir(spark, "purge")
+    landing, raw, state = f"{root}/landing", f"{root}/raw", f"{root}/state"
+    trips = v_trips(spark, sf)
+    next_day = (_dt.date.fromisoformat(SPLIT_DAY) + _dt.timedelta(days=1)).isoformat()
+
+    def ingest(load_time):
+        ig.run_pipe_once(ig.json_source(spark, landing, load_time=load_time), raw, f"{root}/_checkpoint")
+
+    unload_json_by_day(trips, landing, None, SPLIT_DAY)
+    ingest("2024-02-01 01:00:00")
+    unload_json_by_day(trips, landing, next_day, None, mode="append")
+    spark.range(1).select(F.lit("{broken").alias("value")).write.mode("append").text(f"{landing}/day=2099-01-01")
+    ingest(LOAD_2)
+    consumer = cs.Consumer("push_trips", state)
+    ran = cs.run_consumer(spark, consumer, raw, cs.push_trips_handler(f"{root}/bike_trips"), clock=cs.Clock(RUN_2))
+    ob.purge_after(ran, spark, raw, "trips_raw", landing, NOW, hours=10)
+    left = list_stage(spark, landing).select(F.date_format(day_of_path("name"), "yyyy-MM-dd").alias("day")).distinct()
+    bike = cs.read_batches(spark, f"{root}/bike_trips", schemas.BIKE_TRIPS)
+    rows = bike.groupBy(F.date_format("starttime", "yyyy-MM-dd").alias("day")).agg(
+        F.count(F.lit(1)).alias("row_count"))
+    return rows.join(left.withColumn("here", F.lit(1)), "day", "left").select(
+        "day", "row_count", F.when(F.col("here").isNull(), 1).otherwise(0).alias("purged"))
+
+
 @register("ingest_overview", ids="J4 T-16 A6 A7 A8")
 def q_ingest_overview(spark, sf):
     # No oracle: files_in_bucket and files_processed count physical files.

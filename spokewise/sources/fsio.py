@@ -8,6 +8,8 @@ through here.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -36,15 +38,37 @@ def has_data_files(spark: SparkSession, path: str) -> bool:
 
 
 def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
-    """Create ``path`` with ``text``. With ``overwrite=False`` an existing file is an error,
-    which makes "create version N" a compare-and-set on stores with atomic create."""
+    """Create ``path`` with ``text``, whole or not at all.
+
+    The bytes go to a hidden temporary file first, which is then renamed, so
+    no reader sees a torn file. With ``overwrite=False`` an existing file is
+    an error (rename without overwrite), which makes "create version N" a
+    compare-and-set.
+    """
     fs, p = _fs(spark, path)
-    out = fs.create(p, bool(overwrite))
+    jvm = spark.sparkContext._jvm
+    temp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(temp, False)
     try:
-        data = bytearray(text.encode("utf-8"))
-        out.write(data)
+        out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE if overwrite else rename.NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.makeQualified(p).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        context.rename(fs.makeQualified(temp), fs.makeQualified(p), how)
+    except Exception:
+        fs.delete(temp, False)
+        raise
+
+
+def delete_file(spark: SparkSession, path: str) -> bool:
+    """Delete one file; False when it is not there."""
+    fs, p = _fs(spark, path)
+    return bool(fs.delete(p, False))
 
 
 def read_text(spark: SparkSession, path: str) -> str:

@@ -4,9 +4,10 @@
 
 * the stage is listed (metadata only) and filtered by a full-match
   regex (``pattern``);
-* files already loaded into the table's current generation are skipped
-  (load-once; ``truncate`` starts a new generation, T17);
-* the files are parsed **once** with an all-STRING schema, PERMISSIVE
+* files whose rows the table holds are skipped (load-once). The loads that
+  count travel with the table's versions: restoring an earlier version,
+  re-creating or truncating the table (T17) makes later loads pending again;
+* the files are parsed **once**, in batches of at most ``FILES_PER_BATCH``, with an all-STRING schema, PERMISSIVE
   mode and a corrupt-record column; each token is ``try_cast`` to its
   column type and a row is rejected when a non-NULL token does not cast
   or the column count is wrong under a strict format;
@@ -35,13 +36,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
 from spokewise import schemas
-from spokewise.functions._util import ntz_lit
+from spokewise.functions._util import ntz_lit, utc_now
 from spokewise.sources.formats import CsvFormat
-from spokewise.sources.stage import file_paths, list_stage
+from spokewise.sources.stage import list_stage, literal_paths, path_batches, plain_path
 from spokewise.sources.tables import VersionedTable, has_data_files
 
 CORRUPT = "_corrupt_record"
 RAW = "_raw_"
+FILES_PER_BATCH = 10_000  # files that one parse job of a load reads; bounds the driver's path list
 ON_ERROR = ("abort", "continue", "skip_file")
 LOADED, PARTIAL, FAILED = "LOADED", "PARTIALLY_LOADED", "LOAD_FAILED"
 
@@ -73,8 +75,9 @@ class Catalog:
         return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()
                       and fsio.exists(self.spark, f"{self.root}/{s.getPath().getName()}/_log"))
 
-    def ledger_of(self, table: VersionedTable) -> DataFrame:
-        paths = table.ledger_segments()
+    def ledger_of(self, table: VersionedTable, live: bool = False) -> DataFrame:
+        """Ledger rows of all loads, or (``live``) of the loads whose rows the table holds now."""
+        paths = table.loaded_segments() if live else table.ledger_segments()
         if not paths:
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
         return self.spark.read.schema(LEDGER_SCHEMA).parquet(*paths)
@@ -87,7 +90,7 @@ class Catalog:
         for p in parts[1:]:
             h = h.unionByName(p)
         if start_time is not None:
-            h = h.where(F.col("last_load_time") >= F.lit(start_time).cast("timestamp_ntz"))
+            h = h.where(F.col("last_load_time") >= ntz_lit(start_time))
         return h
 
 
@@ -136,7 +139,7 @@ def validate(raw: DataFrame, schema: StructType, strict_columns: bool,
     err = F.coalesce(*errs)
     out = raw.select(*typed, err.alias("_error"),
                      *[F.col(f.name).alias(RAW + f.name) for f in schema.fields],
-                     F.col("_metadata.file_path").alias("_file"))
+                     plain_path("_metadata.file_path").alias("_file"))
     return out.select(*[F.col(f.name) for f in schema.fields], "_error",
                       *[F.when(F.col("_error").isNotNull(), F.col(RAW + f.name)).alias(RAW + f.name)
                         for f in schema.fields],
@@ -146,31 +149,28 @@ def validate(raw: DataFrame, schema: StructType, strict_columns: bool,
 def parse_csv(spark: SparkSession, paths: list[str], schema: StructType, fmt: CsvFormat) -> DataFrame:
     read_schema = StructType(list(schemas.all_string(schema).fields) + [StructField(CORRUPT, StringType())])
     raw = (spark.read.schema(read_schema).options(**fmt.reader_options())
-           .option("columnNameOfCorruptRecord", CORRUPT).csv(paths))
+           .option("columnNameOfCorruptRecord", CORRUPT).csv(literal_paths(paths)))
     return validate(raw, schema, fmt.error_on_column_count_mismatch, fmt.extra_null_tokens(),
                     fmt.timestamp_formats)
 
 
 def parse_json_variant(spark: SparkSession, paths: list[str]) -> DataFrame:
     """JSON lines into one VARIANT column ``v`` (S8); a malformed line is a reject."""
-    raw = spark.read.format("json").option("singleVariantColumn", "v").load(paths)
+    raw = spark.read.format("json").option("singleVariantColumn", "v").load(literal_paths(paths))
     ok = F.col("v").isNotNull()
     return raw.select("v", F.when(~ok, F.lit("malformed JSON")).alias("_error"),
-                      F.col("_metadata.file_path").alias("_file"), ok.alias("_ok"))
+                      plain_path("_metadata.file_path").alias("_file"), ok.alias("_ok"))
 
 
 # ------------------------------------------------------------------ loading
 
 def pending_listing(cat: Catalog, table: VersionedTable, stage: str, pattern: str | None,
                     force: bool = False) -> DataFrame:
-    """Stage files not yet loaded into the table's current generation (S13, T-12)."""
+    """Stage files whose rows the table does not hold yet (S13, T-12)."""
     listing = list_stage(cat.spark, stage, pattern)
     if force:
         return listing
-    gen = table.current().generation
-    done = (cat.ledger_of(table)
-            .where((F.col("generation") == gen)
-                   & F.col("status").isin(LOADED, PARTIAL))
+    done = (cat.ledger_of(table, live=True).where(F.col("status").isin(LOADED, PARTIAL))
             .select(F.col("file_path").alias("path")))
     return listing.join(done, "path", "left_anti")
 
@@ -190,75 +190,91 @@ def copy_into(cat: Catalog, table_name: str, stage: str, schema: StructType | No
         table.create_empty(schema)
     if schema is None:
         schema = table.schema()
-    paths = file_paths(pending_listing(cat, table, stage, pattern, force))
-    if not paths:
+    # Files are parsed in bounded batches; nothing is visible before the one commit at the end.
+    staged_segments, ledgers = [], []
+    for paths in path_batches(pending_listing(cat, table, stage, pattern, force), FILES_PER_BATCH):
+        seg, ledger_seg = _stage_files(cat, table, table_name, paths, schema, fmt, on_error, now)
+        staged_segments.append(seg)
+        ledgers.append(ledger_seg)
+    if not ledgers:
         return LoadReport(0, 0, 0, "NO_NEW_FILES")
-
-    parsed = parse_json_variant(spark, paths) if is_json else parse_csv(spark, paths, schema, fmt)
-    seg = table.new_segment_path()
-    parsed.write.partitionBy("_ok").parquet(seg)
-    # partition values come back as text; compare as text
-    staged = spark.read.parquet(seg).withColumn("_ok", F.col("_ok").cast("string") == F.lit("true"))
-
-    if on_error == "continue":
-        status = F.when(F.col("error_count") == 0, LOADED).otherwise(PARTIAL)
-        loaded = F.col("row_count")
-    else:
-        status = F.when(F.col("error_count") == 0, LOADED).otherwise(FAILED)
-        loaded = F.when(F.col("error_count") == 0, F.col("row_count")).otherwise(F.lit(0))
-
-    # One pass over the staged rows: a partial + final aggregate by file, written as the
-    # ledger segment. Totals and the failed-file list are then read from that small segment.
-    gen = table.current().generation
-    ledger_rows = (staged.groupBy("_file")
-                   .agg(F.count(F.lit(1)).alias("row_parsed"),
-                        F.sum(F.col("_ok").cast("long")).alias("row_count"),
-                        F.sum((~F.col("_ok")).cast("long")).alias("error_count"),
-                        F.min("_error").alias("first_error"))
-                   .select(F.lit(table_name).alias("table_name"),
-                           F.regexp_extract("_file", r"^(.*/)[^/]*$", 1).alias("stage_location"),
-                           F.regexp_extract("_file", r"([^/]*)$", 1).alias("file_name"),
-                           (ntz_lit(now) if now is not None else F.localtimestamp()).alias("last_load_time"),
-                           "row_parsed", loaded.cast("long").alias("row_count"), "error_count",
-                           "first_error", status.alias("status"),
-                           F.lit(gen).cast("long").alias("generation"), F.col("_file").alias("file_path")))
-    ledger_seg = f"{table.root}/ledger-{seg.rsplit('seg-', 1)[-1]}"
-    ledger_rows.write.parquet(ledger_seg)
-    ledger = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_seg)
+    ledger = spark.read.schema(LEDGER_SCHEMA).parquet(*ledgers)
     totals = ledger.agg(F.count(F.lit(1)).alias("files"), F.sum("row_parsed").alias("parsed"),
                         F.sum("error_count").alias("bad"), F.min("first_error").alias("err")).first()
     n_files, bad = totals["files"], totals["bad"] or 0
     good = (totals["parsed"] or 0) - bad
 
-    ok_seg, bad_seg = f"{seg}/_ok=true", f"{seg}/_ok=false"
-    commit_segments = [ok_seg]
+    commit_segments = [f"{seg}/_ok=true" for seg in staged_segments]
     if on_error == "abort" and bad:
         commit_segments = []
     elif on_error == "skip_file" and bad:
         failed = ledger.where(F.col("error_count") > 0).select(F.col("file_path").alias("_file"))
-        kept = spark.read.parquet(ok_seg).join(failed, "_file", "left_anti")
+        held = [p for p in commit_segments if has_data_files(spark, p)]
+        columns = StructType([*schema.fields, StructField("_file", StringType())])
+        rows = spark.read.schema(columns).parquet(*held) if held else spark.createDataFrame([], columns)
         new_seg = table.new_segment_path()
-        kept.write.parquet(new_seg)
+        rows.join(failed, "_file", "left_anti").write.parquet(new_seg)
         commit_segments = [new_seg]
-        good = spark.read.parquet(new_seg).count() if has_data_files(spark, new_seg) else 0
+        good = ledger.agg(F.sum("row_count")).first()[0] or 0
 
     # one commit publishes the rows and marks their files loaded; an aborted
     # load commits only its ledger rows (status LOAD_FAILED), no data
     text = f"copy into {table_name} from {stage}"
-    table.append_segments(commit_segments, text, now, ledger=[ledger_seg],
+    table.append_segments(commit_segments, text, now, ledger=ledgers,
                           op="copy" if commit_segments else "copy failed")
 
     if rejects_table:
         rt = cat.table(rejects_table)
         if not rt.log():
             rt.create_empty(reject_schema(schema, is_json))
-        rt.append_segments([bad_seg], f"rejects of copy into {table_name}", now)
+        rt.append_segments([f"{seg}/_ok=false" for seg in staged_segments],
+                           f"rejects of copy into {table_name}", now)
 
-    if not commit_segments:
+    if on_error == "abort" and bad:
         raise LoadError(f"copy into {table_name} aborted: {bad} rejected rows; first error: {totals['err']}")
     return LoadReport(n_files, int(good), int(bad), "LOADED" if not bad else on_error.upper())
 
 
+def _stage_files(cat: Catalog, table: VersionedTable, table_name: str, paths: list[str], schema: StructType,
+                 fmt: CsvFormat | str, on_error: str, now) -> tuple[str, str]:
+    """Parse one batch of files into a staged segment and write its ledger segment; returns both paths."""
+    spark = cat.spark
+    parsed = parse_json_variant(spark, paths) if fmt == "json" else parse_csv(spark, paths, schema, fmt)
+    seg = table.new_segment_path()
+    parsed.write.partitionBy("_ok").parquet(seg)
+    # the schema is given, so a batch without any row reads as empty; partition values come back as text
+    staged_schema = StructType([f for f in parsed.schema.fields if f.name != "_ok"]
+                               + [StructField("_ok", StringType())])
+    staged = spark.read.schema(staged_schema).parquet(seg).withColumn("_ok", F.col("_ok") == F.lit("true"))
+
+    if on_error == "continue":
+        status = F.when(F.col("error_count") == 0, LOADED).otherwise(PARTIAL)
+        loaded = F.col("row_count")
+    else:
+        status = F.when(F.col("error_count") == 0, LOADED).otherwise(FAILED)
+        loaded = F.when(F.col("error_count") == 0, F.col("row_count")).otherwise(F.lit(0))
+
+    # One pass over the staged rows: a partial + final aggregate by file. Every file of the batch
+    # gets a ledger row, also one without rows (header only, empty).
+    counts = staged.groupBy("_file").agg(
+        F.count(F.lit(1)).alias("row_parsed"), F.sum(F.col("_ok").cast("long")).alias("row_count"),
+        F.sum((~F.col("_ok")).cast("long")).alias("error_count"), F.min("_error").alias("first_error"))
+    files = spark.createDataFrame([(p,) for p in paths], "_file string")
+    zero = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("row_parsed", "row_count", "error_count")]
+    ledger_rows = (files.join(counts, "_file", "left").select("_file", *zero, "first_error")
+                   .select(F.lit(table_name).alias("table_name"),
+                           F.regexp_extract("_file", r"^(.*/)[^/]*$", 1).alias("stage_location"),
+                           F.regexp_extract("_file", r"([^/]*)$", 1).alias("file_name"),
+                           (ntz_lit(now) if now is not None else utc_now()).alias("last_load_time"),
+                           "row_parsed", loaded.cast("long").alias("row_count"), "error_count",
+                           "first_error", status.alias("status"),
+                           F.lit(table.current().generation).cast("long").alias("generation"),
+                           F.col("_file").alias("file_path")))
+    ledger_seg = f"{table.root}/ledger-{seg.rsplit('seg-', 1)[-1]}"
+    ledger_rows.write.parquet(ledger_seg)
+    return seg, ledger_seg
+
+
 def reject_schema(schema: StructType, is_json: bool) -> StructType:
     if is_json:
         return StructType([StructField("_file", StringType()), StructField("_error", StringType())])

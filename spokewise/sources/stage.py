@@ -8,9 +8,13 @@ dialect's ``PATTERN=`` option.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spokewise.functions._util import utc_ntz
+
 
 def _root(path: str) -> str:
     return path.rstrip("/")
@@ -66,7 +70,7 @@ def list_stage(spark: SparkSession, stage: str, pattern: str | None = None) -> D
     # paths come back fully qualified (file:/..., hdfs://...); strip up to the stage root
     rel = F.regexp_extract(F.col("path"), r"^.*?" + _quote_re(_strip_scheme(root)) + r"/(.*)$", 1)
     out = files.select(F.col("path"), rel.alias("name"), F.col("length").alias("size"),
-                       F.col("modificationTime").cast("timestamp_ntz").alias("last_modified"))
+                       utc_ntz(F.col("modificationTime")).alias("last_modified"))
     if pattern:
         out = out.where(F.col("name").rlike(f"^(?:{pattern})$"))
     return out
@@ -88,15 +92,40 @@ def _quote_re(s: str) -> str:
     return re.escape(s)
 
 
-def file_paths(listing: DataFrame) -> list[str]:
-    """Paths to hand to a reader. File lists are metadata: one string per file."""
-    return [r.path for r in listing.select("path").collect()]
+def plain_path(file_path) -> "F.Column":
+    """``_metadata.file_path`` in the form that listings have.
+
+    The hidden column is URL-encoded (``my%20file.csv``), a listing is not. A
+    plus sign is a plus sign in a path, so it is protected from the decoder.
+    """
+    c = F.col(file_path) if isinstance(file_path, str) else file_path
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
+def literal_paths(paths: list[str]) -> list[str]:
+    """Paths for a reader that takes globs: names with glob characters stand for themselves."""
+    import re
+    return [re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths]
+
+
+def path_batches(listing: DataFrame, size: int) -> Iterator[list[str]]:
+    """The paths of a listing in path order, at most ``size`` at a time, so that the driver never
+    holds the list of a whole stage. Each batch starts after the last path of the one before."""
+    last = None
+    while True:
+        rest = listing if last is None else listing.where(F.col("path") > F.lit(last))
+        batch = [r.path for r in rest.select("path").orderBy("path").limit(size).collect()]
+        if batch:
+            yield batch
+        if len(batch) < size:
+            return
+        last = batch[-1]
 
 
 def with_provenance(df: DataFrame) -> DataFrame:
-    """``metadata$filename`` and file time from the hidden ``_metadata`` column."""
-    return df.select("*", F.col("_metadata.file_path").alias("_file"),
-                     F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("_file_time"))
+    """``metadata$filename`` and file time (UTC wall clock) from the hidden ``_metadata`` column."""
+    return df.select("*", plain_path("_metadata.file_path").alias("_file"),
+                     utc_ntz(F.col("_metadata.file_modification_time")).alias("_file_time"))
 
 
 def day_of_path(path_col) -> "F.Column":

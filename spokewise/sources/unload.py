@@ -20,16 +20,19 @@ from spokewise.functions._util import col, ntz_lit
 from spokewise.functions.jsonfn import JSON_TS_FORMAT
 
 
-def day_range(ts, start: str, stop: str) -> Column:
-    """``to_date(ts) >= start and to_date(ts) <= stop`` as a half-open timestamp range.
+def day_range(ts, start: str | None, stop: str | None) -> Column:
+    """``to_date(ts) >= start and to_date(ts) <= stop`` as a half-open timestamp range; None: no bound.
 
     The range form is a plain comparison on the column, so it is pushed
     into the Parquet scan; ``to_date(ts)`` would not be.
     """
-    lo = _dt.datetime.fromisoformat(start[:10])
-    hi = _dt.datetime.fromisoformat(stop[:10]) + _dt.timedelta(days=1)
-    c = col(ts)
-    return (c >= ntz_lit(lo)) & (c < ntz_lit(hi))
+    c, inside = col(ts), F.lit(True)
+    if start is not None:
+        inside = c >= ntz_lit(_dt.datetime.fromisoformat(start[:10]))
+    if stop is not None:
+        below = c < ntz_lit(_dt.datetime.fromisoformat(stop[:10]) + _dt.timedelta(days=1))
+        inside = below if start is None else inside & below
+    return inside
 
 
 def distinct_days(trips: DataFrame, start: str, stop: str, ts: str = "starttime") -> DataFrame:
@@ -40,14 +43,15 @@ def distinct_days(trips: DataFrame, start: str, stop: str, ts: str = "starttime"
             .orderBy("day"))
 
 
-def unload_json_by_day(trips: DataFrame, out_dir: str, start: str, stop: str,
+def unload_json_by_day(trips: DataFrame, out_dir: str, start: str | None = None, stop: str | None = None,
                        keys: list[str] | None = None, ts: str = "starttime",
                        compression: str = "gzip", partitions: int | None = None,
-                       mode: str = "errorifexists", max_records_per_file: int | None = None) -> None:
+                       mode: str = "errorifexists", max_records_per_file: int | None = None) -> int:
     """Write one JSON document per trip under ``out_dir/day=YYYY-MM-DD/``.
 
     Documents hold ``keys`` in order; NULL values are left out (T6) and
     timestamps are written as wall-clock text with microseconds (T7).
+    Returns the number of days that are in the range.
     """
     keys = keys or schemas.TRIP_DOC_KEYS
     docs = (trips.where(day_range(ts, start, stop))
@@ -61,3 +65,4 @@ def unload_json_by_day(trips: DataFrame, out_dir: str, start: str, stop: str,
      .option("compression", compression)
      .option("maxRecordsPerFile", max_records_per_file or 0)
      .json(out_dir))
+    return trips.where(day_range(ts, start, stop)).agg(F.count_distinct(F.to_date(ts))).first()[0]

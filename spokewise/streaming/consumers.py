@@ -62,6 +62,8 @@ class Consumer:
         return f"{self.state_root}/consumers/{self.name}/files"
 
 
+RAW_FILE = "_raw_file"
+
 RUN_LOG_SCHEMA = StructType(list(schemas.RUN_LOG.fields) + [StructField("run", LongType(), True),
                                                              StructField("rows_in", LongType(), True)])
 
@@ -100,12 +102,13 @@ def change_stream(spark: SparkSession, raw_path: str, raw_schema: StructType = R
     """``create stream s on table raw``: committed raw rows, good ones only.
 
     ``max_files_per_trigger`` bounds a micro-batch, so a consumer that starts
-    behind a large raw table catches up in bounded batches.
+    behind a large raw table catches up in bounded batches. ``RAW_FILE`` names
+    the raw file of each row.
     """
     r = spark.readStream.schema(raw_schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    s = r.parquet(raw_path)
+    s = r.parquet(raw_path).withColumn(RAW_FILE, F.col("_metadata.file_path"))
     return s if include_rejects else s.where(F.col("_ok") == F.lit("true"))
 
 
@@ -134,10 +137,11 @@ def start_consumer(spark: SparkSession, consumer: Consumer, raw_path: str, handl
 
     def process(df: DataFrame, batch_id: int) -> None:
         scheduled = clock.now()
-        handler(drop_failed_files(df) if skip_failed_files else df, batch_id)
-        # every file read by the batch is consumed, also a skipped one
+        handler((drop_failed_files(df) if skip_failed_files else df).drop(RAW_FILE), batch_id)
+        # every file read by the batch is consumed, also a skipped one; a landing file may be spread
+        # over several raw files, of which a bounded batch takes some
         good = df.where(F.col("_ok") == F.lit("true")) if skip_failed_files else df
-        files = good.groupBy("_file").agg(F.count(F.lit(1)).alias("rows"))
+        files = good.groupBy("_file", RAW_FILE).agg(F.count(F.lit(1)).alias("rows"))
         _overwrite_partition(files, consumer.files_log, batch_id)
         rows_in = (spark.read.parquet(f"{consumer.files_log}/batch_id={batch_id}")
                    .agg(F.sum("rows")).first()[0] or 0)

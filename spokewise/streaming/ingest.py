@@ -19,9 +19,10 @@ from pyspark.sql.types import (
 )
 
 from spokewise import schemas
-from spokewise.functions._util import ntz_lit
+from spokewise.functions._util import ntz_lit, utc_ntz
 from spokewise.sources.formats import CsvFormat
 from spokewise.sources.loader import CORRUPT, validate
+from spokewise.sources.stage import plain_path
 
 # fixed value: consumer and pipe cadence of the reference
 DEFAULT_TRIGGER = "1 minute"
@@ -38,7 +39,7 @@ RAW_JSON_SCHEMA = StructType([
 def _load_time(load_time) -> "F.Column":
     if load_time is not None:
         return ntz_lit(load_time)
-    return F.current_timestamp().cast("timestamp_ntz")
+    return utc_ntz(F.current_timestamp())
 
 
 def json_source(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None,
@@ -54,7 +55,7 @@ def json_source(spark: SparkSession, landing: str, max_files_per_trigger: int |
     s = r.load(landing)
     ok = F.col("v").isNotNull()
     return s.select("v", F.when(~ok, F.lit("malformed JSON")).alias("_error"),
-                    F.col("_metadata.file_path").alias("_file"),
+                    plain_path("_metadata.file_path").alias("_file"),
                     _load_time(load_time).alias("_load_time"), ok.alias("_ok"))
 
 
@@ -81,16 +82,14 @@ def start_pipe(source: DataFrame, raw_path: str, checkpoint: str, available_now:
     return w.start()
 
 
-def run_pipe_once(source: DataFrame, raw_path: str, checkpoint: str, ledger: bool = True) -> int:
-    """Process every file present now, in as many micro-batches as the source allows,
-    then bring the pipe's load ledger up to date."""
+def run_pipe_once(source: DataFrame, raw_path: str, checkpoint: str) -> int:
+    """Process every file present now, in as many micro-batches as the source allows, then bring the
+    pipe's load ledger up to date. Returns the number of rows parsed, as the ledger counts them."""
     q = start_pipe(source, raw_path, checkpoint, available_now=True)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    if ledger:
-        update_pipe_ledger(source.sparkSession, raw_path, checkpoint)
-    return sum(p.get("numInputRows", 0) for p in q.recentProgress)
+    return update_pipe_ledger(source.sparkSession, raw_path, checkpoint)
 
 
 LEDGER_SOURCE_SCHEMA = StructType([
@@ -124,8 +123,9 @@ def _file_counts(rows: DataFrame) -> DataFrame:
                  F.min("_error").alias("first_error")))
 
 
-def update_pipe_ledger(spark: SparkSession, raw_path: str, pipe_checkpoint: str) -> None:
-    """Per-file load counts of the pipe, kept incrementally (copy_history, S12/T-13).
+def update_pipe_ledger(spark: SparkSession, raw_path: str, pipe_checkpoint: str) -> int:
+    """Per-file load counts of the pipe, kept incrementally (copy_history, S12/T-13); returns the rows
+    parsed in the newly counted files.
 
     A change stream over the raw sink reads only the four bookkeeping
     columns of newly committed raw files and writes one row per loaded file
@@ -133,11 +133,13 @@ def update_pipe_ledger(spark: SparkSession, raw_path: str, pipe_checkpoint: str)
     and purge queries read this small table instead of scanning the raw rows.
     """
     out = pipe_ledger_path(raw_path)
+    batches: list[int] = []
 
     def process(df: DataFrame, batch_id: int) -> None:
         (_file_counts(df).withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(out))
+        batches.append(batch_id)
 
     q = (spark.readStream.schema(LEDGER_SOURCE_SCHEMA).parquet(raw_path).writeStream
          .foreachBatch(process).option("checkpointLocation", pipe_checkpoint.rstrip("/") + "_ledger")
@@ -145,6 +147,11 @@ def update_pipe_ledger(spark: SparkSession, raw_path: str, pipe_checkpoint: str)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+    if not batches:
+        return 0
+    counted = spark.read.schema(StructType([*PIPE_LEDGER_SCHEMA.fields, StructField("batch_id", LongType())])).parquet(out).where(
+        F.col("batch_id").isin(batches))  # partition pruned
+    return counted.agg(F.sum("row_parsed")).first()[0] or 0
 
 
 def read_pipe_ledger(spark: SparkSession, raw_path: str) -> DataFrame:
@@ -161,14 +168,18 @@ def read_pipe_ledger(spark: SparkSession, raw_path: str) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, raw_path: str, schema: StructType = RAW_JSON_SCHEMA,
-             include_rejects: bool = False, skip_failed_files: bool = False) -> DataFrame:
+             include_rejects: bool = False, skip_failed_files: bool = False,
+             raw_file: str | None = None) -> DataFrame:
     """Batch read of the committed raw rows (the reader honours ``_spark_metadata``).
 
     ``skip_failed_files`` gives the pipe skip-file semantics (T18): good rows of a
     file that also had a rejected row are left out. The failed files come from the
     small ``_ok=false`` partition (partition-pruned), joined as an anti-join.
+    ``raw_file`` names a column for each row's raw file.
     """
     df = spark.read.schema(schema).parquet(raw_path)
+    if raw_file:
+        df = df.withColumn(raw_file, F.col("_metadata.file_path"))
     if include_rejects:
         return df
     good = df.where(F.col("_ok") == F.lit("true"))

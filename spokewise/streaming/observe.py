@@ -15,7 +15,7 @@ from spokewise.functions._util import ntz_lit
 from spokewise.sources.stage import list_stage
 from spokewise.sources.tables import has_data_files
 from spokewise.streaming.consumers import (
-    RUN_LOG_SCHEMA, Consumer, next_run_path, read_run_log, run_log_path,
+    RAW_FILE, RUN_LOG_SCHEMA, Consumer, next_run_path, read_run_log, run_log_path,
 )
 from spokewise.streaming.ingest import RAW_JSON_SCHEMA, pipe_history, read_pipe_ledger, read_raw
 
@@ -27,15 +27,15 @@ def _ts(now):
 def peek(spark: SparkSession, consumer: Consumer, raw_path: str, skip_failed_files: bool = False) -> DataFrame:
     """``select * from stream``: rows the consumer has not consumed yet, without consuming them.
 
-    Raw rows whose source file is absent from the consumer's file log; the
-    file log is small (one row per file) and the anti-join keeps raw rows
-    where they are.
+    Raw rows whose raw file is absent from the consumer's file log. The log has one row per source
+    and raw file, so the answer is exact also when a bounded batch has consumed some of the raw files
+    of a source file. The raw table is scanned (only the columns that are asked for).
     """
-    raw = read_raw(spark, raw_path, skip_failed_files=skip_failed_files)
-    if not has_data_files(spark, consumer.files_log):
-        return raw
-    done = spark.read.parquet(consumer.files_log).select("_file").distinct()
-    return raw.join(done, "_file", "left_anti")
+    raw = read_raw(spark, raw_path, skip_failed_files=skip_failed_files, raw_file=RAW_FILE)
+    if has_data_files(spark, consumer.files_log):
+        done = spark.read.parquet(consumer.files_log).select(RAW_FILE).distinct()
+        raw = raw.join(done, RAW_FILE, "left_anti")
+    return raw.drop(RAW_FILE)
 
 
 def pending_files(spark: SparkSession, landing: str, raw_path: str, pattern: str | None = None) -> DataFrame:
@@ -68,6 +68,22 @@ def purge_candidates(spark: SparkSession, raw_path: str, table_name: str, landin
             .select("filename", "file_name", "stage_location", "row_count"))
 
 
+def purge(candidates: DataFrame) -> int:
+    """Remove the files of ``purge_candidates`` from the stage; returns how many were there to remove.
+
+    The paths are streamed one partition at a time; the window of the candidates bounds their number.
+    """
+    from spokewise.sources.fsio import delete_file
+    spark = candidates.sparkSession
+    return sum(delete_file(spark, r.filename) for r in candidates.select("filename").toLocalIterator())
+
+
+def purge_after(batches: int, spark: SparkSession, raw_path: str, table_name: str, landing: str, now,
+                hours: int = 10) -> int:
+    """The step that depends on a consumer (T-9): purge when the consumer ran ``batches`` > 0 batches."""
+    return purge(purge_candidates(spark, raw_path, table_name, landing, now, hours)) if batches else 0
+
+
 def run_history(spark: SparkSession, state_root: str) -> DataFrame:
     """``task_history()``: executed runs plus the next scheduled run of each task."""
     cols = [f.name for f in RUN_LOG_SCHEMA.fields]
@@ -133,4 +149,4 @@ def one_row(metrics: list[DataFrame]) -> DataFrame:
 
 
 __all__ = ["RAW_JSON_SCHEMA", "load_history", "next_runs", "overview", "peek", "pending_files",
-           "purge_candidates", "recent_runs", "run_history"]
+           "purge", "purge_after", "purge_candidates", "recent_runs", "run_history"]

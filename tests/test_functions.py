@@ -101,19 +101,6 @@ def test_concat_null_propagates(spark):
     assert one(spark, F.concat(F.lit("Station at "), F.lit(None).cast("string"))) is None
 
 
-def test_sql_functions(spark):
-    from spokewise.functions.sqlfuncs import register_sql_functions
-    register_sql_functions(spark)
-    r = spark.sql("""select boundary_diff('minute', timestamp_ntz'2024-01-01 00:00:59', timestamp_ntz'2024-01-01 00:01:01') m,
-                            boundary_diff('"second"', timestamp_ntz'2024-01-01 00:00:00.9', timestamp_ntz'2024-01-01 00:00:01.1') s,
-                            trunc_ntz('hour', timestamp_ntz'2024-03-10 02:30:00') h,
-                            round_int(2.5) r,
-                            simple_mask_int(CAST(NULL AS INT), 'sysadmin') mi,
-                            simple_mask_string('x', 'ACCOUNTADMIN') ms,
-                            round(haversine(0.0, 0.0, 1.0, 0.0), 6) d""").first()
-    assert (r.m, r.s, r.h, r.r, r.mi, r.ms, r.d) == (1, 1, dt.datetime(2024, 3, 10, 2), 3, -999, "x", 111.194927)
-
-
 def test_workdir_under_file_uri_checkpoint_dir(spark, monkeypatch):
     import os
 

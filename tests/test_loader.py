@@ -215,3 +215,76 @@ def test_pattern_glob_narrows_listing_and_regex_decides(spark, workdir):
     assert names(r".*[.]csv[.]gz") == ["a.csv.gz", "sub/b.csv.gz"]
     assert names(r".*[.]csv.gz") == ["a.csv.gz", "c.csvXgz", "sub/b.csv.gz"]
     assert names(r"sub/.*") == ["sub/b.csv.gz"]
+
+
+def _two_columns():
+    return StructType([StructField("a", IntegerType()), StructField("b", StringType())])
+
+
+def test_odd_names_empty_files_and_small_batches(spark, workdir, monkeypatch):
+    """Names that need encoding or look like globs are loaded once; every listed file gets a ledger row."""
+    stage = f"{workdir}/stage"
+    os.makedirs(stage)
+    for k, name in enumerate(["my file.csv", "a[1].csv", "x+y%20z.csv", "q{1}.csv", "plain.csv"]):
+        with open(f"{stage}/{name}", "w") as f:
+            f.write(f"h1,h2\n{k},v{k}\n")
+    with open(f"{stage}/header only.csv", "w") as f:
+        f.write("h1,h2\n")
+    monkeypatch.setattr(loader, "FILES_PER_BATCH", 2)
+    cat = loader.Catalog(spark, f"{workdir}/db")
+    fmt = CsvFormat(skip_header=1)
+    first = loader.copy_into(cat, "t", stage, _two_columns(), fmt)
+    again = loader.copy_into(cat, "t", stage, _two_columns(), fmt)
+    assert (first.files, first.rows_loaded, again.files) == (6, 5, 0)
+    assert sorted(r.a for r in cat.table("t").read().collect()) == [0, 1, 2, 3, 4]
+    assert {r.file_name: r.row_count for r in cat.load_history("t").collect()}["header only.csv"] == 0
+
+
+def test_stage_without_rows(spark, workdir):
+    stage = f"{workdir}/stage"
+    os.makedirs(stage)
+    with open(f"{stage}/h.csv", "w") as f:
+        f.write("h1,h2\n")
+    cat = loader.Catalog(spark, f"{workdir}/db")
+    report = loader.copy_into(cat, "t", stage, _two_columns(), CsvFormat(skip_header=1))
+    assert (report.files, report.rows_loaded) == (1, 0)
+    assert cat.table("t").read().collect() == []
+
+
+def test_undone_loads_are_pending_again(spark, workdir):
+    stage = f"{workdir}/stage"
+    os.makedirs(stage)
+    with open(f"{stage}/d.csv", "w") as f:
+        f.write("1,x\n2,y\n")
+    cat = loader.Catalog(spark, f"{workdir}/db")
+
+    def load():
+        return loader.copy_into(cat, "t", stage, _two_columns(), CsvFormat()).rows_loaded
+
+    t = cat.table("t")
+    assert (load(), load()) == (2, 0)
+    t.replace(t.read(), "update")  # an update keeps what is loaded
+    assert load() == 0
+    t.restore_before(t.log()[1].query_id)
+    assert load() == 2
+    t.drop()
+    t.undrop()
+    assert load() == 0
+    t.create_empty(_two_columns())
+    assert (load(), t.read().count()) == (2, 2)
+    assert cat.load_history("t").count() == 3
+
+
+def test_two_handles_agree_and_versions_are_created_once(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from spokewise.sources import fsio
+    from spokewise.sources.tables import VersionedTable
+    a, b = (VersionedTable(spark, f"{workdir}/t") for _ in range(2))
+    a.create(spark.range(3).select(F.col("id").cast("int").alias("a"), F.lit("x").alias("b")))
+    assert b.read().count() == 3
+    a.append(a.read().limit(2))
+    assert b.read().count() == 5 and b.append(b.read().limit(1)).version == 2 and a.read().count() == 6
+    with pytest.raises(Exception):
+        fsio.write_text(spark, f"{a.log_path}/{0:020d}.json", "{}")
+    assert a.entry(0).op == "create" and VersionedTable(spark, f"{workdir}/t").read().count() == 6

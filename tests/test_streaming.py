@@ -154,3 +154,48 @@ def test_pipe_skip_file_semantics(spark, workdir):
     with pytest.raises(ValueError):
         cs.start_consumer(spark, c, raw, cs.push_trips_handler(f"{workdir}/bt"), skip_failed_files=True,
                           max_files_per_trigger=2)
+
+
+def test_peek_after_an_interrupted_bounded_consumer(spark, workdir):
+    """A landing file spread over several raw files is consumed in part: peek returns exactly the rest."""
+    import json
+    import os
+
+    import pytest
+    landing, raw = f"{workdir}/landing", f"{workdir}/raw"
+    os.makedirs(landing)
+    for f in range(2):
+        with open(f"{landing}/f{f}.json", "w") as out:
+            out.writelines(json.dumps({"tripduration": 10 * f + k, "usertype": "u" * 50}) + "\n" for k in range(20))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400")
+    try:
+        ig.run_pipe_once(ig.json_source(spark, landing), raw, f"{workdir}/ck")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    total = ig.read_raw(spark, raw).count()
+    assert total == 40
+    c, done = cs.Consumer("push_trips", f"{workdir}/state"), []
+
+    def handler(df, batch_id):
+        if batch_id == 2:
+            raise RuntimeError("stopped")
+        done.append(df.count())
+
+    with pytest.raises(Exception):
+        cs.await_all(cs.start_consumer(spark, c, raw, handler, max_files_per_trigger=1))
+    assert 0 < sum(done) < total and ob.peek(spark, c, raw).count() == total - sum(done)
+
+
+def test_row_count_beyond_the_progress_window(spark, workdir):
+    import os
+    landing = f"{workdir}/landing"
+    os.makedirs(landing)
+    for f in range(6):
+        with open(f"{landing}/f{f}.json", "w") as out:
+            out.write('{"a": 1}\n{"a": 2}\n')
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        src = ig.json_source(spark, landing, max_files_per_trigger=1)
+        assert ig.run_pipe_once(src, f"{workdir}/raw", f"{workdir}/ck") == 12
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
