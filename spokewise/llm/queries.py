@@ -94,4 +94,46 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN page_id < last_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN page_id < last_id THEN last_id END AS refers_to
         FROM m""",
+    "op5_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             windows AS (SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS k
+                         FROM d, unnest(range(1, len(w) - 18)) AS t(s)),
+             later AS (SELECT doc_id, s FROM windows QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, s) > 1),
+             gone AS (SELECT DISTINCT doc_id, s + o AS p FROM later, range(0, 20) AS t(o)),
+             words AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+             kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n
+                      FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+               sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
+    "op10_quality_rules": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text,
+                          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             windows AS (SELECT doc_id, s, array_to_string(w[s:s + 7], ' ') AS k
+                         FROM d, unnest(range(1, len(w) - 6)) AS t(s)),
+             twice AS (SELECT doc_id, s FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1),
+             repeated AS (SELECT doc_id, count(DISTINCT s + o) AS n FROM twice, range(0, 8) AS t(o) GROUP BY doc_id),
+             lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+             judged AS (SELECT doc_id, line, length(line) - length(replace(line, ' ', '')) + 1 AS n,
+                               length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
+                               regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS v
+                        FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+             failing AS (SELECT *, len(regexp_extract_all(line, '[#*$%&|<>]')) > greatest(1.0::DOUBLE, 0.1::DOUBLE * n)
+                                OR len(regexp_extract_all(line, '[!?]')) > greatest(1.0::DOUBLE, 0.3::DOUBLE * n)
+                                OR regexp_matches(line, '@NAVIGATION@') OR regexp_matches(line, '@BOILERPLATE@')
+                                OR len(list_filter(range(1, len(v) - 3), lambda i: v[i] = v[i + 1] AND v[i] = v[i + 2]
+                                                   AND v[i] = v[i + 3] AND v[i] = v[i + 4])) > 0 AS fails
+                         FROM judged),
+             by_doc AS (SELECT doc_id, count(*) - count(DISTINCT line) AS dup, sum(chars) FILTER (WHERE fails) AS lost
+                        FROM failing GROUP BY doc_id),
+             base AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+                             len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+                             coalesce(dup, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+                             coalesce(lost, 0) AS lost,
+                             len(w) < 20 OR 100 * coalesce(r.n, 0) > 30 * len(w) AS base_failed
+                      FROM d LEFT JOIN by_doc USING (doc_id) LEFT JOIN repeated r USING (doc_id))
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND lost <= 0.3::DOUBLE * word_chars AS kept
+        FROM base""".replace("@NAVIGATION@", quality_rules.NAVIGATION).replace(
+        "@BOILERPLATE@", quality_rules.BOILERPLATE),
 }
