@@ -82,11 +82,15 @@ def write_lines(lines: DataFrame, path: str, header: str | None = None,
 
 
 def write_trips_csv(trips: DataFrame, path: str, header: bool = False, quote_strings: bool = True,
-                    corrupt: bool = False, mismatch: bool = False, compression: str = "gzip") -> None:
+                    corrupt: bool = False, mismatch: bool = False, compression: str = "gzip",
+                    one_file_per_day: bool = False) -> None:
+    """Trips as ``day=.../part-*.csv``; with ``one_file_per_day`` each day is dealt to one writing task."""
     lines = csv_lines(trips, quote_strings,
                       corrupt=bad_rule() if corrupt else None,
                       long_row=long_rule() if mismatch else None,
                       short_row=short_rule() if mismatch else None)
+    if one_file_per_day:
+        lines = lines.repartition("day")
     write_lines(lines, path, ",".join(trips.columns) if header else None, compression)
 
 

@@ -95,10 +95,9 @@ def q_csv_load_rejects(spark, sf):
 SELECT {TRIP_COLS} FROM v_trips WHERE CAST(starttime AS DATE) NOT IN
   (SELECT DISTINCT CAST(starttime AS DATE) FROM v_trips WHERE {fx.BAD_RULE_SQL})""")
 def q_csv_load_skip_file(spark, sf):
-    # One file per day folder (the fixture write is not shuffled and the
-    # source has one row group), so "skip the file" = "skip the day".
+    # one file per day folder, so "skip the file" = "skip the day"
     root, cat = _catalog(spark, "skipfile")
-    stage = _csv_stage(spark, sf, root, header=True, corrupt=True)
+    stage = _csv_stage(spark, sf, root, header=True, corrupt=True, one_file_per_day=True)
     loader.copy_into(cat, "trips", stage, schemas.TRIPS, FORMAT_A, on_error="skip_file",
                      pattern=CSV_GZ, now=LOAD_NOW)
     return cat.table("trips").read()
@@ -196,12 +195,12 @@ def q_distinct_files(spark, sf):
     return files.select(F.date_format(day_of_path("_file"), "yyyy-MM-dd").alias("file_day")).distinct()
 
 
-@register("count_distinct_files", ids="A7")
+@register("count_distinct_files", ids="A7", oracle=TRIPS + f"""
+SELECT count(DISTINCT CAST(starttime AS DATE)) AS files_in_bucket, count(*) AS rows FROM v_trips""")
 def q_count_distinct_files(spark, sf):
-    # count(distinct metadata$filename): exact count of files holding rows.
-    # No oracle: the number of files depends on the physical write layout.
+    # count(distinct metadata$filename): files holding rows, of which the stage has one per day
     root = new_workdir(spark, "cdfiles")
-    stage = _csv_stage(spark, sf, root, header=False)
+    stage = _csv_stage(spark, sf, root, header=False, one_file_per_day=True)
     rows = with_provenance(spark.read.options(**FORMAT_B.reader_options()).schema(schemas.TRIPS).csv(stage))
     return rows.agg(F.count_distinct("_file").alias("files_in_bucket"), F.count(F.lit(1)).alias("rows"))
 
@@ -371,3 +370,15 @@ def q_ctas_replace(spark, sf):
 def q_sample_limit(spark, sf):
     # select * from trips limit 20: any 20 rows; rows-only check (no order is implied)
     return v_trips(spark, sf).limit(20)
+
+
+@register("sample_members", ids="S21 O5", oracle=TRIPS + """
+SELECT least(20, count(*)) AS sampled, least(20, count(*)) AS members FROM v_trips""")
+def q_sample_members(spark, sf):
+    # the sample itself is arbitrary: its size, and how many of its rows are rows of the table
+    trips = v_trips(spark, sf)
+    s = trips.limit(20)
+    key = F.xxhash64(*trips.columns).alias("h")
+    members = s.select(key).join(trips.select(key).distinct(), "h", "left_semi")
+    return s.agg(F.count(F.lit(1)).alias("sampled")).select(
+        "sampled", F.lit(members.count()).cast("long").alias("members"))
