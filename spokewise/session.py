@@ -9,7 +9,6 @@ tests where the setting is absent.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -84,10 +83,15 @@ def shared_dir(spark: SparkSession) -> str:
 def new_workdir(spark: SparkSession, tag: str) -> str:
     """A fresh, never-reused folder under the shared work folder."""
     base = shared_dir(spark)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
     if base.startswith("file:"):
-        # file:/x, file:///x -> /x (a leading // would read as a host name)
-        base = "/" + base[len("file:"):].lstrip("/")
+        # file:/x, file:///x -> /x (a leading // would read as a host name); the scheme stays where
+        # a plain path would mean another file system
+        plain = "/" + base[len("file:"):].lstrip("/")
+        base = plain if conf.get("fs.defaultFS", "file:///").startswith("file:") else f"file://{plain}"
     path = f"{base}/spokewise/{tag}-{uuid.uuid4().hex[:12]}"
     if "://" not in path:
-        os.makedirs(path, exist_ok=True)
+        # made on the file system that a plain path names, which need not be the driver's disk
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).mkdirs(p)
     return path
