@@ -126,6 +126,8 @@ def judge(docs: DataFrame, text: str = "text", out: str = "quality") -> DataFram
 
 def clean(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without rejected documents; the text keeps the lines that passed."""
-    judged = judge(docs, text, "__quality")
+    # a generator, because a filter on a plain column would be pushed down and judge every text twice
+    judged = judge(docs, text, "__judged").select(
+        "*", F.explode(F.array("__judged")).alias("__quality")).drop("__judged")
     kept = judged.where(F.col("__quality.kept"))
     return kept.withColumn(text, F.col("__quality.clean_text")).drop("__quality")
