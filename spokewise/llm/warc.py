@@ -20,7 +20,8 @@ response and reads back as null; rows that repeat the largest id of equal
 payloads are all responses; CR and LF in a url are written as %0D and %0A,
 a null url has no target line. An empty table gives no archive and an
 empty result. An archive whose chain does not end at its last byte is
-reported by ``broken_archives``. Archives are read whole, one at a time, by
+reported by ``broken_archives``, and ``page_digests`` fails on one. Headers
+may be of any length. Archives are read whole, one at a time, by
 a task: write them with a size that an executor can hold.
 """
 
@@ -45,7 +46,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-dig
 
 MIN_BYTES = 1000            # payloads from this size on are written once
 ARCHIVE_BYTES = 16 << 20    # aimed at for one archive
-HEADER_BYTES = 64 << 10     # a header longer than this is no header
+EMPTY_GZIP = 20             # bytes of a gzip file without content
 
 _HEADER = "offset long, next long, record_id string, type string, refers_id string, uri string, digest string, " \
           "bytes long, sha1 string, payload binary"
@@ -102,30 +103,46 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_BYTES,
                    archive_bytes: int = ARCHIVE_BYTES, compression: str = "gzip") -> str:
     """Write one record per row of ``pages`` (page_id, url, html) into archives below ``folder``
     (``compression``: gzip or none, of the whole archive)."""
-    size = pages.agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0)) + 512)).first()[0] or 0
+    size = pages.agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0)).cast("long")
+                            + F.coalesce(F.octet_length("url"), F.lit(0)) + 512)).first()[0] or 0
     rows = plan_records(pages, 1 + size // archive_bytes, min_bytes).select(record().alias("value"))
     rows.write.option("lineSep", END).option("compression", compression).text(folder)
     return folder
 
 
-def _field(header: bytes, name: bytes) -> str | None:
-    m = re.search(rb"(?im)^" + re.escape(name) + rb":[ \t]*(.*?)[ \t]*\r?$", header)
-    return m[1].decode("utf-8", "replace") if m else None
+class _Fields:
+    """Header lines of ``data`` by name. Places are asked for in rising order and every match is kept
+    until it is passed, so that all questions together read the data once per name."""
+
+    def __init__(self, data: bytes):
+        self.data, self.found = data, {}
+
+    def get(self, name: bytes, at: int, end: int) -> str | None:
+        """Value of the first line of that name between ``at`` and ``end``."""
+        m = self.found.get(name, False)
+        if m is False or m is not None and m.start() < at:
+            m = self.found[name] = re.compile(rb"(?im)^" + re.escape(name) + rb":([^\n]*)").search(self.data, at)
+        if m is None or m.start() >= end:
+            return None
+        return m[1].removesuffix(b"\r").strip(b" \t").decode("utf-8", "replace")
 
 
 def _candidates(data: bytes) -> Iterator[tuple]:
     """Every place of the magic with the header fields, payload and the offset of its successor."""
-    magic, at = MAGIC.encode(), data.find(MAGIC.encode())
+    magic, fields, end = MAGIC.encode(), _Fields(data), -1
+    at = data.find(magic)
     while at >= 0:
-        end = data.find(b"\r\n\r\n", at, at + HEADER_BYTES)
-        header = data[at:end] if end >= 0 else b""
-        length = _field(header, b"Content-Length")
-        if length is not None and length.isascii() and length.isdigit():
+        if end < at:
+            end = data.find(b"\r\n\r\n", at)
+            if end < 0:
+                return
+        length = fields.get(b"Content-Length", at, end)
+        if length is not None and length.isascii() and length.isdigit() and len(length) < 19:
             start, stop = end + 4, end + 4 + int(length)
             if data[stop:stop + 4] == b"\r\n\r\n":
-                yield (at, stop + 4, _field(header, b"WARC-Record-ID"), _field(header, b"WARC-Type"),
-                       _field(header, b"WARC-Refers-To"), _field(header, b"WARC-Target-URI"),
-                       _field(header, b"WARC-Payload-Digest"), start, stop)
+                yield (at, stop + 4, *(fields.get(x, at, end) for x in (
+                    b"WARC-Record-ID", b"WARC-Type", b"WARC-Refers-To", b"WARC-Target-URI", b"WARC-Payload-Digest")),
+                       start, stop)
         at = data.find(magic, at + 1)
 
 
@@ -182,25 +199,34 @@ def reachable(links: DataFrame) -> DataFrame:
     return reached
 
 
+def _chained(spark: SparkSession, folder: str, payloads: bool) -> DataFrame:
+    """The candidates that the chains reach."""
+    found = written(candidates(spark, folder, payloads), "warc-candidates")
+    chain = reachable(found.select("archive", "offset", "next"))
+    return found.join(chain, ["archive", "offset"], "left_semi")
+
+
 def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     """The records of the archives: path, offset, record_id, type, refers_id, uri, digest (as the header
     has it), bytes and sha1 of the payload, payload (binary; null without ``payloads``)."""
-    found = written(candidates(spark, folder, payloads), "warc-candidates")
-    chain = reachable(found.select("archive", "offset", "next"))
-    return found.join(chain, ["archive", "offset"], "left_semi").drop("archive", "size", "next")
+    return _chained(spark, folder, payloads).drop("archive", "size", "next")
 
 
-def broken_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, size, chain_end) of archives whose chain does not end at the last byte (null: no chain)."""
-    found = written(candidates(spark, folder, False), "warc-candidates")
-    chain = found.join(reachable(found.select("archive", "offset", "next")), ["archive", "offset"], "left_semi")
-    ends = chain.groupBy("path").agg(F.max("next").alias("chain_end"), F.max("size").alias("size"))
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).where(
-        "length > 0").select("path")
+def _broken(spark: SparkSession, folder: str, chained: DataFrame) -> DataFrame:
+    ends = chained.groupBy("path").agg(F.max("next").alias("chain_end"), F.max("size").alias("size"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
+    # a task without pages writes no text: nothing, or a gzip frame of EMPTY_GZIP bytes
+    files = files.where((F.col("length") > 0) & ~(F.col("path").endswith(".gz") & (F.col("length") <= EMPTY_GZIP)))
+    files = files.select("path")
     return files.join(ends, "path", "left").where("chain_end is null or chain_end != size").select(
         "path", "size", "chain_end")
 
 
+def broken_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, size, chain_end) of archives whose chain does not end at the last byte (null: no chain)."""
+    return _broken(spark, folder, _chained(spark, folder, False))
+
+
 def page_digests(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Write ``pages``, read the archives back and return the contract's columns per record."""
     spark = pages.sparkSession
@@ -209,9 +235,12 @@ def page_digests(pages: DataFrame, folder: str | None = None) -> DataFrame:
     def number(c: str) -> Column:
         return F.regexp_extract(F.coalesce(c, F.lit("")), r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
 
-    rec = written(read_archives(spark, folder, payloads=False).select(
-        number("record_id").alias("page_id"), "type", number("refers_id").alias("refers_to"), "bytes", "sha1"),
-        "warc-records")
+    rec = written(_chained(spark, folder, payloads=False).select(
+        "path", "size", "next", number("record_id").alias("page_id"), "type", number("refers_id").alias("refers_to"),
+        "bytes", "sha1"), "warc-records")
+    broken = _broken(spark, folder, rec).limit(3).collect()
+    if broken:
+        raise ValueError(f"archives whose records do not reach the last byte: {broken}")
     # a revisit's payload is its response's
     full = rec.where("type = 'response' and page_id is not null").select(
         F.col("page_id").alias("refers_to"), F.col("bytes").alias("r_bytes"), F.col("sha1").alias("r_sha1"))

@@ -2,6 +2,7 @@ import hashlib
 import tempfile
 
 import duckdb
+import pytest
 
 from spokewise.llm import warc
 from spokewise.llm.queries import ORACLE_SQL, op3_warc
@@ -69,3 +70,21 @@ def test_query_matches_sql(spark):
     want = duckdb.sql(ORACLE_SQL["op3_warc"]).fetchall()
     cols = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in op3_warc(spark, SF).select(*cols).collect())
+
+
+def test_very_long_url_keeps_the_chain(spark):
+    rows = [*PAGES, (20, "data:," + "x" * 200_000, "<p>long url"), (21, "http://after/", BIG), (22, "u" * 65_536, BIG)]
+    assert sorted(str(tuple(r)) for r in warc.page_digests(pages(spark, rows)).collect()) == expected(rows)
+
+
+def test_digests_fail_on_a_broken_chain(spark, monkeypatch):
+    write = warc.write_archives
+
+    def cut(pages, folder):
+        out = write(pages, folder)
+        spark.createDataFrame([("garbage",)], "value string").write.mode("append").text(out)
+        return out
+
+    monkeypatch.setattr(warc, "write_archives", cut)
+    with pytest.raises(ValueError, match="last byte"):
+        warc.page_digests(pages(spark))
