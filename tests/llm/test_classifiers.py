@@ -135,3 +135,12 @@ def test_licence_variants_and_edge_rows(spark):
     assert licenses.families(edge_docs(spark), licenses.train(edge_docs(spark, []))).count() == len(ROWS)
     plan = licenses.scan(edge_docs(spark), model)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_licence_of_a_third_of_the_rows_is_found(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    notice = "\nLicensed under the Apache License, Version 2.0."
+    hot = docs.withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(notice))).otherwise(
+        F.col("text")))
+    got = licenses.families(hot, licenses.train(hot)).where(F.col("doc_id") % 3 == 0).select("families").collect()
+    assert got and all("apache" in r.families for r in got)
