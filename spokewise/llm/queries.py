@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise.llm import bpe, decontamination, licenses, line_dedup, quality_gam, quality_rules, simhash_bktree, substring_dedup, toxicity, warc
+from spokewise.llm import (
+    bpe, decontamination, hard_negatives, licenses, line_dedup, quality_gam, quality_rules, simhash_bktree,
+    substring_dedup, toxicity, warc, whitening,
+)
 from spokewise.llm.common import held_out, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +75,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "q.base_failed", "q.kept")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null where the exact number does not fit a long."""
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"), components=8, scale=1024, offset=100_000)
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("long")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0, positives=5, negatives=10, low=30, high=90, scale=256)
+
+
 QUERIES: dict[str, Builder] = {
     "op1_licenses": op1_licenses,
     "op2_quality_gam": op2_quality_gam,
@@ -83,6 +99,8 @@ QUERIES: dict[str, Builder] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op11_whitening": op11_whitening,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -136,4 +154,21 @@ ORACLE_SQL: dict[str, str] = {
                NOT base_failed AND lost <= 0.3::DOUBLE * word_chars AS kept
         FROM base""".replace("@NAVIGATION@", quality_rules.NAVIGATION).replace(
         "@BOILERPLATE@", quality_rules.BOILERPLATE),
+    "op12_hard_negatives": """
+        WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x
+                   FROM embeddings
+                   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+                     AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+             pairs AS (SELECT a.id AS anchor_id, b.id AS other_id, a.label = b.label AS same,
+                              list_dot_product(a.x, b.x)::BIGINT AS score
+                       FROM v a JOIN v b ON a.id <> b.id WHERE a.id % 100 = 0),
+             near AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pairs WHERE same
+                      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id
+                                                          ORDER BY score DESC, other_id)::INTEGER AS rank,
+               other_id AS negative_id, positive_score, score AS negative_score
+        FROM near JOIN pairs USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 10""",
 }
