@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spokewise.llm import (
-    bpe, decontamination, hard_negatives, licenses, line_dedup, quality_gam, quality_rules, simhash_bktree,
-    substring_dedup, toxicity, warc, whitening,
+    bpe, decontamination, hard_negatives, licenses, line_dedup, pitman_yor, quality_gam, quality_rules,
+    simhash_bktree, substring_dedup, toxicity, warc, whitening,
 )
 from spokewise.llm.common import held_out, table
 
@@ -88,6 +88,12 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows, F.col("id") % 100 == 0, positives=5, negatives=10, low=30, high=90, scale=256)
 
 
+def op13_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``held_out`` rows (remainder 1) are scored only; the others are learned from, and scored too."""
+    held = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8")) % 5 == 1
+    return pitman_yor.score(table(spark, sf_dir, "documents"), held)
+
+
 QUERIES: dict[str, Builder] = {
     "op1_licenses": op1_licenses,
     "op2_quality_gam": op2_quality_gam,
@@ -101,6 +107,7 @@ QUERIES: dict[str, Builder] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_whitening": op11_whitening,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_pitman_yor": op13_pitman_yor,
 }
 
 ORACLE_SQL: dict[str, str] = {
