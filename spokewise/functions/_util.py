@@ -31,3 +31,8 @@ def utc_now() -> Column:
     """The present UTC wall-clock time as a literal."""
     import datetime as _dt
     return ntz_lit(_dt.datetime.now(_dt.timezone.utc))
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row, also where ``body`` uses it inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -94,6 +94,21 @@ def write_trips_csv(trips: DataFrame, path: str, header: bool = False, quote_str
     write_lines(lines, path, ",".join(trips.columns) if header else None, compression)
 
 
+def write_records_csv(trips: DataFrame, path: str, escaped: Column) -> None:
+    """Plain ``day=.../part-*.txt`` files with bad-rule rows; text fields are enclosed or, where ``escaped``,
+    bare with a backslash before delimiters and backslashes. A record may span lines."""
+    toks = []
+    for f in trips.schema.fields:
+        tok = _token(f.name, f.dataType, True)
+        if isinstance(f.dataType, StringType):
+            bare = F.regexp_replace(F.col(f.name), r"([,\\])", r"\\$1")
+            tok = F.when(escaped, F.coalesce(bare, F.lit(""))).otherwise(tok)
+        toks.append(tok)
+    toks[0] = F.when(bad_rule(), F.concat(F.lit("x"), toks[0])).otherwise(toks[0])
+    (trips.select(F.date_format(F.to_date("starttime"), "yyyy-MM-dd").alias("day"), F.concat_ws(",", *toks).alias("value"))
+     .write.partitionBy("day").text(path))
+
+
 def write_trips_json(trips: DataFrame, path: str, malformed: bool = False) -> None:
     """Trip documents as JSON lines per day; with ``malformed`` the bad-rule rows are cut short."""
     from spokewise.functions.jsonfn import object_json
@@ -112,4 +127,4 @@ def write_weather_json(fields: DataFrame, path: str) -> None:
 
 
 __all__ = ["BAD_RULE_SQL", "LONG_RULE_SQL", "SHORT_RULE_SQL", "csv_lines", "write_lines",
-           "write_trips_csv", "write_trips_json", "write_weather_json"]
+           "write_records_csv", "write_trips_csv", "write_trips_json", "write_weather_json"]

@@ -56,6 +56,31 @@ def q_csv_format_options(spark, sf):
     return cat.table("trips").read()
 
 
+# fixed values: names that need each CSV option, by the rider's gender
+_SPAN, _ESCAPED = '\n"north",\ngate', "a\\b, "
+_NAMED = r"""CASE gender WHEN 0 THEN start_station_name || chr(10) || '"north",' || chr(10) || 'gate'
+    WHEN 1 THEN 'a\b, ' || start_station_name ELSE '  ' || start_station_name END"""
+
+
+@register("csv_records", ids="S5 S2 S6", oracle=TRIPS + f"""
+SELECT {TRIP_COLS.replace("start_station_name", _NAMED + " AS start_station_name", 1)
+        .replace("end_station_name", "CASE WHEN usertype <> 'view' THEN end_station_name END AS end_station_name", 1)}
+FROM v_trips WHERE NOT {fx.BAD_RULE_SQL}""")
+def q_csv_records(spark, sf):
+    # enclosed line ends, quotes and delimiters; escapes outside quotes; NULL tokens; kept blanks; bad numbers rejected
+    root, cat = _catalog(spark, "records")
+    stage = f"{root}/stage"
+    name = (F.when(F.col("gender") == 0, F.concat("start_station_name", F.lit(_SPAN)))
+            .when(F.col("gender") == 1, F.concat(F.lit(_ESCAPED), "start_station_name"))
+            .otherwise(F.concat(F.lit("  "), "start_station_name")))
+    trips = v_trips(spark, sf).withColumn("start_station_name", name).withColumn(
+        "end_station_name", F.when(F.col("usertype") == "view", F.lit("NA")).otherwise(F.col("end_station_name")))
+    fx.write_records_csv(trips, stage, F.col("gender") == 1)
+    fmt = CsvFormat(record_delimiter="\n", quote='"', escape_unenclosed="\\", null_if=("", "NA"))
+    loader.copy_into(cat, "trips", stage, schemas.TRIPS, fmt, on_error="continue", now=LOAD_NOW)
+    return cat.table("trips").read()
+
+
 @register("file_pattern_filter", ids="S4", oracle=TRIPS + f"SELECT {TRIP_COLS} FROM v_trips")
 def q_file_pattern_filter(spark, sf):
     root, cat = _catalog(spark, "pattern")

@@ -9,9 +9,10 @@ from dataclasses import dataclass, field
 class CsvFormat:
     """A named bundle of parse options, like a file format object in the dialect.
 
-    ``quote=None`` means fields are never enclosed; ``escape_unenclosed`` is
-    kept for documentation: Spark's reader has one escape character, used
-    for enclosed fields only.
+    ``quote=None`` means fields are never enclosed. ``escape_unenclosed`` takes
+    the meaning from a delimiter, a line end, a quote or itself in a field that
+    is not enclosed. Spark's reader has no such option and reads a record per
+    line; files that need either are found and cut by ``sources.records``.
     """
 
     delimiter: str = ","

@@ -37,6 +37,8 @@ from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZT
 
 from spokewise import schemas
 from spokewise.functions._util import ntz_lit, utc_now
+from spokewise.session import new_workdir
+from spokewise.sources import records
 from spokewise.sources.formats import CsvFormat
 from spokewise.sources.stage import list_stage, literal_paths, path_batches, plain_path
 from spokewise.sources.tables import VersionedTable, has_data_files
@@ -118,16 +120,22 @@ def _typed(tok: Column, dtype, timestamp_formats: tuple[str, ...] = ()) -> Colum
 
 
 def validate(raw: DataFrame, schema: StructType, strict_columns: bool,
-             null_tokens: tuple[str, ...] = (), timestamp_formats: tuple[str, ...] = ()) -> DataFrame:
+             null_tokens: tuple[str, ...] = (), timestamp_formats: tuple[str, ...] = (),
+             file_col: str = "_metadata.file_path", broken: Column | None = None) -> DataFrame:
     """Typed columns plus ``_ok``/``_error`` from an all-STRING parse.
 
+    ``broken`` marks rows that are rejected whatever their tokens are.
+
     An empty unquoted field already arrives as NULL and is not an error;
     a non-NULL token that does not cast is.
     """
     if null_tokens:
         raw = raw.select(*[F.when(F.col(c).isin(*null_tokens), F.lit(None)).otherwise(F.col(c)).alias(c)
-                           if c in schema.fieldNames() else F.col(c) for c in raw.columns], "_metadata")
+                           if c in schema.fieldNames() else F.col(c) for c in raw.columns],
+                         *(["_metadata"] if file_col.startswith("_metadata") else []))
     typed, errs = [], []
+    if broken is not None:
+        errs.append(F.when(broken, F.lit("record too long")))
     if strict_columns:
         errs.append(F.when(F.col(CORRUPT).isNotNull(), F.lit("column count mismatch")))
     for f in schema.fields:
@@ -139,7 +147,7 @@ def validate(raw: DataFrame, schema: StructType, strict_columns: bool,
     err = F.coalesce(*errs)
     out = raw.select(*typed, err.alias("_error"),
                      *[F.col(f.name).alias(RAW + f.name) for f in schema.fields],
-                     plain_path("_metadata.file_path").alias("_file"))
+                     plain_path(file_col).alias("_file"))
     return out.select(*[F.col(f.name) for f in schema.fields], "_error",
                       *[F.when(F.col("_error").isNotNull(), F.col(RAW + f.name)).alias(RAW + f.name)
                         for f in schema.fields],
@@ -147,6 +155,33 @@ def validate(raw: DataFrame, schema: StructType, strict_columns: bool,
 
 
 def parse_csv(spark: SparkSession, paths: list[str], schema: StructType, fmt: CsvFormat) -> DataFrame:
+    """Validated rows of the files; those with records that span lines or with escapes go through ``records``."""
+    if not records.needs_states(fmt):
+        return _parse_plain(spark, paths, schema, fmt)
+    found = records.open_files(records.read_lines(spark, literal_paths(paths), fmt), fmt)
+    odd = {r.file for r in found.select(plain_path("file").alias("file")).collect()}   # of one batch of files
+    plain = [p for p in paths if p not in odd]
+    parts = [_parse_plain(spark, plain, schema, fmt)] if plain or not odd else []
+    parts += [_parse_records(spark, sorted(odd), schema, fmt)] if odd else []
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _parse_records(spark: SparkSession, paths: list[str], schema: StructType, fmt: CsvFormat) -> DataFrame:
+    def write(df: DataFrame) -> DataFrame:
+        path = new_workdir(spark, "records") + "/lines"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    lines = records.numbered(records.read_lines(spark, literal_paths(paths), fmt), fmt, write)
+    rows = records.gathered(lines, fmt).withColumn("_fields", records.fields_of(F.col("record"), fmt))
+    wrong = F.when(F.size("_fields") != len(schema.fields), F.col("record"))
+    raw = rows.select(*[F.get("_fields", F.lit(i)).alias(f.name) for i, f in enumerate(schema.fields)],
+                      wrong.alias(CORRUPT), F.col("file").alias("_path"), F.col("too_long").alias("_too_long"))
+    return validate(raw, schema, fmt.error_on_column_count_mismatch, tuple(n for n in fmt.null_if if n),
+                    fmt.timestamp_formats, "_path", F.col("_too_long"))
+
+
+def _parse_plain(spark: SparkSession, paths: list[str], schema: StructType, fmt: CsvFormat) -> DataFrame:
     read_schema = StructType(list(schemas.all_string(schema).fields) + [StructField(CORRUPT, StringType())])
     raw = (spark.read.schema(read_schema).options(**fmt.reader_options())
            .option("columnNameOfCorruptRecord", CORRUPT).csv(literal_paths(paths)))

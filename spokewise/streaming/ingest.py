@@ -61,10 +61,16 @@ def json_source(spark: SparkSession, landing: str, max_files_per_trigger: int |
 
 def csv_source(spark: SparkSession, landing: str, schema: StructType, fmt: CsvFormat,
                max_files_per_trigger: int | None = None, load_time=None) -> DataFrame:
-    """Typed rows plus ``_ok``/``_error``: the same validation as the bulk load."""
+    """Typed rows plus ``_ok``/``_error``: the same validation as the bulk load.
+
+    With a quote character a file is read by one task, so that enclosed line ends stay
+    in their field. A stream cannot apply an escape character outside quotes.
+    """
+    if fmt.escape_unenclosed:
+        raise ValueError("escape_unenclosed is for bulk loads; a pipe's format cannot have it")
     read_schema = StructType(list(schemas.all_string(schema).fields) + [StructField(CORRUPT, StringType())])
     r = (spark.readStream.schema(read_schema).options(**fmt.reader_options())
-         .option("columnNameOfCorruptRecord", CORRUPT))
+         .option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", str(fmt.quote is not None).lower()))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     parsed = validate(r.csv(landing), schema, fmt.error_on_column_count_mismatch,
