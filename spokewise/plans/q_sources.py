@@ -16,7 +16,7 @@ from spokewise.plans import fixtures as fx
 from spokewise.plans.adapters import V_TRIPS_SQL, table, v_trips, with_ctes
 from spokewise.plans.registry import register
 from spokewise.session import new_workdir
-from spokewise.sources import loader
+from spokewise.sources import fsio, loader
 from spokewise.sources.formats import FORMAT_A, FORMAT_B, FORMAT_C, CsvFormat
 from spokewise.sources.stage import day_of_path, list_stage, with_provenance
 from spokewise.sources.tables import VersionedTable
@@ -191,6 +191,26 @@ def q_stage_listing(spark, sf):
             .where(F.col("file_type") != "").distinct())
 
 
+@register("stage_sizes", ids="S9", oracle=TRIPS + """
+SELECT strftime(CAST(starttime AS DATE), '%Y-%m-%d') AS day, 1::BIGINT AS files,
+       sum(octet_length(encode(start_station_name)) + 1)::BIGINT AS bytes, true AS just_written
+FROM v_trips GROUP BY 1
+UNION ALL SELECT NULL, 2, 0, true""")
+def q_stage_sizes(spark, sf):
+    # list @stage: size and time of every file, of two without bytes too
+    root = new_workdir(spark, "sizes")
+    stage = f"{root}/stage"
+    day = F.date_format(F.to_date("starttime"), "yyyy-MM-dd").alias("day")
+    (v_trips(spark, sf).select(day, F.col("start_station_name").alias("value")).repartition("day")
+     .write.partitionBy("day").text(stage))
+    for name in ("empty.csv", "late/empty.json"):
+        fsio.write_text(spark, f"{stage}/{name}", "")
+    age = F.abs(F.unix_micros(F.current_timestamp()) - F.unix_micros(F.col("last_modified").cast("timestamp")))
+    return (list_stage(spark, stage).groupBy(F.date_format(day_of_path("name"), "yyyy-MM-dd").alias("day"))
+            .agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"),
+                 F.bool_and(age < 3_600_000_000).alias("just_written")))
+
+
 @register("stage_query", ids="S10", oracle=TRIPS + "SELECT CAST(tripduration AS VARCHAR) AS c1 FROM v_trips")
 def q_stage_query(spark, sf):
     # select $1 from @stage: the first field of every staged row, read in place

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from spokewise import schemas
 from spokewise.operators.semistructured import trip_fields
 from spokewise.plans.adapters import V_TRIPS_SQL, V_TRIPS_STREAM_SQL, v_trips, with_ctes
-from spokewise.plans.fixtures import csv_lines, write_lines
+from spokewise.plans.fixtures import BAD_RULE_SQL, csv_lines, write_lines, write_trips_json
 from spokewise.plans.registry import register
 from spokewise.session import new_workdir
 from spokewise.sources.formats import CsvFormat
@@ -45,6 +45,7 @@ RUN_2 = _dt.datetime(2024, 2, 1, 11, 58, 0)
 RUN_3 = _dt.datetime(2024, 2, 1, 11, 59, 0)
 NOW = "2024-02-01 12:00:00"
 FILES_PER_TRIGGER = 8
+BROKEN_DAY = "2024-01-20"
 
 TRIPS = with_ctes(V_TRIPS_SQL)
 BIKE_TRIP_COLS = ", ".join(f.name for f in schemas.BIKE_TRIPS.fields)
@@ -148,6 +149,66 @@ def q_stream_ingest_csv(spark, sf):
     return out.select(*[x.name for x in schemas.TRIPS_STREAM.fields])
 
 
+def _bad_days(d: str) -> str:
+    return f"{d} IN (SELECT DISTINCT {DAY} FROM v_trips WHERE {BAD_RULE_SQL})"
+
+
+@register("pipe_skip_file", ids="T-1 T18 T-3", oracle=TRIPS + f"""
+SELECT {DAY} AS day, count(*) AS row_parsed, count(*) FILTER (WHERE {BAD_RULE_SQL}) AS errors,
+       count(*) FILTER (WHERE NOT {_bad_days(DAY)}) AS raw_rows,
+       count(*) FILTER (WHERE NOT {_bad_days(DAY)}) AS consumed
+FROM v_trips GROUP BY 1""")
+def q_pipe_skip_file(spark, sf):
+    """One file a day, bad-rule documents cut short: a pipe offers no row of a file with an error, neither to
+    readers nor to a consumer whose batches are bounded. Per day: rows and errors in the ledger, rows offered."""
+    root = new_workdir(spark, "skippipe")
+    landing, raw = f"{root}/landing", f"{root}/raw"
+    write_trips_json(v_trips(spark, sf).repartition(F.to_date("starttime")), landing, malformed=True)
+    src = ig.json_source(spark, landing, max_files_per_trigger=FILES_PER_TRIGGER, load_time=LOAD_1)
+    ig.run_pipe_once(src, raw, f"{root}/_checkpoint")
+    consumer = cs.Consumer("push_trips", f"{root}/state")
+    cs.run_consumer(spark, consumer, raw, cs.push_trips_handler(f"{root}/bike_trips"), max_files_per_trigger=3)
+
+    def per_day(df, day, name):
+        return df.groupBy(F.date_format(day, "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias(name))
+
+    ledger = ig.read_pipe_ledger(spark, raw).groupBy(F.date_format(day_of_path("_file"), "yyyy-MM-dd").alias("day")).agg(
+        F.sum("row_parsed").alias("row_parsed"), F.sum("error_count").alias("errors"))
+    seen = per_day(ig.read_raw(spark, raw), day_of_path("_file"), "raw_rows")
+    taken = per_day(cs.read_batches(spark, f"{root}/bike_trips", schemas.BIKE_TRIPS), "starttime", "consumed")
+    return ledger.join(seen, "day", "left").join(taken, "day", "left").fillna(0, ["raw_rows", "consumed"])
+
+
+@register("raw_truncate", ids="T-1 S19 T17", oracle=TRIPS + f"""
+SELECT {DAY} AS day, count(*) AS ledger_rows, count(*) FILTER (WHERE {LATE}) AS raw_rows,
+       count(*) FILTER (WHERE {LATE}) AS consumed
+FROM v_trips GROUP BY 1""")
+def q_raw_truncate(spark, sf):
+    """The raw table is truncated between two loads: rows not consumed by then are gone, loaded files are not
+    loaded again, the load history stays. Per day: rows in the ledger, in the raw table, consumed."""
+    root = new_workdir(spark, "rawtrunc")
+    landing, raw = f"{root}/landing", f"{root}/raw"
+    trips = v_trips(spark, sf)
+    next_day = (_dt.date.fromisoformat(SPLIT_DAY) + _dt.timedelta(days=1)).isoformat()
+    consumer = cs.Consumer("push_trips", f"{root}/state")
+
+    def ingest(load_time):
+        ig.run_pipe_once(ig.json_source(spark, landing, load_time=load_time), raw, f"{root}/_checkpoint")
+
+    unload_json_by_day(trips, landing, None, SPLIT_DAY)
+    ingest(LOAD_1)
+    ig.truncate_raw(spark, raw)
+    unload_json_by_day(trips, landing, next_day, None, mode="append")
+    ingest(LOAD_2)
+    cs.run_consumer(spark, consumer, raw, cs.push_trips_handler(f"{root}/bike_trips"))
+    day = F.date_format(day_of_path("_file"), "yyyy-MM-dd").alias("day")
+    ledger = ig.read_pipe_ledger(spark, raw).groupBy(day).agg(F.sum("row_parsed").alias("ledger_rows"))
+    seen = ig.read_raw(spark, raw).groupBy(day).agg(F.count(F.lit(1)).alias("raw_rows"))
+    taken = (cs.read_batches(spark, f"{root}/bike_trips", schemas.BIKE_TRIPS)
+             .groupBy(F.date_format("starttime", "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("consumed")))
+    return ledger.join(seen, "day", "left").join(taken, "day", "left").fillna(0, ["raw_rows", "consumed"])
+
+
 @register("change_stream", ids="T-3", oracle=TRIPS + f"""
 SELECT CASE WHEN {LATE} THEN 2 ELSE 1 END AS run, count(*) AS rows_in FROM v_trips GROUP BY 1""")
 def q_change_stream(spark, sf):
@@ -248,10 +309,13 @@ def q_purge_candidates(spark, sf):
 
 
 @register("purge_after_push", ids="T-9 T-11", oracle=TRIPS + f"""
-SELECT {DAY} AS day, count(*) AS row_count, CAST({LATE} AS INT) AS purged FROM v_trips GROUP BY ALL""")
+SELECT {DAY} AS day, count(*) AS row_count,
+       CAST({LATE} AND CAST(starttime AS DATE) <> DATE '{BROKEN_DAY}' AS INT) AS purged
+FROM v_trips GROUP BY ALL""")
 def q_purge_after_push(spark, sf):
     """Two loads ten hours apart; after push_trips ran, the files of the recent, clean load are removed.
-    A malformed line keeps one more file from being eligible. Days, their rows, and whether their files went."""
+    A file with a malformed line stays, on a day whose other files go. Days, their rows, and whether all their
+    files went."""
     root = new_workdir(spark, "purge")
     landing, raw, state = f"{root}/landing", f"{root}/raw", f"{root}/state"
     trips = v_trips(spark, sf)
@@ -263,7 +327,7 @@ def q_purge_after_push(spark, sf):
     unload_json_by_day(trips, landing, None, SPLIT_DAY)
     ingest("2024-02-01 01:00:00")
     unload_json_by_day(trips, landing, next_day, None, mode="append")
-    spark.range(1).select(F.lit("{broken").alias("value")).write.mode("append").text(f"{landing}/day=2099-01-01")
+    spark.range(1).select(F.lit("{broken").alias("value")).write.mode("append").text(f"{landing}/day={BROKEN_DAY}")
     ingest(LOAD_2)
     consumer = cs.Consumer("push_trips", state)
     ran = cs.run_consumer(spark, consumer, raw, cs.push_trips_handler(f"{root}/bike_trips"), clock=cs.Clock(RUN_2))

@@ -65,6 +65,11 @@ def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = Fals
         raise
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def delete_file(spark: SparkSession, path: str) -> bool:
     """Delete one file; False when it is not there."""
     fs, p = _fs(spark, path)

@@ -2,8 +2,8 @@
 
 ``copy_into`` reproduces the dialect's COPY semantics on Spark:
 
-* the stage is listed (metadata only) and filtered by a full-match
-  regex (``pattern``);
+* the stage is listed once (metadata only), filtered by a full-match
+  regex (``pattern``), and the listing is written;
 * files whose rows the table holds are skipped (load-once). The loads that
   count travel with the table's versions: restoring an earlier version,
   re-creating or truncating the table (T17) makes later loads pending again;
@@ -29,11 +29,12 @@ unreferenced staging folder behind.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampNTZType
 
 from spokewise import schemas
 from spokewise.functions._util import ntz_lit, utc_now
@@ -79,25 +80,48 @@ class Catalog:
 
     def ledger_of(self, table: VersionedTable, live: bool = False) -> DataFrame:
         """Ledger rows of all loads, or (``live``) of the loads whose rows the table holds now."""
-        paths = table.loaded_segments() if live else table.ledger_segments()
-        if not paths:
-            return self.spark.createDataFrame([], LEDGER_SCHEMA)
-        return self.spark.read.schema(LEDGER_SCHEMA).parquet(*paths)
+        return read_ledger(table, table.loaded_segments() if live else table.ledger_segments())
 
     def load_history(self, table_name: str | None = None, start_time=None) -> DataFrame:
         """``copy_history(table_name, start_time)`` (S12, T-13); all tables when no name."""
         names = [table_name] if table_name is not None else self.table_names()
         parts = [self.ledger_of(self.table(n)) for n in names]
-        h = parts[0] if parts else self.spark.createDataFrame([], LEDGER_SCHEMA)
+        h = parts[0] if parts else self.spark.createDataFrame([], STORED_LEDGER)
         for p in parts[1:]:
             h = h.unionByName(p)
         if start_time is not None:
             h = h.where(F.col("last_load_time") >= ntz_lit(start_time))
-        return h
+        return h.drop("share")
 
 
 LEDGER_SCHEMA = StructType(list(schemas.LOAD_LEDGER.fields) + [
     StructField("generation", schemas.L, True), StructField("file_path", StringType(), True)])
+#: As written: a folder for each share of the paths, so that a lookup of files reads the shares they fall in.
+STORED_LEDGER = StructType([*LEDGER_SCHEMA.fields, StructField("share", IntegerType())])
+SHARES = 64
+MERGE_RUNS = 16   # ledger segments that a load may find before it merges them into one
+
+
+def share_of(path: Column) -> Column:
+    """Share of the ledger that a file's row is in."""
+    return F.pmod(F.xxhash64(path), F.lit(SHARES)).cast("int")
+
+
+def new_ledger_path(table: VersionedTable) -> str:
+    return f"{table.root}/ledger/run={uuid.uuid4().hex}"
+
+
+def read_ledger(table: VersionedTable, paths: list[str]) -> DataFrame:
+    if not paths:
+        return table.spark.createDataFrame([], STORED_LEDGER)
+    return (table.spark.read.schema(STORED_LEDGER).option("basePath", f"{table.root}/ledger").parquet(*paths)
+            .select(*STORED_LEDGER.fieldNames()))
+
+
+def write_ledger(rows: DataFrame, path: str) -> None:
+    """Ledger rows by share, each share one sorted file."""
+    (rows.select(*LEDGER_SCHEMA.fieldNames(), share_of(F.col("file_path")).alias("share"))
+     .repartition("share").sortWithinPartitions("share", "file_path").write.partitionBy("share").parquet(path))
 
 
 @dataclass
@@ -167,12 +191,8 @@ def parse_csv(spark: SparkSession, paths: list[str], schema: StructType, fmt: Cs
 
 
 def _parse_records(spark: SparkSession, paths: list[str], schema: StructType, fmt: CsvFormat) -> DataFrame:
-    def write(df: DataFrame) -> DataFrame:
-        path = new_workdir(spark, "records") + "/lines"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    lines = records.numbered(records.read_lines(spark, literal_paths(paths), fmt), fmt, write)
+    lines = records.numbered(records.read_lines(spark, literal_paths(paths), fmt), fmt,
+                             lambda df: _written(df, "records"))
     rows = records.gathered(lines, fmt).withColumn("_fields", records.fields_of(F.col("record"), fmt))
     wrong = F.when(F.size("_fields") != len(schema.fields), F.col("record"))
     raw = rows.select(*[F.get("_fields", F.lit(i)).alias(f.name) for i, f in enumerate(schema.fields)],
@@ -201,13 +221,40 @@ def parse_json_variant(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def pending_listing(cat: Catalog, table: VersionedTable, stage: str, pattern: str | None,
                     force: bool = False) -> DataFrame:
-    """Stage files whose rows the table does not hold yet (S13, T-12)."""
-    listing = list_stage(cat.spark, stage, pattern)
-    if force:
-        return listing
-    done = (cat.ledger_of(table, live=True).where(F.col("status").isin(LOADED, PARTIAL))
-            .select(F.col("file_path").alias("path")))
-    return listing.join(done, "path", "left_anti")
+    """Stage files whose rows the table does not hold yet (S13, T-12), as a written table.
+
+    The stage is listed once. Only the shares of the ledger that the listed files
+    fall in are read.
+    """
+    spark = cat.spark
+    listing = list_stage(spark, stage, pattern).withColumn("share", share_of(F.col("path")))
+    listing = _written(listing, "listing")
+    if force or not table.loaded_segments():
+        return listing.drop("share")
+    shares = [r.share for r in listing.select("share").distinct().collect()]   # at most SHARES
+    done = (cat.ledger_of(table, live=True)
+            .where(F.col("share").isin(shares) & F.col("status").isin(LOADED, PARTIAL))
+            .select(F.col("file_path").alias("path"), "share"))
+    return listing.join(done, ["share", "path"], "left_anti").drop("share")
+
+
+def _written(df: DataFrame, tag: str) -> DataFrame:
+    path = new_workdir(df.sparkSession, tag) + "/data"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def merge_ledger(cat: Catalog, table: VersionedTable) -> list[str]:
+    """Segments of the live ledger rows, merged into one run once there are more than ``MERGE_RUNS``.
+
+    The merged run counts from the next commit on; earlier versions keep their segments.
+    """
+    segments = table.loaded_segments()
+    if len(segments) <= MERGE_RUNS:
+        return segments
+    run = new_ledger_path(table)
+    write_ledger(cat.ledger_of(table, live=True), run)
+    return [run]
 
 
 def copy_into(cat: Catalog, table_name: str, stage: str, schema: StructType | None,
@@ -233,7 +280,7 @@ def copy_into(cat: Catalog, table_name: str, stage: str, schema: StructType | No
         ledgers.append(ledger_seg)
     if not ledgers:
         return LoadReport(0, 0, 0, "NO_NEW_FILES")
-    ledger = spark.read.schema(LEDGER_SCHEMA).parquet(*ledgers)
+    ledger = read_ledger(table, ledgers)
     totals = ledger.agg(F.count(F.lit(1)).alias("files"), F.sum("row_parsed").alias("parsed"),
                         F.sum("error_count").alias("bad"), F.min("first_error").alias("err")).first()
     n_files, bad = totals["files"], totals["bad"] or 0
@@ -255,7 +302,7 @@ def copy_into(cat: Catalog, table_name: str, stage: str, schema: StructType | No
     # one commit publishes the rows and marks their files loaded; an aborted
     # load commits only its ledger rows (status LOAD_FAILED), no data
     text = f"copy into {table_name} from {stage}"
-    table.append_segments(commit_segments, text, now, ledger=ledgers,
+    table.append_segments(commit_segments, text, now, ledger=ledgers, loaded=merge_ledger(cat, table) + ledgers,
                           op="copy" if commit_segments else "copy failed")
 
     if rejects_table:
@@ -305,8 +352,8 @@ def _stage_files(cat: Catalog, table: VersionedTable, table_name: str, paths: li
                            "first_error", status.alias("status"),
                            F.lit(table.current().generation).cast("long").alias("generation"),
                            F.col("_file").alias("file_path")))
-    ledger_seg = f"{table.root}/ledger-{seg.rsplit('seg-', 1)[-1]}"
-    ledger_rows.write.parquet(ledger_seg)
+    ledger_seg = new_ledger_path(table)
+    write_ledger(ledger_rows, ledger_seg)
     return seg, ledger_seg
 
 

@@ -1,19 +1,20 @@
 """Stages: a folder of immutable files.
 
-Listing goes through the ``binaryFile`` source with the content column
-pruned, so only file metadata is read. Patterns are full-match regular
-expressions over the path relative to the stage root, like the
-dialect's ``PATTERN=`` option.
+A stage is listed by ``sources.listing``, its folders in parallel. Patterns
+are full-match regular expressions over the path relative to the stage root,
+like the dialect's ``PATTERN=`` option.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spokewise.functions._util import utc_ntz
+from spokewise.session import new_workdir
+from spokewise.sources.listing import StageFiles
 
 
 def _root(path: str) -> str:
@@ -56,40 +57,28 @@ def name_glob(pattern: str) -> str | None:
 
 
 def list_stage(spark: SparkSession, stage: str, pattern: str | None = None) -> DataFrame:
-    """``list @stage [pattern=...]``: one row per file (path, name, size, modified).
+    """``list @stage [pattern=...]``: one row per file (path, name, size, modified), files without bytes too.
 
-    When the pattern has a file-name glob form, the listing itself is
-    filtered (``pathGlobFilter``) before the exact regex is applied.
+    Each evaluation lists the stage again; write the result where it is used more than once.
     """
-    root = _root(stage)
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    spark.dataSource.register(StageFiles)
+    reader = spark.read.format("stage_files")
     glob = name_glob(pattern) if pattern else None
     if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(root).select("path", "length", "modificationTime")
-    # paths come back fully qualified (file:/..., hdfs://...); strip up to the stage root
-    rel = F.regexp_extract(F.col("path"), r"^.*?" + _quote_re(_strip_scheme(root)) + r"/(.*)$", 1)
-    out = files.select(F.col("path"), rel.alias("name"), F.col("length").alias("size"),
-                       utc_ntz(F.col("modificationTime")).alias("last_modified"))
+        reader = reader.option("name_glob", glob)   # applied where the files are listed; the regex decides
+    out = reader.load(qualified(spark, _root(stage)))
     if pattern:
         out = out.where(F.col("name").rlike(f"^(?:{pattern})$"))
     return out
 
 
-def _strip_scheme(p: str) -> str:
-    if p.startswith("file:"):
-        p = p[len("file:"):]
-        while p.startswith("//"):
-            p = p[1:]
-    elif "://" in p:
-        p = p.split("://", 1)[1]
-        p = p[p.find("/"):] if "/" in p else p
-    return p
-
-
-def _quote_re(s: str) -> str:
-    import re
-    return re.escape(s)
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as Spark names files (``file:/x``); the folder has to exist."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        raise FileNotFoundError(f"stage {path} does not exist")
+    return fs.makeQualified(p).toString()
 
 
 def plain_path(file_path) -> "F.Column":
@@ -108,18 +97,24 @@ def literal_paths(paths: list[str]) -> list[str]:
     return [re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths]
 
 
-def path_batches(listing: DataFrame, size: int) -> Iterator[list[str]]:
-    """The paths of a listing in path order, at most ``size`` at a time, so that the driver never
-    holds the list of a whole stage. Each batch starts after the last path of the one before."""
-    last = None
-    while True:
-        rest = listing if last is None else listing.where(F.col("path") > F.lit(last))
-        batch = [r.path for r in rest.select("path").orderBy("path").limit(size).collect()]
-        if batch:
-            yield batch
-        if len(batch) < size:
-            return
-        last = batch[-1]
+def path_batches(files: DataFrame, size: int) -> Iterator[list[str]]:
+    """The paths of a *written* listing, at most ``size`` at a time, so that the driver never
+    holds the list of a whole stage. A longer listing is dealt once into ranges of paths,
+    each of which is then one folder to read."""
+    first = [r.path for r in files.select("path").limit(size + 1).collect()]
+    if len(first) <= size:
+        if first:
+            yield sorted(first)
+        return
+    spark = files.sparkSession
+    ranges = -(-2 * files.count() // size)
+    place = F.row_number().over(Window.partitionBy("part").orderBy("path"))
+    dealt = new_workdir(spark, "batches") + "/files"
+    (files.select("path").repartitionByRange(ranges, "path").withColumn("part", F.spark_partition_id())
+     .withColumn("piece", F.floor((place - 1) / size).cast("int")).write.partitionBy("part", "piece").parquet(dealt))
+    pieces = spark.read.schema("path string, part int, piece int").parquet(dealt)
+    for p in pieces.select("part", "piece").distinct().orderBy("part", "piece").collect():
+        yield sorted(r.path for r in pieces.where((F.col("part") == p.part) & (F.col("piece") == p.piece)).collect())
 
 
 def with_provenance(df: DataFrame) -> DataFrame:
@@ -129,6 +124,6 @@ def with_provenance(df: DataFrame) -> DataFrame:
 
 
 def day_of_path(path_col) -> "F.Column":
-    """The ``day=YYYY-MM-DD`` folder of a staged file path, as a DATE."""
+    """The ``day=YYYY-MM-DD`` folder of a staged file path, as a DATE; null without one."""
     c = F.col(path_col) if isinstance(path_col, str) else path_col
-    return F.to_date(F.regexp_extract(c, r"day=(\d{4}-\d{2}-\d{2})", 1))
+    return F.to_date(F.nullif(F.regexp_extract(c, r"day=(\d{4}-\d{2}-\d{2})", 1), F.lit("")))

@@ -28,7 +28,7 @@ from spokewise.operators.merge import STATION_COLS, merge_insert_only, stations_
 from spokewise.operators.semistructured import trip_fields, v_double, v_int, v_string
 from spokewise.sources import fsio
 from spokewise.sources.tables import has_data_files
-from spokewise.streaming.ingest import DEFAULT_TRIGGER, RAW_JSON_SCHEMA, drop_failed_files
+from spokewise.streaming.ingest import DEFAULT_TRIGGER, RAW_JSON_SCHEMA, failed_files, truncated_commit
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -98,7 +98,7 @@ def _overwrite_partition(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def change_stream(spark: SparkSession, raw_path: str, raw_schema: StructType = RAW_JSON_SCHEMA,
-                  max_files_per_trigger: int | None = None, include_rejects: bool = False) -> DataFrame:
+                  max_files_per_trigger: int | None = None) -> DataFrame:
     """``create stream s on table raw``: committed raw rows, good ones only.
 
     ``max_files_per_trigger`` bounds a micro-batch, so a consumer that starts
@@ -109,42 +109,37 @@ def change_stream(spark: SparkSession, raw_path: str, raw_schema: StructType = R
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     s = r.parquet(raw_path).withColumn(RAW_FILE, F.col("_metadata.file_path"))
-    return s if include_rejects else s.where(F.col("_ok") == F.lit("true"))
+    return s.where((F.col("_ok") == F.lit("true")) & (F.col("_commit") > truncated_commit(spark, raw_path)))
 
 
 def start_consumer(spark: SparkSession, consumer: Consumer, raw_path: str, handler: Handler,
                    clock: Clock | None = None, run: int = 0, available_now: bool = True,
                    trigger: str = DEFAULT_TRIGGER, interval: _dt.timedelta = _dt.timedelta(minutes=1),
                    raw_schema: StructType = RAW_JSON_SCHEMA, max_files_per_trigger: int | None = None,
-                   skip_failed_files: bool = False):
+                   skip_failed_files: bool = True):
     """Start one consumer; returns ``(query, batches)`` where ``batches`` fills as batches run.
 
     Per batch: the handler writes its output partition, then the files the
     batch consumed are logged (for peeking) and a run-log row is written.
 
-    ``skip_failed_files`` applies the pipe's skip-file rule (T18): a source file
-    with any rejected row contributes no rows. The file source reads each source
-    file within one micro-batch and the raw sink commits a batch's files together,
-    so an unbounded consumer batch holds whole source files and the rule is exact;
-    it cannot be combined with ``max_files_per_trigger``.
+    A pipe skips files with errors (T18): a source file with any rejected row contributes
+    no rows, unless ``skip_failed_files`` is off. The verdict on a file is committed with its
+    rows, so it is known to every batch that has some of them, bounded or not.
     """
-    if skip_failed_files and max_files_per_trigger:
-        raise ValueError("skip_failed_files needs whole source files per batch: "
-                         "do not bound the batch with max_files_per_trigger")
     clock = clock or Clock()
     state = consumer.state_root
     batches: list[int] = []
 
     def process(df: DataFrame, batch_id: int) -> None:
         scheduled = clock.now()
-        handler((drop_failed_files(df) if skip_failed_files else df).drop(RAW_FILE), batch_id)
+        rows = df.join(failed_files(spark, raw_path), "_file", "left_anti") if skip_failed_files else df
+        handler(rows.drop(RAW_FILE), batch_id)
         # every file read by the batch is consumed, also a skipped one; a landing file may be spread
         # over several raw files, of which a bounded batch takes some
-        good = df.where(F.col("_ok") == F.lit("true")) if skip_failed_files else df
-        files = good.groupBy("_file", RAW_FILE).agg(F.count(F.lit(1)).alias("rows"))
+        files = df.groupBy("_file", RAW_FILE).agg(F.count(F.lit(1)).alias("rows"))
         _overwrite_partition(files, consumer.files_log, batch_id)
-        rows_in = (spark.read.parquet(f"{consumer.files_log}/batch_id={batch_id}")
-                   .agg(F.sum("rows")).first()[0] or 0)
+        logged = f"{consumer.files_log}/batch_id={batch_id}"   # absent where the batch has rejected rows only
+        rows_in = spark.read.parquet(logged).agg(F.sum("rows")).first()[0] if fsio.exists(spark, logged) else 0
         done = clock.now()
         # one small file per (task, batch), overwritten on replay: idempotent
         fsio.write_text(spark, f"{run_log_path(state)}/{consumer.name}-{batch_id:012d}.json",
@@ -155,8 +150,7 @@ def start_consumer(spark: SparkSession, consumer: Consumer, raw_path: str, handl
                         overwrite=True)
         batches.append(batch_id)
 
-    w = (change_stream(spark, raw_path, raw_schema, max_files_per_trigger,
-                       include_rejects=skip_failed_files).writeStream
+    w = (change_stream(spark, raw_path, raw_schema, max_files_per_trigger).writeStream
          .queryName(f"{consumer.name}_{run}")
          .foreachBatch(process).option("checkpointLocation", consumer.checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)

@@ -5,7 +5,7 @@ sink. The sink's ``_spark_metadata`` log is the commit point: a file is
 part of the raw table exactly once, even when a micro-batch is retried
 after an executor loss, and a restarted query resumes from its
 checkpoint. Every row keeps its source file and load time, and rows that
-fail to parse are kept in the ``_ok=false`` partition, so the load
+fail to parse are kept in the ``_ok=false`` folders, so the load
 history (copy_history) is an aggregate over the raw table itself.
 """
 
@@ -22,7 +22,7 @@ from spokewise import schemas
 from spokewise.functions._util import ntz_lit, utc_ntz
 from spokewise.sources.formats import CsvFormat
 from spokewise.sources.loader import CORRUPT, validate
-from spokewise.sources.stage import plain_path
+from spokewise.sources.stage import list_stage, plain_path
 
 # fixed value: consumer and pipe cadence of the reference
 DEFAULT_TRIGGER = "1 minute"
@@ -32,10 +32,16 @@ RAW_JSON_SCHEMA = StructType([
     StructField("_error", StringType(), True),
     StructField("_file", StringType(), True),
     StructField("_load_time", TimestampNTZType(), True),
+    StructField("_commit", LongType(), True),
     StructField("_ok", StringType(), True),
 ])
 
 
+def _commit() -> "F.Column":
+    """Number of the micro-batch that a row is committed with: its trigger time in microseconds, one for all rows."""
+    return F.unix_micros(F.current_timestamp())
+
+
 def _load_time(load_time) -> "F.Column":
     if load_time is not None:
         return ntz_lit(load_time)
@@ -56,7 +62,7 @@ def json_source(spark: SparkSession, landing: str, max_files_per_trigger: int |
     ok = F.col("v").isNotNull()
     return s.select("v", F.when(~ok, F.lit("malformed JSON")).alias("_error"),
                     plain_path("_metadata.file_path").alias("_file"),
-                    _load_time(load_time).alias("_load_time"), ok.alias("_ok"))
+                    _load_time(load_time).alias("_load_time"), _commit().alias("_commit"), ok.alias("_ok"))
 
 
 def csv_source(spark: SparkSession, landing: str, schema: StructType, fmt: CsvFormat,
@@ -75,27 +81,33 @@ def csv_source(spark: SparkSession, landing: str, schema: StructType, fmt: CsvFo
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     parsed = validate(r.csv(landing), schema, fmt.error_on_column_count_mismatch,
                       fmt.extra_null_tokens(), fmt.timestamp_formats)
-    return parsed.withColumn("_load_time", _load_time(load_time))
+    return parsed.withColumn("_load_time", _load_time(load_time)).withColumn("_commit", _commit())
 
 
 def start_pipe(source: DataFrame, raw_path: str, checkpoint: str, available_now: bool = False,
                trigger: str = DEFAULT_TRIGGER) -> StreamingQuery:
-    """``create pipe ... auto_ingest=true as copy into raw from @stage``."""
-    w = (source.writeStream.format("parquet")
+    """``create pipe ... auto_ingest=true as copy into raw from @stage``.
+
+    Raw rows lie in a folder per commit, so that readers that know which commits
+    they have seen read the others only. Commit numbers rise: a pipe starts above the
+    last one, whatever the clock says.
+    """
+    above = F.lit(last_commit(source.sparkSession, raw_path) + 1)
+    w = (source.withColumn("_commit", F.greatest("_commit", above)).writeStream.format("parquet")
          .option("path", raw_path).option("checkpointLocation", checkpoint)
-         .partitionBy("_ok").outputMode("append"))
+         .partitionBy("_commit", "_ok").outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()
 
 
-def run_pipe_once(source: DataFrame, raw_path: str, checkpoint: str) -> int:
+def run_pipe_once(source: DataFrame, raw_path: str, checkpoint: str, load_time=None) -> int:
     """Process every file present now, in as many micro-batches as the source allows, then bring the
     pipe's load ledger up to date. Returns the number of rows parsed, as the ledger counts them."""
     q = start_pipe(source, raw_path, checkpoint, available_now=True)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return update_pipe_ledger(source.sparkSession, raw_path, checkpoint)
+    return update_pipe_ledger(source.sparkSession, raw_path, checkpoint, load_time)
 
 
 LEDGER_SOURCE_SCHEMA = StructType([
@@ -115,10 +127,41 @@ PIPE_LEDGER_SCHEMA = StructType([
 ])
 
 
+NO_ROWS = -1   # ledger batch of the files without rows
+
+
 def pipe_ledger_path(raw_path: str) -> str:
     return raw_path.rstrip("/") + "_ledger"
 
 
+def last_commit(spark: SparkSession, raw_path: str) -> int:
+    """The highest commit number in the raw table; 0 without any."""
+    files = raw_files(spark, raw_path, good_only=False)
+    return 0 if files is None else files.agg(F.max("commit")).first()[0] or 0
+
+
+def _truncated_path(raw_path: str) -> str:
+    return raw_path.rstrip("/") + "_truncated"
+
+
+def truncated_commit(spark: SparkSession, raw_path: str) -> int:
+    """Commits up to this one were removed by ``truncate_raw``; 0 if there was none."""
+    from spokewise.sources import fsio
+    path = _truncated_path(raw_path)
+    return int(fsio.read_text(spark, path)) if fsio.exists(spark, path) else 0
+
+
+def truncate_raw(spark: SparkSession, raw_path: str) -> int:
+    """``truncate table raw`` of a pipe's table: readers, peeks and consumers started from now on see later
+    commits only (a partition filter). Rows that a consumer had not taken are gone for it; files that the
+    pipe has loaded are not loaded again, and the load history stays. Returns the last commit removed.
+    """
+    from spokewise.sources import fsio
+    commit = last_commit(spark, raw_path)
+    fsio.write_text(spark, _truncated_path(raw_path), str(commit), overwrite=True)
+    return commit
+
+
 def _file_counts(rows: DataFrame) -> DataFrame:
     ok = F.col("_ok") == F.lit("true")
     return (rows.groupBy("_file")
@@ -129,7 +172,38 @@ def _file_counts(rows: DataFrame) -> DataFrame:
                  F.min("_error").alias("first_error")))
 
 
-def update_pipe_ledger(spark: SparkSession, raw_path: str, pipe_checkpoint: str) -> int:
+SOURCE_LOG = "path string, timestamp bigint, batchId bigint"
+
+
+def taken_files(spark: SparkSession, pipe_checkpoint: str) -> DataFrame:
+    """(_file): files of the batches that the pipe has committed, with or without rows.
+
+    From the log that the file source keeps in the checkpoint, a line per file, read as a table.
+    """
+    from spokewise.sources import fsio
+    root = pipe_checkpoint.rstrip("/")
+    log = f"{root}/sources/0"
+    done = [int(n) for n in fsio.list_names(spark, f"{root}/commits") if n.isdigit()]
+    if not done or not fsio.has_data_files(spark, log):
+        return spark.createDataFrame([], "_file string")
+    line = F.from_json("value", SOURCE_LOG)
+    path = _bare(plain_path("l.path"))
+    return (spark.read.text(log).where(F.startswith("value", F.lit("{"))).select(line.alias("l"))
+            .where(F.col("l.batchId") <= max(done)).select(path.alias("_file")).distinct())
+
+
+def _count_empty_files(spark: SparkSession, raw_path: str, pipe_checkpoint: str, load_time) -> None:
+    """A ledger row for each file that the pipe took and that had no row (no bytes, or a header only)."""
+    taken = taken_files(spark, pipe_checkpoint)
+    known = read_pipe_ledger(spark, raw_path).select("_file")
+    zero = [F.lit(0).cast("long").alias(c) for c in ("row_parsed", "row_count", "error_count")]
+    (taken.join(known, "_file", "left_anti")
+     .select("_file", _load_time(load_time).alias("last_load_time"), *zero, F.lit(None).cast("string").alias("first_error"),
+             F.lit(NO_ROWS).cast("long").alias("batch_id"))
+     .write.mode("append").partitionBy("batch_id").parquet(pipe_ledger_path(raw_path)))
+
+
+def update_pipe_ledger(spark: SparkSession, raw_path: str, pipe_checkpoint: str, load_time=None) -> int:
     """Per-file load counts of the pipe, kept incrementally (copy_history, S12/T-13); returns the rows
     parsed in the newly counted files.
 
@@ -153,6 +227,7 @@ def update_pipe_ledger(spark: SparkSession, raw_path: str, pipe_checkpoint: str)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+    _count_empty_files(spark, raw_path, pipe_checkpoint, load_time)
     if not batches:
         return 0
     counted = spark.read.schema(StructType([*PIPE_LEDGER_SCHEMA.fields, StructField("batch_id", LongType())])).parquet(out).where(
@@ -174,32 +249,57 @@ def read_pipe_ledger(spark: SparkSession, raw_path: str) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, raw_path: str, schema: StructType = RAW_JSON_SCHEMA,
-             include_rejects: bool = False, skip_failed_files: bool = False,
-             raw_file: str | None = None) -> DataFrame:
+             include_rejects: bool = False, skip_failed_files: bool = True,
+             raw_file: str | None = None, commits: list[int] | None = None) -> DataFrame:
     """Batch read of the committed raw rows (the reader honours ``_spark_metadata``).
 
-    ``skip_failed_files`` gives the pipe skip-file semantics (T18): good rows of a
-    file that also had a rejected row are left out. The failed files come from the
-    small ``_ok=false`` partition (partition-pruned), joined as an anti-join.
-    ``raw_file`` names a column for each row's raw file.
+    A pipe skips files with errors (T18): good rows of a file that also had a
+    rejected row are left out, unless ``skip_failed_files`` is off. ``raw_file`` names a
+    column for each row's raw file; ``commits`` keeps the rows of these commits (pruned).
     """
     df = spark.read.schema(schema).parquet(raw_path)
     if raw_file:
         df = df.withColumn(raw_file, F.col("_metadata.file_path"))
+    df = df.where(F.col("_commit") > truncated_commit(spark, raw_path))
+    if commits is not None:
+        df = df.where(F.col("_commit").isin(commits) if commits else F.lit(False))
     if include_rejects:
         return df
     good = df.where(F.col("_ok") == F.lit("true"))
-    if not skip_failed_files:
-        return good
-    failed = df.where(F.col("_ok") == F.lit("false")).select("_file").distinct()
-    return good.join(failed, "_file", "left_anti")
+    return good.join(failed_files(spark, raw_path), "_file", "left_anti") if skip_failed_files else good
+
 
+def failed_files(spark: SparkSession, raw_path: str) -> DataFrame:
+    """(_file): source files with a rejected row, from the ``_ok=false`` folders alone.
 
-def drop_failed_files(batch: DataFrame) -> DataFrame:
-    """Within one micro-batch of raw rows (good and rejected), keep the good rows of
-    files without any rejected row. Exact when the batch holds whole source files."""
-    failed = batch.where(F.col("_ok") != F.lit("true")).select("_file").distinct()
-    return batch.where(F.col("_ok") == F.lit("true")).join(failed, "_file", "left_anti")
+    A source file is read in one micro-batch and the sink commits all rows of a batch
+    together, so whoever sees a row of a file also sees whether the file failed.
+    """
+    return (spark.read.schema(FAILED_SCHEMA).parquet(raw_path).where(F.col("_ok") == F.lit("false"))
+            .select("_file").distinct())
+
+
+FAILED_SCHEMA = StructType([StructField("_file", StringType()), StructField("_commit", LongType()),
+                            StructField("_ok", StringType())])
+
+def raw_files(spark: SparkSession, raw_path: str, good_only: bool = True) -> DataFrame | None:
+    """(raw_file, commit) of the raw table's files (with good rows), by a listing; None before the first commit.
+
+    Files of a micro-batch that failed are listed too: this tells where rows may be, the sink's log which count.
+    """
+    from spokewise.sources import fsio
+    if not fsio.exists(spark, raw_path):
+        return None
+    commit = F.regexp_extract("name", r"^_commit=(\d+)/", 1)
+    files = list_stage(spark, raw_path).where(commit != "")
+    if good_only:
+        files = files.where(F.contains("name", F.lit("/_ok=true/")))
+    return files.select(F.col("path").alias("raw_file"), commit.cast("long").alias("commit"))
+
+
+def _bare(path: "F.Column") -> "F.Column":
+    """``file:///x`` as ``file:/x``, the way rows name their file."""
+    return F.regexp_replace(path, "^([a-z0-9+.-]+):///", "$1:/")
 
 
 def pipe_history(per_file: DataFrame, table_name: str) -> DataFrame:

@@ -12,26 +12,48 @@ from pyspark.sql import functions as F
 
 from spokewise.functions import dateadd, seconds_until
 from spokewise.functions._util import ntz_lit
-from spokewise.sources.stage import list_stage
+from spokewise.sources.stage import list_stage, plain_path
 from spokewise.sources.tables import has_data_files
 from spokewise.streaming.consumers import (
     RAW_FILE, RUN_LOG_SCHEMA, Consumer, next_run_path, read_run_log, run_log_path,
 )
-from spokewise.streaming.ingest import RAW_JSON_SCHEMA, pipe_history, read_pipe_ledger, read_raw
+from spokewise.streaming.ingest import (
+    RAW_JSON_SCHEMA, pipe_history, raw_files, read_pipe_ledger, read_raw, truncated_commit,
+)
 
 
 def _ts(now):
     return ntz_lit(now)
 
 
-def peek(spark: SparkSession, consumer: Consumer, raw_path: str, skip_failed_files: bool = False) -> DataFrame:
+OPEN_COMMITS = 1000   # more open commits than this are not listed one by one in the filter
+
+
+def open_commits(spark: SparkSession, consumer: Consumer, raw_path: str) -> list[int] | None:
+    """Commits that hold a raw file the consumer has not consumed; None where too many do (or nothing is committed).
+
+    From a listing of the raw files and the consumer's file log; no raw row is read.
+    """
+    files = raw_files(spark, raw_path)
+    if files is None:
+        return None
+    if has_data_files(spark, consumer.files_log):
+        done = spark.read.parquet(consumer.files_log).select(plain_path(RAW_FILE).alias("raw_file"))
+        files = files.where(F.col("commit") > truncated_commit(spark, raw_path)).withColumn("raw_file", plain_path("raw_file")).join(done, "raw_file", "left_anti")
+    found = [r.commit for r in files.select("commit").distinct().limit(OPEN_COMMITS + 1).collect()]
+    return sorted(found) if len(found) <= OPEN_COMMITS and None not in found else None
+
+
+def peek(spark: SparkSession, consumer: Consumer, raw_path: str, skip_failed_files: bool = True) -> DataFrame:
     """``select * from stream``: rows the consumer has not consumed yet, without consuming them.
 
-    Raw rows whose raw file is absent from the consumer's file log. The log has one row per source
-    and raw file, so the answer is exact also when a bounded batch has consumed some of the raw files
-    of a source file. The raw table is scanned (only the columns that are asked for).
+    Only commits with something left to consume are read (``_commit`` is a partition filter);
+    in these, raw rows whose raw file is absent from the consumer's file log. The log has one row
+    per source and raw file, so the answer is exact also when a bounded batch has consumed some
+    of the raw files of a source file.
     """
-    raw = read_raw(spark, raw_path, skip_failed_files=skip_failed_files, raw_file=RAW_FILE)
+    raw = read_raw(spark, raw_path, skip_failed_files=skip_failed_files, raw_file=RAW_FILE,
+                   commits=open_commits(spark, consumer, raw_path))
     if has_data_files(spark, consumer.files_log):
         done = spark.read.parquet(consumer.files_log).select(RAW_FILE).distinct()
         raw = raw.join(done, RAW_FILE, "left_anti")

@@ -141,19 +141,70 @@ def test_pipe_skip_file_semantics(spark, workdir):
     with open(f"{landing}/mixed.json", "w") as f:
         f.write('{"tripduration": 61, "starttime": "2024-01-01 00:01:00", "usertype": "b"}\n{bad\n')
     ig.run_pipe_once(ig.json_source(spark, landing), raw, f"{workdir}/ck")
-    assert ig.read_raw(spark, raw).count() == 2                          # continue semantics
-    assert ig.read_raw(spark, raw, skip_failed_files=True).count() == 1  # skip-file semantics
+    assert ig.read_raw(spark, raw, skip_failed_files=False).count() == 2  # continue semantics
+    assert ig.read_raw(spark, raw).count() == 1                           # skip-file semantics, the default
     c = cs.Consumer("push_trips", f"{workdir}/state")
-    assert ob.peek(spark, c, raw, skip_failed_files=True).count() == 1
-    cs.await_all(cs.start_consumer(spark, c, raw, cs.push_trips_handler(f"{workdir}/bt"), skip_failed_files=True))
+    assert ob.peek(spark, c, raw).count() == 1
+    cs.await_all(cs.start_consumer(spark, c, raw, cs.push_trips_handler(f"{workdir}/bt")))
     got = cs.read_batches(spark, f"{workdir}/bt", schemas.BIKE_TRIPS).collect()
     assert [r["usertype"] for r in got] == ["a"]
-    assert ob.peek(spark, c, raw, skip_failed_files=True).count() == 0
-    assert ob.peek(spark, c, raw).count() == 0  # the skipped file counts as consumed
-    import pytest
-    with pytest.raises(ValueError):
-        cs.start_consumer(spark, c, raw, cs.push_trips_handler(f"{workdir}/bt"), skip_failed_files=True,
-                          max_files_per_trigger=2)
+    assert ob.peek(spark, c, raw).count() == 0
+    assert ob.peek(spark, c, raw, skip_failed_files=False).count() == 0  # the skipped file counts as consumed
+
+
+def test_skip_file_is_exact_in_bounded_batches(spark, workdir):
+    """A failed file spread over several raw files: no batch of one raw file offers any of its rows."""
+    import json
+    import os
+    landing, raw = f"{workdir}/landing", f"{workdir}/raw"
+    os.makedirs(landing)
+    for f in range(3):
+        lines = [json.dumps({"tripduration": 100 * f + k, "usertype": "u" * 50}) + "\n" for k in range(40)]
+        with open(f"{landing}/f{f}.json", "w") as out:
+            out.writelines(lines + (["{broken\n"] if f == 1 else []))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+    try:
+        ig.run_pipe_once(ig.json_source(spark, landing), raw, f"{workdir}/ck")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    c = cs.Consumer("push_trips", f"{workdir}/state")
+    n = cs.run_consumer(spark, c, raw, cs.push_trips_handler(f"{workdir}/bt"), max_files_per_trigger=1)
+    assert n > 3
+    got = {r.tripduration for r in cs.read_batches(spark, f"{workdir}/bt", schemas.BIKE_TRIPS).collect()}
+    assert got == {100 * f + k for f in (0, 2) for k in range(40)}
+    assert ob.peek(spark, c, raw).count() == 0
+
+
+def test_peek_reads_open_commits_only_and_truncate_hides_commits(spark, workdir):
+    import os
+    landing, raw = f"{workdir}/landing", f"{workdir}/raw"
+    os.makedirs(landing)
+    c = cs.Consumer("push_trips", f"{workdir}/state")
+
+    def load(name):
+        with open(f"{landing}/{name}.json", "w") as f:
+            f.write('{"tripduration": 1, "usertype": "%s"}\n' % name)
+        ig.run_pipe_once(ig.json_source(spark, landing), raw, f"{workdir}/ck")
+
+    def names(df):
+        return sorted(r.usertype for r in df.select(F.expr("variant_get(v, '$.usertype', 'string')").alias("usertype")).collect())
+
+    load("a")
+    cs.run_consumer(spark, c, raw, cs.push_trips_handler(f"{workdir}/bt"))
+    assert ob.open_commits(spark, c, raw) == [] and ob.peek(spark, c, raw).count() == 0
+    load("b")
+    peeked = ob.peek(spark, c, raw)
+    assert names(peeked) == ["b"] and len(ob.open_commits(spark, c, raw)) == 1
+    plan = peeked._jdf.queryExecution().executedPlan().toString()
+    assert f"_commit#" in plan and f" = {ob.open_commits(spark, c, raw)[0]})" in plan[plan.index("PartitionFilters"):]
+    assert ig.truncate_raw(spark, raw) == ig.last_commit(spark, raw)
+    assert ob.peek(spark, c, raw).count() == 0 and ig.read_raw(spark, raw).count() == 0
+    load("c")
+    assert names(ig.read_raw(spark, raw)) == ["c"] and names(ob.peek(spark, c, raw)) == ["c"]
+    cs.run_consumer(spark, c, raw, cs.push_trips_handler(f"{workdir}/bt"))
+    assert sorted(r.usertype for r in cs.read_batches(spark, f"{workdir}/bt", schemas.BIKE_TRIPS).collect()) == ["a", "c"]
+    assert ob.pending_files(spark, landing, raw).count() == 0 and ig.read_pipe_ledger(spark, raw).count() == 3
 
 
 def test_peek_after_an_interrupted_bounded_consumer(spark, workdir):
