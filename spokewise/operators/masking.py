@@ -4,13 +4,17 @@ A policy is a typed ``Column -> Column`` function of the current role.
 ``apply_masks`` is the first projection above the scan, so every later
 filter, join and aggregate sees masked values. The role is known when
 the plan is built, so the CASE folds to the column or to a literal.
+
+``Catalog.set_masks`` binds policies to a table's columns; ``Catalog.read``
+resolves them for the session's role, so a reader cannot forget them.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -42,6 +46,28 @@ TRIPS_STREAM_MASKS = {
 }
 
 
+#: Session setting that names the role of a session.
+ROLE = "spokewise.role"
+
+
+def use_role(spark: SparkSession, role: str) -> None:
+    """``use role R``: the role of this session from now on."""
+    spark.conf.set(ROLE, role.upper())
+
+
+def current_role(spark: SparkSession) -> str:
+    """``current_role()``; a session that never chose one is ``PUBLIC``, which no policy allows by itself."""
+    return spark.conf.get(ROLE, "PUBLIC").upper()
+
+
+def policies_to_text(policies: dict[str, MaskPolicy]) -> str:
+    return json.dumps({c: asdict(p) for c, p in policies.items()})
+
+
+def policies_of_text(text: str) -> dict[str, MaskPolicy]:
+    return {c: MaskPolicy(**{**p, "allowed_roles": tuple(p["allowed_roles"])}) for c, p in json.loads(text).items()}
+
+
 def apply_masks(df: DataFrame, policies: dict[str, MaskPolicy], role) -> DataFrame:
     cols = [policies[c].apply(F.col(c), role).alias(c) if c in policies else F.col(c) for c in df.columns]
     return df.select(*cols)

@@ -94,6 +94,16 @@ def write_trips_csv(trips: DataFrame, path: str, header: bool = False, quote_str
     write_lines(lines, path, ",".join(trips.columns) if header else None, compression)
 
 
+def write_named_csv(trips: DataFrame, path: str) -> None:
+    """Plain ``trips-YYYY-MM-DD.csv`` files, one a day: part files under a name of their own."""
+    from spokewise.sources import fsio
+    spark = trips.sparkSession
+    write_trips_csv(trips, f"{path}-parts", compression="none", one_file_per_day=True)
+    parts = spark.read.text(f"{path}-parts").select(F.col("_metadata.file_path").alias("p")).distinct()
+    for r in parts.select("p", F.regexp_extract("p", r"day=([0-9-]+)", 1).alias("day")).collect():   # one a day
+        fsio.rename(spark, r.p, f"{path}/trips-{r.day}.csv")
+
+
 def write_records_csv(trips: DataFrame, path: str, escaped: Column) -> None:
     """Plain ``day=.../part-*.txt`` files with bad-rule rows; text fields are enclosed or, where ``escaped``,
     bare with a backslash before delimiters and backslashes. A record may span lines."""

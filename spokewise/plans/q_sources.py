@@ -9,9 +9,13 @@ expected table straight from the Parquet tables.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    DateType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
+)
 
 from spokewise import schemas
+from spokewise.functions.timefn import trunc_ntz
+from spokewise.operators.ordered import listagg_pieces
 from spokewise.plans import fixtures as fx
 from spokewise.plans.adapters import V_TRIPS_SQL, table, v_trips, with_ctes
 from spokewise.plans.registry import register
@@ -156,6 +160,38 @@ def q_csv_narrow_load(spark, sf):
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+@register("csv_narrow_columns", ids="S7 S6", oracle=TRIPS + f"""
+SELECT tripduration, starttime, stoptime, start_station_id FROM v_trips WHERE NOT {fx.BAD_RULE_SQL}""")
+def q_csv_narrow_columns(spark, sf):
+    # 16-column files into a table of their first four columns: the rest of each row is cut
+    root, cat = _catalog(spark, "narrowcols")
+    stage = _csv_stage(spark, sf, root, header=True, corrupt=True)
+    narrow = StructType(schemas.TRIPS.fields[:4])
+    loader.copy_into(cat, "trips_start", stage, narrow, FORMAT_A, on_error="continue", now=LOAD_NOW)
+    return cat.table("trips_start").read()
+
+
+@register("csv_auto_times", ids="S5 T9", oracle=TRIPS + """
+SELECT tripduration, date_trunc('second', starttime) AS iso, date_trunc('minute', stoptime) AS slash,
+       date_trunc('second', starttime) AS epoch, CAST(starttime AS DATE) AS day_first, bikeid FROM v_trips""")
+def q_csv_auto_times(spark, sf):
+    # TIMESTAMP_FORMAT = AUTO, DATE_FORMAT = AUTO: each column's format is found from all of its tokens
+    root, cat = _catalog(spark, "autotimes")
+    stage = f"{root}/stage"
+    t = v_trips(spark, sf)
+    line = F.concat_ws(",", F.col("tripduration").cast("string"), F.date_format("starttime", "yyyy-MM-dd'T'HH:mm:ss"),
+                       F.date_format("stoptime", "MM/dd/yyyy HH:mm"),
+                       F.unix_millis(F.col("starttime").cast("timestamp")).cast("string"),
+                       F.date_format("starttime", "dd/MM/yyyy"), F.col("bikeid").cast("string"))
+    t.select(F.date_format("starttime", "yyyy-MM-dd").alias("day"), line.alias("value")).write.partitionBy("day").text(stage)
+    columns = StructType([StructField("tripduration", IntegerType()), StructField("iso", TimestampNTZType()),
+                          StructField("slash", TimestampNTZType()), StructField("epoch", TimestampNTZType()),
+                          StructField("day_first", DateType()), StructField("bikeid", IntegerType())])
+    loader.copy_into(cat, "times", stage, columns, CsvFormat(timestamp_formats=("AUTO",)), now=LOAD_NOW)
+    back = cat.table("times").read()
+    return back.withColumn("epoch", trunc_ntz("second", "epoch"))
+
+
 @register("json_load_variant", ids="S8 P3 T10", oracle=TRIPS + f"""
 SELECT tripduration, starttime, stoptime, start_station_id, end_station_id, bikeid, usertype
 FROM v_trips WHERE NOT {fx.BAD_RULE_SQL}""")
@@ -220,6 +256,20 @@ def q_stage_query(spark, sf):
             .select(F.col("_c0").alias("c1")))
 
 
+@register("stage_query_json", ids="S10 S8 O5", oracle=TRIPS + """
+SELECT least(10, count(*)) AS documents, least(10, count(*)) AS staged, true AS whole FROM v_trips""")
+def q_stage_query_json(spark, sf):
+    # select $1 from @stage (a JSON stage) limit 10: whole documents, any ten; how many, how many of them are staged
+    root = new_workdir(spark, "stagejson")
+    stage = f"{root}/stage"
+    fx.write_trips_json(v_trips(spark, sf), stage)
+    docs = spark.read.format("json").option("singleVariantColumn", "v").load(stage).select(F.to_json("v").alias("doc"))
+    ten = docs.limit(10)
+    staged = ten.join(docs.distinct(), "doc", "left_semi").count()
+    return ten.agg(F.count(F.lit(1)).alias("documents"), F.lit(staged).cast("long").alias("staged"),
+                   F.bool_and(F.col("doc").startswith("{") & F.col("doc").contains("tripduration")).alias("whole"))
+
+
 @register("file_provenance", ids="S11", oracle=TRIPS + """
 SELECT strftime(CAST(starttime AS DATE), '%Y-%m-%d') AS file_day, count(*) AS n FROM v_trips GROUP BY 1""")
 def q_file_provenance(spark, sf):
@@ -251,18 +301,19 @@ def q_count_distinct_files(spark, sf):
 
 
 @register("listagg_files", ids="A10 T16", oracle=TRIPS + """
-SELECT string_agg('.*day=' || d, '|' ORDER BY d) AS purge_pattern, count(*) AS n_days
-FROM (SELECT DISTINCT strftime(CAST(starttime AS DATE), '%Y-%m-%d') AS d FROM v_trips)""")
+SELECT (r - 1) // 8 AS piece, count(*) AS n, string_agg('.*' || name, '|' ORDER BY name) AS purge_pattern
+FROM (SELECT name, row_number() OVER (ORDER BY name) AS r
+      FROM (SELECT DISTINCT 'trips-' || strftime(CAST(starttime AS DATE), '%Y-%m-%d') || '.csv' AS name FROM v_trips))
+GROUP BY 1""")
 def q_listagg_files(spark, sf):
-    # listagg('.*' || name, '|') over the loaded day folders, in a fixed order.
-    # The group is the set of distinct folders (one per day), not the rows.
+    # listagg('.*' || name, '|') over the names of the files loaded without errors, in pieces of eight names
     root, cat = _catalog(spark, "listagg")
-    stage = _csv_stage(spark, sf, root, header=False)
+    stage = f"{root}/stage"
+    fx.write_named_csv(v_trips(spark, sf), stage)
     loader.copy_into(cat, "trips", stage, schemas.TRIPS, FORMAT_B, on_error="abort", now=LOAD_NOW)
-    h = cat.load_history("trips").where(F.col("error_count") == 0)
-    days = h.select(F.regexp_extract("stage_location", r"(day=[0-9-]+)", 1).alias("d")).distinct()
-    return spark.sql("SELECT listagg('.*' || d, '|') WITHIN GROUP (ORDER BY d) AS purge_pattern, "
-                     "count(*) AS n_days FROM {days}", days=days)
+    names = cat.load_history("trips").where(F.col("error_count") == 0).select(
+        F.concat(F.lit(".*"), "file_name").alias("purge_pattern"))
+    return listagg_pieces(names, "purge_pattern", "|", per_piece=8)
 
 
 @register("load_ledger", ids="S12", oracle=TRIPS + f"""

@@ -105,10 +105,10 @@ def _build_flow(spark, sf) -> Flow:
         n1, n2 = cs.await_all(q1, q2)
         return {"push_trips": n1, "push_stations": n2}
 
-    unload_json_by_day(trips, f.landing, None, SPLIT_DAY)
+    unload_json_by_day(trips, f.landing, None, SPLIT_DAY, one_file_per_day=True)
     ingest(LOAD_1)
     consume(1, RUN_1)
-    unload_json_by_day(trips, f.landing, next_day, None, mode="append")
+    unload_json_by_day(trips, f.landing, next_day, None, mode="append", one_file_per_day=True)
     ob.pending_files(spark, f.landing, f.raw).select("path", "name").write.parquet(f"{f.saved}/pending")
     ingest(LOAD_2)
     trip_fields(ob.peek(spark, f.trips_consumer, f.raw)).write.parquet(f"{f.saved}/peek")
@@ -340,9 +340,14 @@ def q_purge_after_push(spark, sf):
         "day", "row_count", F.when(F.col("here").isNull(), 1).otherwise(0).alias("purged"))
 
 
-@register("ingest_overview", ids="J4 T-16 A6 A7 A8")
+@register("ingest_overview", ids="J4 T-16 A6 A7 A8", oracle=TRIPS + f"""
+SELECT CAST(-59 AS BIGINT) AS time_to_next_pulse, count(DISTINCT {DAY}) AS files_in_bucket,
+       CAST(0 AS BIGINT) AS pending_file_count, count(DISTINCT {DAY}) FILTER (WHERE {LATE}) AS files_processed,
+       count(*) AS trips_raw, CAST(0 AS BIGINT) AS recs_in_stream, count(*) AS bike_trips,
+       (SELECT count(*) FROM ({_station_arm('start')} UNION {_station_arm('end')})) AS bike_stations,
+       max(starttime) AS max_date
+FROM v_trips""")
 def q_ingest_overview(spark, sf):
-    # No oracle: files_in_bucket and files_processed count physical files.
     f = run_flow(spark, sf)
     return ob.overview(spark, now=NOW, state_root=f.state, landing=f.landing, raw_path=f.raw,
                        raw_table_name="trips_raw", stream_consumer=f.trips_consumer,

@@ -17,6 +17,7 @@ from spokewise.plans.adapters import (
 )
 from spokewise.plans.registry import register
 from spokewise.session import new_workdir
+from spokewise.sources.loader import Catalog
 from spokewise.sources.tables import VersionedTable
 
 # fixed value: trips longer than this get a renamed start station (two names per id, T12)
@@ -217,3 +218,23 @@ def q_masked_aggregate(spark, sf):
     return m.groupBy("role").agg(F.count(F.when(F.col("usertype") == "click", 1)).alias("n_click"),
                                  F.round(F.avg("birth_year"), 6).alias("avg_birth_year"),
                                  F.count(F.lit(1)).alias("n"))
+
+
+@register("masked_read", ids="G3 F15", oracle=STREAM + """
+SELECT 'PUBLIC' AS role, '*** masked ***' AS usertype, count(*) AS n, -999.0 AS avg_birth_year, 0 AS clicks FROM v_trips_stream
+UNION ALL
+SELECT 'ACCOUNTADMIN', usertype, count(*), round(avg(birth_year), 6), count(*) FILTER (WHERE usertype = 'click')
+FROM v_trips_stream GROUP BY 2""")
+def q_masked_read(spark, sf):
+    # policies bound to the table: readers get masked columns by their role, without asking for it
+    cat = Catalog(spark, new_workdir(spark, "bound") + "/db")
+    cat.table("trips_stream").create(_trips_stream(spark, sf))
+    cat.set_masks("trips_stream", TRIPS_STREAM_MASKS)
+
+    def seen(role):
+        t = cat.read("trips_stream", role=role)
+        return t.groupBy(F.lit(role or "PUBLIC").alias("role"), "usertype").agg(
+            F.count(F.lit(1)).alias("n"), F.round(F.avg("birth_year"), 6).alias("avg_birth_year"),
+            F.count_if(F.col("usertype") == "click").alias("clicks"))
+
+    return seen(None).unionByName(seen("ACCOUNTADMIN"))

@@ -13,6 +13,8 @@ class CsvFormat:
     the meaning from a delimiter, a line end, a quote or itself in a field that
     is not enclosed. Spark's reader has no such option and reads a record per
     line; files that need either are found and cut by ``sources.records``.
+    ``timestamp_formats=("AUTO",)`` finds the format of each date and time column
+    from its tokens (``loader.AUTO_FORMATS``).
     """
 
     delimiter: str = ","

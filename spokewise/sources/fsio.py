@@ -70,6 +70,14 @@ def make_dir(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    fs, p = _fs(spark, path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(p, target):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
 def delete_file(spark: SparkSession, path: str) -> bool:
     """Delete one file; False when it is not there."""
     fs, p = _fs(spark, path)

@@ -29,17 +29,19 @@ unreferenced staging folder behind.
 
 from __future__ import annotations
 
+import re
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType, TimestampNTZType
 
 from spokewise import schemas
 from spokewise.functions._util import ntz_lit, utc_now
+from spokewise.operators.masking import MaskPolicy, apply_masks, current_role, policies_of_text, policies_to_text
 from spokewise.session import new_workdir
-from spokewise.sources import records
+from spokewise.sources import fsio, records
 from spokewise.sources.formats import CsvFormat
 from spokewise.sources.stage import list_stage, literal_paths, path_batches, plain_path
 from spokewise.sources.tables import VersionedTable, has_data_files
@@ -71,13 +73,34 @@ class Catalog:
         return self._tables[name]
 
     def table_names(self) -> list[str]:
-        from spokewise.sources import fsio
         fs, p = fsio._fs(self.spark, self.root)
         if not fs.exists(p):
             return []
         return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()
                       and fsio.exists(self.spark, f"{self.root}/{s.getPath().getName()}/_log"))
 
+    def set_masks(self, name: str, policies: dict[str, MaskPolicy]) -> None:
+        """``alter table T modify column c set masking policy p`` for each column; an empty dict unsets all.
+
+        The binding is kept beside the table and holds for every version of it.
+        """
+        columns = {f.name: f.dataType.simpleString() for f in self.table(name).schema().fields}
+        for c, p in policies.items():
+            if columns.get(c) != p.type_name:
+                raise ValueError(f"policy {p.name} is for {p.type_name}; {name}.{c} is {columns.get(c, 'no column')}")
+        fsio.write_text(self.spark, f"{self.root}/{name}/_masks.json", policies_to_text(policies), overwrite=True)
+
+    def masks(self, name: str) -> dict[str, MaskPolicy]:
+        path = f"{self.root}/{name}/_masks.json"
+        return policies_of_text(fsio.read_text(self.spark, path)) if fsio.exists(self.spark, path) else {}
+
+    def read(self, name: str, version: int | None = None, role: str | None = None) -> DataFrame:
+        """The table as the session's role (or ``role``) sees it: bound columns are masked at the scan, so
+        no filter, join or aggregate above it sees a raw value."""
+        df = self.table(name).read(version)
+        bound = {c: p for c, p in self.masks(name).items() if c in df.columns}
+        return apply_masks(df, bound, role or current_role(self.spark)) if bound else df
+
     def ledger_of(self, table: VersionedTable, live: bool = False) -> DataFrame:
         """Ledger rows of all loads, or (``live``) of the loads whose rows the table holds now."""
         return read_ledger(table, table.loaded_segments() if live else table.ledger_segments())
@@ -134,7 +157,64 @@ class LoadReport:
 
 # ------------------------------------------------------------------ parsing
 
+AUTO = "AUTO"
+#: The formats that AUTO knows, in order of preference, beside ISO text and numbers since the epoch.
+ISO, EPOCH = "ISO", "EPOCH"
+AUTO_FORMATS = (ISO, "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm", "MM/dd/yyyy", "dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm",
+                "dd/MM/yyyy", "dd-MMM-yyyy HH:mm:ss", "dd-MMM-yyyy", EPOCH)
+#: From these on a number counts milli-, micro- and nanoseconds.
+EPOCH_STEPS = (31_536_000_000, 31_536_000_000_000, 31_536_000_000_000_000)
+
+
+def _epoch(tok: Column) -> Column:
+    """A whole number as the time since 1970, its unit told by its size; null for other text."""
+    n = F.when(tok.rlike("^-?[0-9]{1,18}$"), tok.try_cast("long"))
+    micros = F.floor(n / 1000).cast("long")     # nanoseconds
+    for limit, factor in zip(reversed(EPOCH_STEPS), (1, 1_000, 1_000_000), strict=True):
+        micros = F.when(F.abs(n) < limit, n * factor).otherwise(micros)
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=(micros / 1_000_000).cast("decimal(18,6)"))
+
+
+def _read_as(tok: Column, fmt: str) -> Column:
+    """The token under one of ``AUTO_FORMATS``; null where it does not fit."""
+    if fmt == ISO:      # starts with a year and a month
+        return F.when(tok.rlike("^\\s*[0-9]{4}-[0-9]{1,2}"), tok.try_cast("timestamp_ntz"))
+    if fmt == EPOCH:
+        return _epoch(tok)
+    return F.when(tok.rlike(_shape(fmt)), F.try_to_timestamp(tok, F.lit(fmt))).cast("timestamp_ntz")
+
+
+def _shape(fmt: str) -> str:
+    """A regex for text of the format, so that hardly any other text meets the (slow to fail) parser."""
+    parts = {"yyyy": "[0-9]{4}", "MMM": "[A-Z][a-z]{2}", "MM": "(0[1-9]|1[0-2])", "dd": "(0[1-9]|[12][0-9]|3[01])",
+             "HH": "([01][0-9]|2[0-3])", "mm": "[0-5][0-9]", "ss": "[0-5][0-9]"}
+    return "^" + re.sub(r"[A-Za-z]+", lambda m: parts[m[0]], fmt) + "$"
+
+
+def infer_formats(tokens: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: for each column the number of its tokens that fit each of ``AUTO_FORMATS`` (an array)."""
+    return tokens.agg(*[F.array(*[F.count(_read_as(F.col(c), f)) for f in AUTO_FORMATS]).alias(c) for c in columns])
+
+
+def auto_formats(spark: SparkSession, batches, schema: StructType, fmt: CsvFormat) -> dict[str, str]:
+    """The format of each date and time column: the one that most tokens of all files fit, the first of equals.
+
+    One scan of the files, a short row per batch of files.
+    """
+    columns = [f.name for f in schema.fields if isinstance(f.dataType, (TimestampNTZType, DateType))]
+    if AUTO not in fmt.timestamp_formats or not columns:
+        return {}
+    plain = replace(fmt, timestamp_formats=())
+    fits = {c: [0] * len(AUTO_FORMATS) for c in columns}
+    for paths in batches:
+        row = infer_formats(parse_csv(spark, paths, schemas.all_string(schema), plain), columns).first()
+        fits = {c: [a + b for a, b in zip(fits[c], row[c], strict=True)] for c in columns}
+    return {c: AUTO_FORMATS[max(range(len(n)), key=lambda k: (n[k], -k))] for c, n in fits.items()}
+
+
 def _typed(tok: Column, dtype, timestamp_formats: tuple[str, ...] = ()) -> Column:
+    if isinstance(dtype, (TimestampNTZType, DateType)) and len(timestamp_formats) == 1 and timestamp_formats[0] in AUTO_FORMATS:
+        return _read_as(tok, timestamp_formats[0]).cast(dtype)
     if isinstance(dtype, TimestampNTZType):
         # ISO text first ("AUTO"), then each listed pattern
         alts = [tok.try_cast("timestamp_ntz")]
@@ -145,10 +225,12 @@ def _typed(tok: Column, dtype, timestamp_formats: tuple[str, ...] = ()) -> Colum
 
 def validate(raw: DataFrame, schema: StructType, strict_columns: bool,
              null_tokens: tuple[str, ...] = (), timestamp_formats: tuple[str, ...] = (),
-             file_col: str = "_metadata.file_path", broken: Column | None = None) -> DataFrame:
+             file_col: str = "_metadata.file_path", broken: Column | None = None,
+             found: dict[str, str] | None = None) -> DataFrame:
     """Typed columns plus ``_ok``/``_error`` from an all-STRING parse.
 
-    ``broken`` marks rows that are rejected whatever their tokens are.
+    ``broken`` marks rows that are rejected whatever their tokens are; ``found`` has the
+    formats of columns as ``auto_formats`` tells them.
 
     An empty unquoted field already arrives as NULL and is not an error;
     a non-NULL token that does not cast is.
@@ -164,7 +246,7 @@ def validate(raw: DataFrame, schema: StructType, strict_columns: bool,
         errs.append(F.when(F.col(CORRUPT).isNotNull(), F.lit("column count mismatch")))
     for f in schema.fields:
         tok = F.col(f.name)
-        t = _typed(tok, f.dataType, timestamp_formats)
+        t = _typed(tok, f.dataType, (found[f.name],) if found and f.name in found else timestamp_formats)
         typed.append(t.alias(f.name))
         errs.append(F.when(tok.isNotNull() & t.isNull(),
                            F.concat(F.lit(f"cannot convert '{f.name}': "), tok)))
@@ -178,19 +260,21 @@ def validate(raw: DataFrame, schema: StructType, strict_columns: bool,
                       "_file", F.col("_error").isNull().alias("_ok"))
 
 
-def parse_csv(spark: SparkSession, paths: list[str], schema: StructType, fmt: CsvFormat) -> DataFrame:
+def parse_csv(spark: SparkSession, paths: list[str], schema: StructType, fmt: CsvFormat,
+              found: dict[str, str] | None = None) -> DataFrame:
     """Validated rows of the files; those with records that span lines or with escapes go through ``records``."""
     if not records.needs_states(fmt):
-        return _parse_plain(spark, paths, schema, fmt)
-    found = records.open_files(records.read_lines(spark, literal_paths(paths), fmt), fmt)
-    odd = {r.file for r in found.select(plain_path("file").alias("file")).collect()}   # of one batch of files
+        return _parse_plain(spark, paths, schema, fmt, found)
+    spanning = records.open_files(records.read_lines(spark, literal_paths(paths), fmt), fmt)
+    odd = {r.file for r in spanning.select(plain_path("file").alias("file")).collect()}   # of one batch of files
     plain = [p for p in paths if p not in odd]
-    parts = [_parse_plain(spark, plain, schema, fmt)] if plain or not odd else []
-    parts += [_parse_records(spark, sorted(odd), schema, fmt)] if odd else []
+    parts = [_parse_plain(spark, plain, schema, fmt, found)] if plain or not odd else []
+    parts += [_parse_records(spark, sorted(odd), schema, fmt, found)] if odd else []
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def _parse_records(spark: SparkSession, paths: list[str], schema: StructType, fmt: CsvFormat) -> DataFrame:
+def _parse_records(spark: SparkSession, paths: list[str], schema: StructType, fmt: CsvFormat,
+                   found: dict[str, str] | None) -> DataFrame:
     lines = records.numbered(records.read_lines(spark, literal_paths(paths), fmt), fmt,
                              lambda df: _written(df, "records"))
     rows = records.gathered(lines, fmt).withColumn("_fields", records.fields_of(F.col("record"), fmt))
@@ -198,15 +282,16 @@ def _parse_records(spark: SparkSession, paths: list[str], schema: StructType, fm
     raw = rows.select(*[F.get("_fields", F.lit(i)).alias(f.name) for i, f in enumerate(schema.fields)],
                       wrong.alias(CORRUPT), F.col("file").alias("_path"), F.col("too_long").alias("_too_long"))
     return validate(raw, schema, fmt.error_on_column_count_mismatch, tuple(n for n in fmt.null_if if n),
-                    fmt.timestamp_formats, "_path", F.col("_too_long"))
+                    fmt.timestamp_formats, "_path", F.col("_too_long"), found)
 
 
-def _parse_plain(spark: SparkSession, paths: list[str], schema: StructType, fmt: CsvFormat) -> DataFrame:
+def _parse_plain(spark: SparkSession, paths: list[str], schema: StructType, fmt: CsvFormat,
+                 found: dict[str, str] | None) -> DataFrame:
     read_schema = StructType(list(schemas.all_string(schema).fields) + [StructField(CORRUPT, StringType())])
     raw = (spark.read.schema(read_schema).options(**fmt.reader_options())
            .option("columnNameOfCorruptRecord", CORRUPT).csv(literal_paths(paths)))
     return validate(raw, schema, fmt.error_on_column_count_mismatch, fmt.extra_null_tokens(),
-                    fmt.timestamp_formats)
+                    fmt.timestamp_formats, found=found)
 
 
 def parse_json_variant(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -274,8 +359,10 @@ def copy_into(cat: Catalog, table_name: str, stage: str, schema: StructType | No
         schema = table.schema()
     # Files are parsed in bounded batches; nothing is visible before the one commit at the end.
     staged_segments, ledgers = [], []
-    for paths in path_batches(pending_listing(cat, table, stage, pattern, force), FILES_PER_BATCH):
-        seg, ledger_seg = _stage_files(cat, table, table_name, paths, schema, fmt, on_error, now)
+    pending = pending_listing(cat, table, stage, pattern, force)
+    found = {} if is_json else auto_formats(spark, path_batches(pending, FILES_PER_BATCH), schema, fmt)
+    for paths in path_batches(pending, FILES_PER_BATCH):
+        seg, ledger_seg = _stage_files(cat, table, table_name, paths, schema, fmt, on_error, now, found)
         staged_segments.append(seg)
         ledgers.append(ledger_seg)
     if not ledgers:
@@ -318,10 +405,10 @@ def copy_into(cat: Catalog, table_name: str, stage: str, schema: StructType | No
 
 
 def _stage_files(cat: Catalog, table: VersionedTable, table_name: str, paths: list[str], schema: StructType,
-                 fmt: CsvFormat | str, on_error: str, now) -> tuple[str, str]:
+                 fmt: CsvFormat | str, on_error: str, now, found: dict[str, str]) -> tuple[str, str]:
     """Parse one batch of files into a staged segment and write its ledger segment; returns both paths."""
     spark = cat.spark
-    parsed = parse_json_variant(spark, paths) if fmt == "json" else parse_csv(spark, paths, schema, fmt)
+    parsed = parse_json_variant(spark, paths) if fmt == "json" else parse_csv(spark, paths, schema, fmt, found)
     seg = table.new_segment_path()
     parsed.write.partitionBy("_ok").parquet(seg)
     # the schema is given, so a batch without any row reads as empty; partition values come back as text

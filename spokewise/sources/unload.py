@@ -46,17 +46,19 @@ def distinct_days(trips: DataFrame, start: str, stop: str, ts: str = "starttime"
 def unload_json_by_day(trips: DataFrame, out_dir: str, start: str | None = None, stop: str | None = None,
                        keys: list[str] | None = None, ts: str = "starttime",
                        compression: str = "gzip", partitions: int | None = None,
-                       mode: str = "errorifexists", max_records_per_file: int | None = None) -> int:
+                       mode: str = "errorifexists", max_records_per_file: int | None = None,
+                       one_file_per_day: bool = False) -> int:
     """Write one JSON document per trip under ``out_dir/day=YYYY-MM-DD/``.
 
     Documents hold ``keys`` in order; NULL values are left out (T6) and
     timestamps are written as wall-clock text with microseconds (T7).
+    ``one_file_per_day`` deals each day to one task, for days of moderate size.
     Returns the number of days that are in the range.
     """
     keys = keys or schemas.TRIP_DOC_KEYS
     docs = (trips.where(day_range(ts, start, stop))
             .select(F.date_format(F.to_date(ts), "yyyy-MM-dd").alias("day"), *keys))
-    ranged = (docs.repartitionByRange(partitions, "day", ts) if partitions
+    ranged = docs.repartition("day") if one_file_per_day else (docs.repartitionByRange(partitions, "day", ts) if partitions
               else docs.repartitionByRange("day", ts))
     (ranged.sortWithinPartitions("day", ts)
      .write.mode(mode).partitionBy("day")
