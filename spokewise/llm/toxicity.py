@@ -14,9 +14,14 @@ whose letters (or a beginning of them) stand in toxic texts far more often
 than in clean ones (likelihood ratio). The strongest of these strings are
 the landmarks. Words are embedded by the kernel to the landmarks
 (Nystroem), a linear machine with squared hinge loss separates witnesses,
-also with a character inserted, from the words of clean sentences, first
+also with a letter inserted, from the words of clean sentences, first
 sampled ones, then also those that the first machine takes for the
-worst. Scores are calibrated by a logistic fit on the sampled texts.
+worst. Scores are calibrated by a logistic fit on the sampled texts; its
+even odds are moved down to where most of the strongest witnesses are found with a letter
+inserted, but not below clean texts. A word with punctuation inside counts as it is
+or by its letters alone, whichever is stronger, so an insult is found with any
+characters between its letters, or with one foreign letter inside; two foreign
+letters inside a short word are not told from clean words.
 
 Scoring needs no shuffle: tasks take the distinct words of a block, compute
 kernels for those not in the worker's bounded memo, and take the maximum
@@ -56,6 +61,7 @@ EVIDENCE = 9.0                      # log likelihood ratio from which on a strin
 PREFIX = (4, 12)                    # letters of the beginnings that are counted
 MAX_WITNESSES, SAMPLED_WORDS, HARD_WORDS = 600, 12_000, 2_000
 COST = 5.0
+STRONGEST = 10                      # landmarks whose forms with a letter inserted place the even odds
 MEMO = 1_000_000                    # words of a worker's memo
 _EDGE = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum())
 
@@ -119,7 +125,7 @@ class Landmarks:
 
     def __init__(self, names: list[str]):
         self.names = names
-        self.letters = _letters(names, 1)
+        self.letters = _letters(names, 1)[:, :len(START) + max(map(len, names))]   # no letters beyond the longest
         self.own = _own(self.letters.T)
         table = np.zeros((_PAIRS + 1, len(names)), np.uint8)
         near, _ = _pairs(self.letters)
@@ -157,6 +163,16 @@ class Landmarks:
         return out
 
 
+def bare(word: str) -> str:
+    """The word without what is neither letter nor digit."""
+    return word if word.isalnum() else "".join(c for c in word if c.isalnum())
+
+
+def inserted(word: str) -> list[str]:
+    """The word with a letter put between any two of its letters."""
+    return [word[:k] + "x" + word[k:] for k in range(1, len(word))]
+
+
 def pieces(word: str) -> list[str]:
     if len(word) <= WIDTH:
         return [word]
@@ -206,10 +222,11 @@ class Model:
     share: float = 0.5    # score without evidence
 
     def margins(self, words: list[str]) -> np.ndarray:
-        """Decision values; a word of several pieces has its strongest one's."""
+        """Decision values; a word of several pieces has its strongest one's, a word with
+        punctuation inside that of its letters alone if it is higher."""
         if not words:
             return np.zeros(0)
-        cut = [pieces(x) for x in words]
+        cut = [pieces(x) if (b := bare(x)) == x or not b else pieces(x) + pieces(b) for x in words]
         if all(len(x) == 1 for x in cut):
             return self.landmarks.kernel(words) @ self.weights + self.bias
         flat = self.landmarks.kernel([p for x in cut for p in x]) @ self.weights + self.bias
@@ -270,14 +287,13 @@ def _machine(x: np.ndarray, y: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, f
 
 
 def fit_words(landmarks: list[str], toxic: dict[str, float], clean: dict[str, float]) -> Model:
-    """Machine that separates weighted toxic words, also with a character inserted, from clean ones."""
+    """Machine that separates weighted toxic words, also with a letter inserted, from clean ones."""
     grown = dict(toxic)
     for w, weight in toxic.items():
         if len(w) > ORDER:
-            more = [w[:k] + c + w[k:] for k in range(1, len(w)) for c in ("*", "x")]
-            for m in more:
+            for m in inserted(w):
                 if m not in clean:
-                    grown.setdefault(m, weight / 4)
+                    grown.setdefault(m, 2 * weight)
     words = [*grown, *clean]
     y = np.array([1.0] * len(grown) + [-1.0] * len(clean))
     c = np.array([*grown.values(), *clean.values()])
@@ -392,7 +408,13 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxi
     clean |= {r.unit: 4 * float(r.neg) ** 0.5 for r in hard}
     model = fit_words([*landmarks, *_spread([r.unit for r in hard], CLEAN_LANDMARKS)], toxic, clean)
     seen = _margins(sample, model, ["y"]).collect()
-    model.slope, model.offset = _calibrate(np.array([r.margin for r in seen]), np.array([float(r.y) for r in seen]))
+    margin, y = np.array([r.margin for r in seen]), np.array([float(r.y) for r in seen])
+    model.slope, model.offset = _calibrate(margin, y)
+    # even odds where nine tenths of the strongest witnesses' forms with a letter inserted are found, but above clean texts
+    forms = model.margins([m for w in landmarks[:STRONGEST] if len(w) > ORDER for m in inserted(w)])
+    if len(forms) and (y == 0).any():
+        even = max(np.quantile(forms, 0.1), np.quantile(margin[y == 0], 0.995))
+        model.offset = max(model.offset, -model.slope * float(even))
     return model
 
 

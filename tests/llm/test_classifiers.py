@@ -106,7 +106,19 @@ def test_toxicity_held_out_accuracy_and_gaps(spark):
     rows = [(k, text.format(w)) for k, w in enumerate(
         ["idiot", "IDIOT!", "id*iot", "i d i o t", "mor-on", "thndor", "intor", "ordinary"])]
     got = {r.doc_id: r.score >= 0.5 for r in toxicity.score(edge_docs(spark, rows), model).collect()}
-    assert got[0] and got[1] and got[3] and not (got[5] or got[6] or got[7])
+    assert all(got[k] for k in range(5)) and not (got[5] or got[6] or got[7])
+
+    # every learned insult in seven gapped forms; words that look a little like them stay clean
+    insults = [w for w in model.landmarks.names[:toxicity.STRONGEST] if w in ("idiot", "moron", "clown", "loser", "scum", "trash", "stupid")]
+    forms = [f(w) for w in insults for f in (
+        lambda w: w[:2] + "*" + w[2:], lambda w: w[:3] + "-" + w[3:], lambda w: w[:2] + "x" + w[2:], ".".join, "*".join,
+        lambda w: w[:1] + "*" + w[1:3] + "-" + w[3:], lambda w: w[:2] + "__" + w[2:])]
+    clean = ["crown", "studio", "patriotic", "marathon", "discuss", "sum", "stupor", "well-known", "e-mail", "mother-in-law",
+             "http://www.example.com/a-b", "don't", "co-operate", "idea", "trust"]
+    rows = [(k, text.format(w)) for k, w in enumerate(forms + clean)]
+    hit = {r.doc_id: r.score >= 0.5 for r in toxicity.score(edge_docs(spark, rows), model).collect()}
+    assert len(insults) >= 3 and np.mean([hit[k] for k in range(len(forms))]) >= 0.9
+    assert not any(hit[k] for k in range(len(forms), len(rows)))
 
 
 # ---- licences -------------------------------------------------------------
