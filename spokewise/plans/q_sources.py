@@ -14,6 +14,7 @@ from pyspark.sql.types import (
 )
 
 from spokewise import schemas
+from spokewise.functions._util import ntz_lit, utc_now
 from spokewise.functions.timefn import trunc_ntz
 from spokewise.operators.ordered import listagg_pieces
 from spokewise.plans import fixtures as fx
@@ -181,7 +182,7 @@ def q_csv_auto_times(spark, sf):
     t = v_trips(spark, sf)
     line = F.concat_ws(",", F.col("tripduration").cast("string"), F.date_format("starttime", "yyyy-MM-dd'T'HH:mm:ss"),
                        F.date_format("stoptime", "MM/dd/yyyy HH:mm"),
-                       F.unix_millis(F.col("starttime").cast("timestamp")).cast("string"),
+                       F.timestamp_diff("MILLISECOND", ntz_lit("1970-01-01 00:00:00"), F.col("starttime")).cast("string"),
                        F.date_format("starttime", "dd/MM/yyyy"), F.col("bikeid").cast("string"))
     t.select(F.date_format("starttime", "yyyy-MM-dd").alias("day"), line.alias("value")).write.partitionBy("day").text(stage)
     columns = StructType([StructField("tripduration", IntegerType()), StructField("iso", TimestampNTZType()),
@@ -241,10 +242,10 @@ def q_stage_sizes(spark, sf):
      .write.partitionBy("day").text(stage))
     for name in ("empty.csv", "late/empty.json"):
         fsio.write_text(spark, f"{stage}/{name}", "")
-    age = F.abs(F.unix_micros(F.current_timestamp()) - F.unix_micros(F.col("last_modified").cast("timestamp")))
+    age = F.abs(F.timestamp_diff("SECOND", F.col("last_modified"), utc_now()))
     return (list_stage(spark, stage).groupBy(F.date_format(day_of_path("name"), "yyyy-MM-dd").alias("day"))
             .agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"),
-                 F.bool_and(age < 3_600_000_000).alias("just_written")))
+                 F.bool_and(age < 3600).alias("just_written")))
 
 
 @register("stage_query", ids="S10", oracle=TRIPS + "SELECT CAST(tripduration AS VARCHAR) AS c1 FROM v_trips")
