@@ -9,15 +9,23 @@ length in the table of piece hashes (vectorised, no shuffle: the documents
 stay where they are), and Myers' bit-parallel algorithm verifies the words
 around each hit exactly.
 
-The items travel to the tasks in slices of at most ``SLICE_BYTES`` bytes of
-text, each broadcast on its own, so a benchmark of any size is searched
-with bounded memory; the documents are read once for each slice.
-
-Defined results: null texts and items have no words and never match; items
-of fewer than ``MIN_WORDS`` words are not searched (they occur by chance);
-an item found several times in a document gives one row, at its best place
-(smallest distance, then the earliest); repeated items and documents give a
-row each. Extra columns are ignored; empty tables give an empty result.
+A character of a script that is written without blanks is a word by itself.
+
+Different item texts are searched once each; ids meet the matches in a join
+afterwards, so copies of an item cost nothing in the tasks. The texts travel
+in slices of ``SLICE_BYTES`` bytes (a longer text is a slice of its own),
+packed by a running sum over ranges of their hashes. Where there are several
+slices, the matches of one are written and its broadcast is freed before the
+next one is fetched; the documents are read once for each slice. So driver and
+executors hold one slice at a time, whatever the size of the benchmark.
+
+Defined results: null texts and items have no words and never match; the
+budget of items of fewer than five words is 0, they are found word for word
+(``min_words`` leaves shorter ones out); an item found several times in a
+document gives one row, at its best place (smallest distance, then the
+earliest); repeated items and documents give a row each; ids may have any
+type, null included. Extra columns are ignored; empty tables give an empty
+result.
 """
 
 from __future__ import annotations
@@ -26,15 +34,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StructField, StructType
+
 from spokewise.llm import wordstream as ws
+from spokewise.llm.common import written
 
 MAX_ERROR = 0.2          # word edits for each word of an item: similarity 0.8
-MIN_WORDS = 5            # shorter items are not searched
+MIN_WORDS = 1            # shorter items are not searched
 SLICE_BYTES = 16 << 20   # text of the items that one broadcast holds
+_RANGES = 16             # ranges of hashes for each slice that the texts would fill
 _FILTER = 1 << 16
+_MATCH = "digest string, distance int, n_words int, start_word long, end_word long"
 
 
 def myers(pattern: list[int], text: list[int]) -> tuple[int, int]:
@@ -142,63 +155,87 @@ class Index:
                 yield t, item, *best, errors
 
 
-def _words(text) -> ws.Words | None:
-    return next((w for _, _, w in ws.blocks(text, ws.NOT_ALNUM, 1 << 62)), None)
+def _words(texts: pa.Array) -> ws.Words | None:
+    return next((w for _, _, w in ws.blocks(texts, ws.NOT_ALNUM, 1 << 62, singles=True)), None)
 
 
-def _slices(items: DataFrame, slice_bytes: int) -> Iterator[list]:
-    """The items in slices of about ``slice_bytes``; the size is known before anything is fetched."""
-    size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    n = 1 + size // slice_bytes
-    for k in range(n):
-        yield items.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(n)) == k).collect()
+def _digest(text: Column) -> Column:
+    return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
-def find_items(docs: DataFrame, items: DataFrame, max_error: float = MAX_ERROR, min_words: int = MIN_WORDS,
-               slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """(doc_id, item_id, distance, n_words, start_word, end_word): the items (item_id, text) that stand in
-    the documents (doc_id, text) within their error budget."""
+def _slices(texts: DataFrame, slice_bytes: int) -> list[Column]:
+    """Conditions on the hash of ``text``, one for each slice.
+
+    Only sizes come to the driver: some rows for each slice that the texts fill.
+    """
+    size = F.octet_length("text") + 64
+    total = texts.agg(F.sum(size)).first()[0] or 0
+    n = max(1, _RANGES * total // slice_bytes)
+    part = F.pmod(F.xxhash64("text"), F.lit(n))
+    if total <= slice_bytes:
+        return [F.lit(True)]
+    cuts, filled = [0], 0
+    for r in texts.groupBy(part.alias("part")).agg(F.sum(size).alias("size")).orderBy("part").collect():
+        if filled and filled + r["size"] > slice_bytes:
+            cuts.append(r["part"])
+            filled = 0
+        filled += r["size"]
+    return [(part >= a) & (part < b) for a, b in zip(cuts, [*cuts[1:], n])]
+
+
+def _matches(docs: DataFrame, texts: DataFrame, max_error: float, min_words: int, slice_bytes: int) -> DataFrame:
+    """(doc_id, digest, distance, n_words, start_word, end_word) of the different ``texts`` in ``docs``."""
     spark = docs.sparkSession
-    low = F.lower(F.coalesce(F.col("text"), F.lit("")))
-    src = docs.select("doc_id", low.alias("text"))
-    out = src.select("doc_id").join(items.select("item_id").limit(0), F.lit(False)).schema
-    schema = ", ".join([f"doc_id {out['doc_id'].dataType.simpleString()}",
-                        f"item_id {out['item_id'].dataType.simpleString()}",
-                        "distance int, n_words int, start_word long, end_word long"])
+    src = docs.select("doc_id", F.lower(F.coalesce(F.col("text"), F.lit(""))).alias("text"))
+    schema = StructType([StructField("doc_id", src.schema["doc_id"].dataType, True),
+                         *StructType.fromDDL(_MATCH).fields])
+    slices = _slices(texts, slice_bytes)
     found = None
-    for part in _slices(items.select("item_id", low.alias("text")), slice_bytes):
+    for wanted in slices:
+        part = texts.where(wanted).select("text", _digest(F.col("text")).alias("digest")).collect()
         w = _words(pa.array([r.text for r in part], pa.string())) if part else None
         hashes = [w.hashes[a:b] for a, b in zip(w.first, w.first[1:])] if w else []
-        index = spark.sparkContext.broadcast(Index([r.item_id for r in part], hashes, max_error, min_words))
+        index = spark.sparkContext.broadcast(Index([r.digest for r in part], hashes, max_error, min_words))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             x = index.value
             for b in batches:
-                rows = []
-                for lo, _, words in ws.blocks(b.column(1), ws.NOT_ALNUM):
-                    rows += [(b.column(0)[lo + t].as_py(), x.ids[i], d, len(x.words[i]), s, e)
-                             for t, i, d, s, e, _ in x.matches(words)]
-                if rows:
-                    yield pa.RecordBatch.from_pylist([dict(zip(NAMES, r)) for r in rows], schema=_arrow(schema))
+                for lo, _, words in ws.blocks(b.column(1), ws.NOT_ALNUM, singles=True):
+                    rows = [(lo + t, x.ids[i], d, len(x.words[i]), s, e) for t, i, d, s, e, _ in x.matches(words)]
+                    if rows:
+                        at, digest, *numbers = zip(*rows)
+                        yield pa.RecordBatch.from_arrays(
+                            [b.column(0).take(pa.array(at)), pa.array(digest),
+                             *[pa.array(n, t) for n, t in zip(numbers, (pa.int32(), pa.int32(), pa.int64(), pa.int64()))]],
+                            names=schema.names)
 
         hits = src.mapInArrow(run, schema)
+        if len(slices) > 1:
+            hits = written(hits, "item-matches")
+            index.destroy()
         found = hits if found is None else found.unionByName(hits)
     return found
 
 
-NAMES = ("doc_id", "item_id", "distance", "n_words", "start_word", "end_word")
+def _texts(items: DataFrame) -> DataFrame:
+    """(text) of the different lower-case texts of the items, without null and empty ones."""
+    return items.select(F.lower("text").alias("text")).where("text != ''").distinct()
 
 
-def _arrow(ddl: str) -> pa.Schema:
-    kinds = {"bigint": pa.int64(), "long": pa.int64(), "int": pa.int32(), "string": pa.string(),
-             "smallint": pa.int16(), "tinyint": pa.int8()}
-    return pa.schema([(c, kinds[k]) for c, k in (x.split() for x in ddl.split(", "))])
+def find_items(docs: DataFrame, items: DataFrame, max_error: float = MAX_ERROR, min_words: int = MIN_WORDS,
+               slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """(doc_id, item_id, distance, n_words, start_word, end_word): the items (item_id, text) that stand in
+    the documents (doc_id, text) within their error budget."""
+    hits = _matches(docs, _texts(items), max_error, min_words, slice_bytes)
+    ids = items.where(F.col("text") != "").select("item_id", _digest(F.lower("text")).alias("digest"))
+    return hits.join(ids, "digest").select("doc_id", "item_id", "distance", "n_words", "start_word", "end_word")
 
 
-def remove_contaminated(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
+def remove_contaminated(docs: DataFrame, items: DataFrame, max_error: float = MAX_ERROR, min_words: int = MIN_WORDS,
+                        slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """The documents in which no item is found. Rows with a null id are searched by their own text."""
     key = F.struct(F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit("")))).alias("doc_id")
     keyed = docs.select(F.to_json(key).alias("doc_id"), "text")
-    hit = find_items(keyed, items, **settings).select("doc_id").distinct()
+    hit = _matches(keyed, _texts(items), max_error, min_words, slice_bytes).select("doc_id").distinct()
     return docs.withColumn("__key", F.to_json(key)).join(
         hit.withColumnRenamed("doc_id", "__key"), "__key", "left_anti").drop("__key")

@@ -23,6 +23,9 @@ BLANK = np.zeros(256, bool)
 BLANK[[32, *range(9, 14)]] = True
 LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
 NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+#: Code points (first, last) of scripts written without blanks: Thai and Lao, Myanmar, Khmer, kana, Han.
+SINGLES = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF),
+           (0xF900, 0xFAFF), (0x20000, 0x33FFF))
 
 
 class _Powers:
@@ -78,10 +81,26 @@ class Words:
         return at, span_hash(self.hashes, at, at + length, WORD_BASE)
 
 
-def _split(data: np.ndarray, bounds: np.ndarray, between: np.ndarray) -> Words:
+def _singles(data: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """(places, bytes each) of the characters of ``SINGLES`` in valid UTF-8."""
+    for width, lead, mask in ((3, 0xE0, 0x0F), (4, 0xF0, 0x07)):
+        at = np.flatnonzero((data >= lead) & (data <= (lead | mask)))
+        code = data[at].astype(np.int64) & mask
+        for k in range(1, width):
+            code = code << 6 | data[at + k] & 63
+        alone = np.zeros(len(at), bool)
+        for first, last in SINGLES:
+            alone |= (code >= first) & (code <= last)
+        yield at[alone], width
+
+
+def _split(data: np.ndarray, bounds: np.ndarray, between: np.ndarray, singles: bool = False) -> Words:
     blank = between[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[bounds] = True  # words end at the end of their text
+    if singles and len(data) and data.max() >= 0xE0:
+        for at, width in _singles(data):
+            edge[at] = edge[at + width] = True
     word = ~blank
     before = np.concatenate([[False], word[:-1]]) if len(data) else word
     start = np.flatnonzero(word & (~before | edge[:-1]))
@@ -91,9 +110,10 @@ def _split(data: np.ndarray, bounds: np.ndarray, between: np.ndarray) -> Words:
     return Words(data, start, stop, np.searchsorted(start, bounds), h, bounds)
 
 
-def blocks(texts: pa.Array, between: np.ndarray = BLANK, block: int = BLOCK) -> Iterator[tuple[int, int, Words]]:
-    """(first row, last row + 1, words) over blocks of rows; ``between`` marks the bytes between words.
-    A null text has no words."""
+def blocks(texts: pa.Array, between: np.ndarray = BLANK, block: int = BLOCK,
+           singles: bool = False) -> Iterator[tuple[int, int, Words]]:
+    """(first row, last row + 1, words) over blocks of rows; ``between`` marks the bytes between words, and with
+    ``singles`` every character of ``SINGLES`` is a word. A null text has no words."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_binary())
@@ -107,5 +127,5 @@ def blocks(texts: pa.Array, between: np.ndarray = BLANK, block: int = BLOCK) ->
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + block, "right")) - 1)
         to = min(to, n)
         data = body[offsets[at]:offsets[to]]
-        yield at, to, _split(data, offsets[at:to + 1] - offsets[at], between)
+        yield at, to, _split(data, offsets[at:to + 1] - offsets[at], between, singles)
         at = to

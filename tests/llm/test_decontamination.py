@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from spokewise.llm import decontamination as dc
 from spokewise.llm.queries import op4_decontamination
@@ -11,7 +12,9 @@ SF = "/root/testdata/sf0.001"
 
 
 def split(text):
-    return re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", (text or "").lower())
+    han = r"[\u0e00-\u0eff\u3040-\u30ff\u4e00-\u9fff\U00020000-\U00033fff]"
+    spaced = re.sub(f"({han})", r" \1 ", (text or "").lower())
+    return re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", spaced)
 
 
 def nearest(pattern, text):
@@ -31,7 +34,7 @@ def expected(docs, items):
         w = split(t)
         for i, p in items:
             p = split(p)
-            if len(p) >= dc.MIN_WORDS:
+            if p:
                 n = nearest(p, w)
                 if n <= int(dc.MAX_ERROR * len(p) + 1e-9):
                     out.setdefault((d, i), []).append(n)
@@ -90,13 +93,38 @@ def test_edge_rows(spark):
                                   "item_id long, text string")
     got = found(dc.find_items(docs, items).collect())
     assert got[1, 1] == [0, 0] and got[3, 1] == [1, 1] and got[None, 1] == [0, 0] and got[1, None] == [0]
-    assert not any(i in (2, 3, 5) for _, i in got) and not any(d in (4, 5, 6, 9) for d, _ in got)
+    assert got[9, 5] == [0, 0]  # one word, found word for word
+    assert not any(i in (2, 3) for _, i in got) and not any(d in (4, 5, 6) for d, _ in got)
     assert dc.find_items(edge_docs(spark, []), items).collect() == []
     assert dc.find_items(docs, items.limit(0)).collect() == []
     left = dc.remove_contaminated(docs, items)
     assert left.columns == docs.columns
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(
-        map(str, (4, 5, 6, 7, 8, 9, 9, 10, None, 11, 13, -5)))
+        map(str, (4, 5, 6, 7, 8, 10, None, 11, 13, -5)))
+
+
+def test_short_items_scripts_without_blanks_and_ids_of_any_type(spark):
+    docs = [("1.5", "he said the cat sat there"), ("2.5", "the cat, sat"), ("3.5", "the cat has sat"),
+            ("4.5", "他说今天天气很好我们一起去公园散步吧然后回家"), ("5.5", "今天天气不错我们去学校"), (None, "𠀀𠀁ก𠀂 end")]
+    items = [("i", "the cat sat"), (None, "今天天气很好我们一起去公园玩吧"), ("k", "𠀀𠀁ก"), ("i", "THE cat sat")]
+    left = spark.createDataFrame(docs, "doc_id string, text string").withColumn(
+        "doc_id", F.col("doc_id").cast("decimal(20,1)"))
+    right = spark.createDataFrame(items, "item_id string, text string").withColumn("item_id", F.struct("item_id"))
+    got = [(str(r.doc_id) if r.doc_id is not None else None, r.item_id.item_id, r.distance)
+           for r in dc.find_items(left, right).collect()]
+    want = [(d, i, n) for (d, i), all_ in expected(docs, items).items() for n in all_]
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(want) == 6
+    assert {str(r.doc_id) for r in dc.remove_contaminated(left, right).collect()} == {"3.5", "5.5"}
+    assert dc.find_items(left, right, min_words=4).count() == 1
+
+
+def test_slices_are_bounded_also_with_copies_of_an_item(spark):
+    rows = spark.range(600).select(F.lit("one and the same item of a benchmark that was given very often").alias("text"))
+    long = spark.range(40).select(F.concat(F.lit("item "), F.repeat(F.col("id").cast("string"), 300)).alias("text"))
+    texts = dc._texts(rows.unionByName(long))
+    sizes = [texts.where(c).agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0 for c in dc._slices(texts, 2048)]
+    assert sum(sizes) == texts.agg(F.sum(F.octet_length("text") + 64)).first()[0]
+    assert len(sizes) > 3 and max(sizes) <= 2048
 
 
 def test_query_matches_brute_force(spark):
