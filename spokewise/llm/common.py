@@ -51,3 +51,11 @@ def words_of(text: Column) -> Column:
 def held_out(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5, is 0 (a null id counts as the empty text)."""
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % 5 == 0
+
+
+def one_text_an_id(docs: DataFrame, *columns: str) -> DataFrame:
+    """(doc_id, text, columns), a row for each id: of several texts the first by hash, null last. The other
+    columns depend on the id alone. The choice does not depend on the order of rows."""
+    return docs.groupBy("doc_id", *columns).agg(F.min(F.struct(
+        F.col("text").isNull().alias("none"), F.xxhash64("text").alias("hash"), "text")).alias("least")).select(
+        "doc_id", "least.text", *columns)

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spokewise.llm import wordstream as ws
+from spokewise.llm.common import one_text_an_id
 
 MAX_ROWS = 20_000    # labelled rows that the model is fitted on
 BINS = 48            # of a feature
@@ -235,7 +236,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "qual
     """Fit on the labelled documents for which ``usable`` (a condition on ``labels``) holds."""
     chosen = sampled_labels(labels, label, usable, max_rows)
     # at most max_rows pairs of numbers: a bound that does not grow with the data
-    labelled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    labelled = one_text_an_id(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "y")
     rows = _features_of(labelled, ["y"]).collect()
     x = np.array([r.x for r in rows], np.float32).reshape(-1, len(FEATURES))
     return fit(x, np.array([r.y for r in rows], float))

@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spokewise.llm import wordstream as ws
-from spokewise.llm.common import written
+from spokewise.llm.common import one_text_an_id, written
 
 MAX_TOXIC, MAX_CLEAN = 1500, 4500   # labelled texts that the model is fitted on
 ORDER, DECAY = 3, 0.7               # of the kernel
@@ -338,8 +338,8 @@ def _sample(docs: DataFrame, labels: DataFrame, usable: Column, label: str) -> D
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = known.where("y = 1").orderBy(*by_hash).limit(MAX_TOXIC).unionByName(
         known.where("y = 0").orderBy(*by_hash).limit(MAX_CLEAN))
-    return docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("text")).join(
-        F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    return one_text_an_id(docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("text")).join(
+        F.broadcast(chosen), "doc_id"), "y")
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

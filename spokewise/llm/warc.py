@@ -46,6 +46,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-dig
 
 MIN_BYTES = 1000            # payloads from this size on are written once
 ARCHIVE_BYTES = 16 << 20    # aimed at for one archive
+HOT_SHARE, HOT_LEAST = 1000, 64  # ids with over 1 in HOT_SHARE rows (and so many) are dealt in turn
 EMPTY_GZIP = 20             # bytes of a gzip file without content
 
 _HEADER = "offset long, next long, record_id string, type string, refers_id string, uri string, digest string, " \
@@ -70,14 +71,40 @@ def plan_revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
         "page_id", F.lower(F.hex("digest")).alias("digest"), "refers_to").distinct()
 
 
+def _hot_ids(pages: DataFrame) -> DataFrame:
+    """(page_id) of the ids, null included, that hold over 1 in ``HOT_SHARE`` rows: fewer ids than that."""
+    ids = pages.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
+    total = pages.agg(F.count(F.lit(1)).alias("total"))
+    return ids.where(F.col("n") >= HOT_LEAST).join(F.broadcast(total), F.col("n") * HOT_SHARE > F.col("total")).select(
+        "page_id")
+
+
 def plan_records(pages: DataFrame, n: int, min_bytes: int = MIN_BYTES) -> DataFrame:
     """(page_id, url, payload, digest, refers_to) in ``n`` partitions; ``refers_to`` is set for revisits.
-    The payloads are shuffled once, by page id."""
-    revisits = written(plan_revisits(pages, min_bytes), "warc-revisits").repartition(n, "page_id")
-    p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload")).repartition(n, "page_id")
-    p = p.withColumn("digest", F.sha1(F.encode("payload", "UTF-8")))
-    return p.join(revisits.hint("shuffle_hash"), ["page_id", "digest"], "left").select(
-        "page_id", "url", "payload", "digest", "refers_to")
+
+    The payloads are shuffled once, by page id. Rows of an id with many rows (null, or one that is given
+    again and again) are dealt in turn instead, into as many partitions more as their share asks for.
+    """
+    revisits = written(plan_revisits(pages, min_bytes), "warc-revisits")
+    hot = [r.page_id for r in _hot_ids(pages).collect()]  # fewer than HOT_SHARE ids
+    p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload"))
+    digest = F.sha1(F.encode("payload", "UTF-8"))
+
+    def planned(rows: DataFrame, refers: DataFrame) -> DataFrame:
+        return rows.withColumn("digest", digest).join(refers, ["page_id", "digest"], "left").select(
+            "page_id", "url", "payload", "digest", "refers_to")
+
+    if not hot:
+        return planned(p.repartition(n, "page_id"), revisits.repartition(n, "page_id").hint("shuffle_hash"))
+    often = F.coalesce(F.col("page_id").isin([i for i in hot if i is not None]), F.lit(False))
+    if None in hot:
+        often = often | F.col("page_id").isNull()
+    share = pages.agg(F.avg(often.cast("double"))).first()[0]
+    usual = planned(p.where(~often).repartition(n, "page_id"),
+                    revisits.where(~often).repartition(n, "page_id").hint("shuffle_hash"))
+    # an id's payloads are few or its rows differ: joined where they are, the adaptive join splits a hot key
+    many = planned(p.where(often), revisits.where(often)).repartition(1 + int(n * share))
+    return usual.unionByName(many)
 
 
 def record(row_type: str = "refers_to") -> Column:
@@ -245,8 +272,11 @@ def page_digests(pages: DataFrame, folder: str | None = None) -> DataFrame:
     full = rec.where("type = 'response' and page_id is not null").select(
         F.col("page_id").alias("refers_to"), F.col("bytes").alias("r_bytes"), F.col("sha1").alias("r_sha1"))
     full = full.where(F.col("r_bytes") >= MIN_BYTES).distinct()
-    own = F.col("type") == "response"
-    return rec.join(full, "refers_to", "left").select(
-        "page_id", F.when(own, F.col("bytes")).otherwise(F.col("r_bytes")).alias("payload_bytes"),
-        F.when(own, F.col("sha1")).otherwise(F.col("r_sha1")).alias("payload_digest"),
+    # responses name no other record: they stay out of the join
+    own = rec.where(~F.col("type").eqNullSafe("revisit")).select(
+        "page_id", F.col("bytes").alias("payload_bytes"), F.col("sha1").alias("payload_digest"),
+        F.col("type").alias("record_type"), "refers_to")
+    others = rec.where("type = 'revisit'").join(full, "refers_to", "left").select(
+        "page_id", F.col("r_bytes").alias("payload_bytes"), F.col("r_sha1").alias("payload_digest"),
         F.col("type").alias("record_type"), "refers_to")
+    return own.unionByName(others)

@@ -6,13 +6,21 @@ import pytest
 from pyspark.sql import functions as F
 
 from spokewise.llm import licenses, quality_gam, toxicity, wordstream
-from spokewise.llm.common import held_out
+from spokewise.llm.common import held_out, one_text_an_id
 from spokewise.llm.queries import op1_licenses, op2_quality_gam, op9_toxicity
 from tests.llm.edge import ROWS, edge_docs, words
 
 SMALL, SF = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
+def test_of_several_texts_of_an_id_one_is_chosen_in_any_order(spark):
+    rows = [(i, t, i % 2) for i in range(20) for t in (f"text {i}", f"other {i}", None, f"text {i}")]
+    ddl = "doc_id long, text string, y int"
+    a, b = (sorted(one_text_an_id(spark.createDataFrame(x, ddl).repartition(n), "y").collect())
+            for n, x in ((1, rows), (5, rows[::-1])))
+    assert a == b and len(a) == 20 and all(r.text is not None and r.y == r.doc_id % 2 for r in a)
+
+
 def test_word_stream_matches_split():
     texts = ["a b", None, "", " x ", "é\tü\n\nz", "same same", "ab", "a", "b" * 100] * 20
     seen = {}

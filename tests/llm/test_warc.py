@@ -53,6 +53,17 @@ def test_payloads_come_back_and_many_archives(spark):
         assert warc.broken_archives(spark, out).collect() == []
 
 
+def test_null_and_repeated_ids_are_spread_over_archives(spark):
+    rows = [(None, f"n{k}", f"<p>{k}" + "x" * 2000) for k in range(300)]
+    rows += [(5, "again", BIG)] * 150 + [(k, f"u{k}", f"{k}" + "y" * 2000) for k in range(10, 150)] + [(6, "six", BIG)]
+    assert sorted(r.page_id or 0 for r in warc._hot_ids(pages(spark, rows)).collect()) == [0, 5]
+    out = warc.write_archives(pages(spark, rows), tempfile.mkdtemp() + "/archives", archive_bytes=40_000,
+                              compression="none")
+    sizes = [r["size"] for r in warc.candidates(spark, out, False).select("path", "size").distinct().collect()]
+    assert max(sizes) < 120_000
+    assert sorted(str(tuple(r)) for r in warc.page_digests(pages(spark, rows)).collect()) == expected(rows)
+
+
 def test_broken_archive_is_reported(spark):
     folder = tempfile.mkdtemp() + "/archives"
     spark.createDataFrame([("WARC/1.0\r\nContent-Length: 3\r\n\r\nabc",), ("garbage",)], "value string").coalesce(
