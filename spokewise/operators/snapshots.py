@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spokewise.operators.analytics import earliest_match
@@ -24,3 +25,18 @@ def first_statement_like(table: VersionedTable, pattern: str, latest: bool = Fal
     """
     row = earliest_match(table.history(), "query_text", pattern, "start_time", latest).first()
     return row["query_id"] if row else None
+
+
+def version_counts(table: VersionedTable, column: str) -> DataFrame:
+    """(version, row_count, n_values) of every version: its rows and different values of ``column`` (V1).
+
+    Every segment is scanned once, whatever the number of versions that hold it: rows are counted by
+    (segment, value), and only these counts meet the versions. Versions without rows count 0.
+    """
+    each = table.read_segments().groupBy("segment", F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    spans = table.lifetimes().select("segment", F.explode(F.sequence("added", F.col("removed") - 1)).alias("version"))
+    per = each.join(spans, "segment").groupBy("version", "value").agg(F.sum("n").alias("n"))
+    per = per.groupBy("version").agg(F.sum("n").alias("row_count"), F.count("value").alias("n_values"))
+    return table.history().select("version").join(per, "version", "left").select(
+        "version", F.coalesce("row_count", F.lit(0).cast("bigint")).alias("row_count"),
+        F.coalesce("n_values", F.lit(0).cast("bigint")).alias("n_values"))

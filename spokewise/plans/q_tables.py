@@ -10,7 +10,7 @@ from spokewise.operators.masking import (
 )
 from spokewise.operators.merge import STATION_COLS, merge_insert_only, stations_union
 from spokewise.operators.semistructured import weather_view
-from spokewise.operators.snapshots import first_statement_like, update_all
+from spokewise.operators.snapshots import first_statement_like, update_all, version_counts
 from spokewise.plans.adapters import (
     V_TRIPS_SQL, V_TRIPS_STREAM_SQL, V_WEATHER_SQL, json_weather_data, trips_stream_from_trips,
     v_trips, with_ctes,
@@ -99,13 +99,7 @@ UNION ALL SELECT 1, 'update', count(*), 1 FROM v_trips""")
 def q_snapshot_log(spark, sf):
     _, t = _trips_table(spark, sf, "log")
     update_all(t, "start_station_name", "oops", now=T1)
-    per_version = [t.read(e.version).agg(F.count(F.lit(1)).alias("row_count"),
-                                         F.count_distinct("start_station_name").alias("stations"))
-                   .select(F.lit(e.version).cast("bigint").alias("version"), "row_count", "stations")
-                   for e in t.log()]
-    counts = per_version[0]
-    for p in per_version[1:]:
-        counts = counts.unionByName(p)
+    counts = version_counts(t, "start_station_name").select("version", "row_count", F.col("n_values").alias("stations"))
     return t.history().select("version", "op").join(counts, "version")
 
 

@@ -8,7 +8,7 @@ from conftest import SF_SMALL
 from spokewise import schemas
 from spokewise.operators.masking import SIMPLE_MASK_INT, SIMPLE_MASK_STRING, TRIPS_STREAM_MASKS, apply_masks
 from spokewise.operators.merge import merge_insert_only, stations_union
-from spokewise.operators.snapshots import first_statement_like, update_all
+from spokewise.operators.snapshots import first_statement_like, update_all, version_counts
 from spokewise.plans.adapters import trips_stream_from_trips, v_trips
 from spokewise.sources.tables import VersionedTable
 from spokewise.sources.unload import distinct_days, unload_json_by_day
@@ -144,3 +144,28 @@ def test_unload_bounds_file_size(spark, workdir):
     counts = [sum(1 for _ in gzip.open(f"{out}/{day}/{f}", "rt")) for f in os.listdir(f"{out}/{day}")
               if f.startswith("part-")]
     assert counts and max(counts) <= 10
+
+
+def test_many_versions_in_one_scan_and_entries_that_do_not_grow(spark, workdir):
+    t = VersionedTable(spark, f"{workdir}/many")
+    t.create(spark.createDataFrame([(1, "a"), (2, None)], "id int, name string"))
+    for k in range(8):
+        t.append(spark.createDataFrame([(10 + k, f"n{k % 3}")], "id int, name string"))
+    update = update_all(t, "name", "x")
+    t.truncate()
+    t.restore_before(update.query_id)
+    t.drop()
+    t.undrop()
+    t.append(spark.createDataFrame([(99, None)], "id int, name string"))
+    again = VersionedTable(spark, t.root)  # a handle that reads every entry from its file
+    assert [(e.version, e.segments, e.loaded) for e in again.log()] == [(e.version, e.segments, e.loaded) for e in t.log()]
+    got = {r.version: (r.row_count, r.n_values) for r in version_counts(again, "name").collect()}
+    want = {}
+    for e in t.log():
+        df = t.read(e.version)
+        want[e.version] = (0, 0) if e.dropped else df.agg(F.count(F.lit(1)), F.count_distinct("name")).first()
+    assert got == {v: tuple(x) for v, x in want.items()}
+    plan = version_counts(again, "name")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    sizes = [os.path.getsize(f"{t.log_path}/{n}") for n in sorted(os.listdir(t.log_path)) if n.endswith(".json")]
+    assert max(sizes[1:9]) - min(sizes[1:9]) < 100
