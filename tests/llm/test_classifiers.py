@@ -1,3 +1,5 @@
+import math
+import re
 import zlib
 
 import numpy as np
@@ -157,6 +159,89 @@ def test_licence_variants_and_edge_rows(spark):
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
 
 
+GPL = ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General "
+       "Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your "
+       "option) any later version.")
+MIT = (" * Permission is hereby granted, free of charge, to any person\n * obtaining a copy of this software and "
+       "associated documentation\n * files, to deal in the Software without restriction.")
+
+
+def plain_scan(model, text):
+    """Families by paragraph and line, with dictionaries: the definition read word by word."""
+    weights = {r.run: list(r.w) for r in model.weights.collect()}
+    names = {f: [t for t in all_] for f, all_ in licenses.TEMPLATES.items()}
+
+    def split(t):
+        t = re.sub(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", " ", t.lower())
+        return re.sub("[0-9]+", "0", t).strip(" ").split(" ")
+
+    def gather(w, lo, hi):
+        return {" ".join(w[k:k + n]) for n in range(lo, hi + 1) for k in range(len(w) - n + 1)}
+
+    def judge(unit):
+        w = split(unit)
+        if not set(w) & set(model.cues):
+            return None
+        known = [weights[r] for r in gather(w, 1, licenses.RUN) if r in weights]
+        z = [(sum(x[k] for x in known) + b) / model.temperature for k, b in enumerate(model.intercepts)]
+        p = [math.exp(x - max(z)) for x in z]
+        best = max(range(len(z)), key=lambda k: p[k])
+        family, pairs = model.classes[best], gather(w, 2, 2)
+        alike = max((len(gather(split(t), 2, 2) & pairs) / len(gather(split(t), 2, 2)) for t in names.get(family, [])),
+                    default=0)
+        sure = family != "unknown" and p[best] / sum(p) >= model.least and alike >= licenses.CONFIRM
+        return family if sure else "unknown"
+
+    paragraphs, lines = [], text.split("\n")
+    for k, line in enumerate(lines):
+        going = k and 1 <= len(lines[k - 1]) <= licenses.WRAP and all(
+            re.search("[A-Za-z0-9]", x) for x in (line, lines[k - 1]))
+        if going:
+            paragraphs[-1].append(line)
+        else:
+            paragraphs.append([line])
+    out = []
+    for k, p in enumerate(paragraphs):
+        each = [(k, n, f) for n, x in enumerate(p) if (f := judge(x))]
+        whole = judge("\n".join(p)) if len(p) > 1 else None
+        if whole not in (None, "unknown") and all(f == "unknown" for _, _, f in each):
+            each = [(k, licenses.WHOLE, whole)]
+        out += each
+    return out
+
+
+def test_licence_scan_matches_plain_scorer_and_finds_wrapped_notices(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = licenses.train(docs)
+    filler = "An ordinary line of text that says nothing about terms at all and goes on for quite a while, as lines do."
+    rows = [(1, f"{filler}\n\n{GPL}\n\n{filler}"), (2, f"/*\n{MIT}\n */\nint x;"), (3, f"{GPL}\n\n{MIT}"),
+            (4, GPL.replace("\n", " ")), (5, "the license\nof the driver"), (6, "x\x0bversion 2\r\nof the License"),
+            (7, "word " * 50_000 + "license")]
+    texts = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").where(
+        "doc_id % 7 = 0 and text is not null").collect()]
+    rows += [(1000 + i, t) for i, t in texts]
+    got = {}
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect():
+        got.setdefault(r.doc_id, []).append((r.paragraph, r.line, r.family))
+    want = {i: w for i, t in rows if (w := plain_scan(model, t))}
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    assert any(f != "unknown" for i, v in want.items() if i >= 1000 for _, _, f in v)
+    named = {i: [f for _, _, f in v if f != "unknown"] for i, v in got.items()}
+    assert named[1] == ["gpl"] and named[2] == ["mit"] and sorted(named[3]) == ["gpl", "mit"] and named[4] == ["gpl"]
+
+
+def test_licence_copies_of_a_row_count_once(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = licenses.train(docs)
+    lines = ["See the license file.", "Licensed under the Apache License.", "Released under the MIT License.", GPL]
+    once = edge_docs(spark, list(enumerate(lines)))
+    often = edge_docs(spark, [(i, x) for i, x in enumerate(lines) for _ in range(6)])
+    a, b = (sorted((r.doc_id, r.paragraph, r.line, r.family, round(r.probability, 9))
+                   for r in licenses.scan(d, model).collect()) for d in (once, often))
+    assert a == b and a
+    assert licenses.families(often, model).count() == 24
+
+
 def test_licence_of_a_third_of_the_rows_is_found(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     notice = "\nLicensed under the Apache License, Version 2.0."
