@@ -187,16 +187,36 @@ class _Pairs:
     context: np.ndarray
     word: np.ndarray
     count: np.ndarray
-    of_token: np.ndarray
-
-
-def _pairs(keys: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, held: np.ndarray) -> _Pairs:
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[np.concatenate([[0], np.cumsum(lengths)[:-1]])] = np.searchsorted(keys, START_KEY)
-    code, of_token = np.unique(before * len(keys) + tokens, return_inverse=True)
-    count = np.bincount(of_token[np.repeat(~held, lengths)], minlength=len(code))
-    return _Pairs(code // len(keys), code % len(keys), count, of_token)
+    of_token: np.ndarray | None
+
+
+def _pairs(keys: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, held: np.ndarray, placed: bool) -> _Pairs:
+    """The pairs in order of their places; ``of_token`` where it is asked for (``placed``).
+
+    One array of the block's tokens is sorted in place: its numbers hold context, word and whether the text is held.
+    """
+    code = np.empty(len(tokens), np.int64)
+    code[1:] = tokens[:-1]
+    code[np.concatenate([[0], np.cumsum(lengths)[:-1]])] = np.searchsorted(keys, START_KEY)
+    code *= len(keys)
+    code += tokens
+    code *= 2
+    code += np.repeat(held, lengths)
+    order = np.argsort(code, kind="stable") if placed else None
+    if placed:
+        code = code[order]
+    else:
+        code.sort()
+    train = (code & 1) == 0
+    code >>= 1
+    first = np.concatenate([[True], code[1:] != code[:-1]])
+    at = np.flatnonzero(first)
+    of_token = None
+    if placed:
+        of_token = np.empty(len(code), np.int32)
+        of_token[order] = np.cumsum(first, dtype=np.int32) - 1
+    count, code = np.add.reduceat(train, at, dtype=np.int64), code[at]
+    return _Pairs((code // len(keys)).astype(np.int32), (code % len(keys)).astype(np.int32), count, of_token)
 
 
 def _mixed(keys: np.ndarray) -> np.ndarray:
@@ -293,9 +313,10 @@ def _ask_shards(blocks: DataFrame, shards: int, split) -> DataFrame:
 
     def ask(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 keys, pairs = _of_row(row)
-                shard, order, cut = _dealt(keys, pairs, shards, split)
+                _, order, cut = _dealt(keys, pairs, shards, split)
                 out = []
                 for p in range(shards):
                     at = order[cut[p]:cut[p + 1]]
@@ -308,16 +329,16 @@ def _ask_shards(blocks: DataFrame, shards: int, split) -> DataFrame:
     return blocks.select("block", "held", "lengths", "words", "tokens").mapInArrow(ask, MESSAGE)
 
 
-def _of_row(row: dict) -> tuple[np.ndarray, _Pairs]:
-    keys = rising(unpack(row["words"])[0])
-    return keys, _pairs(keys, unpack(row["tokens"])[0], np.array(row["lengths"]), np.array(row["held"]))
+def _of_row(row: dict, placed: bool = False) -> tuple[np.ndarray, _Pairs]:
+    keys, tokens = rising(unpack(row["words"])[0]), unpack(row["tokens"])[0].astype(np.int32)
+    return keys, _pairs(keys, tokens, np.array(row["lengths"]), np.array(row["held"]), placed)
 
 
 def _dealt(keys: np.ndarray, pairs: _Pairs, shards: int, split) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Shard of each pair, the pairs in order of shards, and where each shard's begin."""
     shard = _shards(keys[pairs.context], keys[pairs.word], shards, split)
     order = np.argsort(shard, kind="stable")
-    return shard, order, np.searchsorted(shard[order], np.arange(shards + 1))
+    return shard, order, np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))])
 
 
 TO_BLOCK, OF_WORD, OF_CONTEXT = 0, 1, 2
@@ -410,35 +431,38 @@ def _score_block(shards: int, ranges: int, split, tokens: int, known: int, total
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.combine_chunks().to_pylist()[0]
-        keys, pairs = _of_row(row)
+        keys, pairs = _of_row(row, placed=True)
         answers = _messages(right)
         of_words = [a for kind, _, a in answers if kind == 1]
         n, *rest = (np.concatenate(c).astype(np.float64) for c in zip(*of_words, strict=True))
         of_context, of_word, root = rest[:SAMPLES], rest[SAMPLES:2 * SAMPLES], rest[2 * SAMPLES:]
 
         _, order, _ = _dealt(keys, pairs, shards, split)
-        count, tables = np.empty(len(order)), np.empty(len(order))
-        got = [a for kind, _, a in answers if kind == 0]
-        count[order] = np.concatenate([a[0] for a in got])
-        tables[order] = np.concatenate([a[1] for a in got])
+        p = np.empty(len(order))
+        p[order] = np.concatenate([a[0] - d * a[1] / SAMPLES for kind, _, a in answers if kind == 0])
+        del answers, of_words, order
 
-        back = np.zeros(len(order))
+        back = np.zeros(len(p))
         for s in range(SAMPLES):
             parent = ((of_word[s] - d0 * root[s] + (strength0 + d0 * totals[SAMPLES + s]) / (known + 1))
                       / (strength0 + totals[s]))
-            back += (strength + d * of_context[s][pairs.context]) * parent[pairs.word] / SAMPLES
-        p = (count - d * tables / SAMPLES + back) / (strength + n[pairs.context])
+            part = (strength + d * of_context[s])[pairs.context]
+            part *= parent[pairs.word]
+            part /= SAMPLES
+            back += part
+        p += back
+        p /= (strength + n)[pairs.context]
+        np.log10(p, out=p)
         base = np.log10((np.where(keys == START_KEY, 0, n) + 0.5) / (tokens + 0.5 * (known + 1)))
 
         lengths = np.array(row["lengths"])
         starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        word = pairs.word[pairs.of_token]
-        add = lambda v: np.add.reduceat(v, starts)
+        add = lambda v: np.add.reduceat(v[pairs.of_token], starts, dtype=v.dtype)  # noqa: E731 - one array of tokens at a time
         return pa.table({"id": pa.array(row["ids"], left.schema.field("ids").type.value_type),
                          "held_out": pa.array(row["held"], pa.bool_()), "n_tokens": pa.array(lengths, pa.int64()),
-                         "n_known": pa.array(add((n[word] > 0).astype(np.int64)), pa.int64()),
+                         "n_known": pa.array(add((n > 0).astype(np.int32)[pairs.word]), pa.int64()),
                          "train_tokens": pa.array([tokens] * len(lengths), pa.int64()),
-                         "base_score": pa.array(add(base[word])), "score": pa.array(add(np.log10(p)[pairs.of_token]))})
+                         "base_score": pa.array(add(base[pairs.word])), "score": pa.array(add(p))})
 
     return run, f"id {id_type}, {OUT}"
 

@@ -1,6 +1,7 @@
 """Pitman-Yor scores against a plain version with dictionaries, and the seating against its definition."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -181,3 +182,29 @@ def test_query_beats_single_words_on_held_out_texts(spark):
                                 "train_tokens": "bigint", "base_score": "double", "score": "double"}
     held = out.where("held_out").agg(F.sum("score"), F.sum("base_score"), F.count("*")).first()
     assert held[2] > 20 and held[0] > 0.95 * held[1]
+
+
+@pytest.mark.parametrize("placed", [False, True])
+def test_pairs_of_a_block_take_bounded_memory(placed):
+    """The distinct pairs as counted with a dictionary, in a bounded number of bytes a token."""
+    rng = np.random.default_rng(5)
+    keys = np.sort(np.append(rng.integers(1, 1 << 60, 4000, dtype=np.uint64), pitman_yor.START_KEY))
+    lengths = np.array([1, 30_000, 69_999, 100_000])
+    held = np.array([False, True, False, False])
+    tokens = rng.integers(0, len(keys), lengths.sum()).astype(np.int32)
+    tracemalloc.start()
+    found = pitman_yor._pairs(keys, tokens, lengths, held, placed)
+    peak = tracemalloc.get_traced_memory()[1] / len(tokens)
+    tracemalloc.stop()
+    want, start, at = {}, int(np.searchsorted(keys, pitman_yor.START_KEY)), 0
+    for n, h in zip(lengths, held, strict=True):
+        before = start
+        for t in tokens[at:at + n].tolist():
+            want[before, t] = want.get((before, t), 0) + (not h)
+            before = t
+        at += n
+    assert list(zip(found.context.tolist(), found.word.tolist(), strict=True)) == sorted(want)
+    assert found.count.tolist() == [want[k] for k in sorted(want)]
+    if placed:
+        assert (found.word[found.of_token] == tokens).all()
+    assert peak < (60 if placed else 42), peak    # 65 with np.unique and its inverse
