@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 MEMO = 500_000       # entries of a worker's memo table
+ROWS = 500           # results that a worker holds at a time
 PIECE = 1 << 20      # characters of a long text that are pre-tokenised at a time
 LONG_FRAGMENT = 48   # from this many bytes on, merges go through a heap
 
@@ -59,8 +60,8 @@ class _Memo(dict):
         return out
 
 
-class Codec:
-    """Encoder and decoder of one byte-level BPE tokenizer file (its JSON text)."""
+class Decoder:
+    """Decoder of one byte-level BPE tokenizer file (its JSON text)."""
 
     def __init__(self, spec: bytes):
         spec = json.loads(spec)
@@ -72,12 +73,27 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_of: dict[int, bytes] = {
             i: bytes(code[c] for c in t) for t, i in spec["model"]["vocab"].items() if t not in self.special}
-        ids = {b: i for i, b in self.bytes_of.items()}
+        self._read_merges(spec["model"]["merges"], code)
         self.bytes_of.update({i: t.encode() for t, i in self.special.items()})
+
+    def _read_merges(self, merges: list, code: dict[str, int]) -> None:
+        """Decoding needs none of them."""
+
+    def decode(self, ids: bytes) -> str:
+        """Text of ids as ``encode`` gives them; special tokens are kept, ids of no token are skipped."""
+        get = self.bytes_of.get
+        return b"".join([get(i, b"") for i in memoryview(ids).cast("I")]).decode("utf-8", "replace")
+
+
+class Codec(Decoder):
+    """Encoder and decoder."""
+
+    def _read_merges(self, merges: list, code: dict[str, int]) -> None:
+        ids = {b: i for i, b in self.bytes_of.items()}
         self.byte_id = [ids[bytes([b])] for b in range(256)]
         self.rank: dict[tuple[int, int], int] = {}
         self.result: list[int] = []  # by rank
-        for rank, pair in enumerate(spec["model"]["merges"]):
+        for rank, pair in enumerate(merges):
             left, right = (bytes(code[c] for c in x) for x in (pair if isinstance(pair, list) else pair.split(" ")))
             self.rank[ids[left], ids[right]] = rank
             self.result.append(ids[left + right])
@@ -166,21 +182,15 @@ class Codec:
                     out.append(b"".join(map(self.pretokens.__getitem__, self.pattern.findall(piece))))
         return b"".join(out)
 
-    # ---- decoding -------------------------------------------------------
-    def decode(self, ids: bytes) -> str:
-        """Text of ids as ``encode`` gives them; special tokens are kept, ids of no token are skipped."""
-        get = self.bytes_of.get
-        return b"".join([get(i, b"") for i in memoryview(ids).cast("I")]).decode("utf-8", "replace")
-
 
-_CODECS: dict[str, Codec] = {}
+_CODECS: dict[tuple[type, str], Decoder] = {}
 
 
-def codec(spec: bytes) -> Codec:
-    """One codec per worker process and tokenizer file."""
-    key = hashlib.sha256(spec).hexdigest()
+def codec(spec: bytes, kind: type = Codec) -> Decoder:
+    """One codec (or decoder) per worker process and tokenizer file."""
+    key = kind, hashlib.sha256(spec).hexdigest()
     if key not in _CODECS:
-        _CODECS[key] = Codec(spec)
+        _CODECS[key] = kind(spec)
     return _CODECS[key]
 
 
@@ -193,7 +203,7 @@ def _spec(df: DataFrame, path: str):
     return df.sparkSession.sparkContext.broadcast(data)
 
 
-def _map(df: DataFrame, path: str, column: str, kind: str, fn, out: pa.Field, keep: Iterable[str]) -> DataFrame:
+def _map(df: DataFrame, path: str, column: str, kind: str, maker: type, fn, out: pa.Field, keep: Iterable[str]) -> DataFrame:
     keep = list(keep)
     spec = _spec(df, path)
     # helper names that cannot clash with the kept columns
@@ -201,11 +211,13 @@ def _map(df: DataFrame, path: str, column: str, kind: str, fn, out: pa.Field, ke
     schema = src.select(*[F.col(f"`{c}`") for c in keep], F.lit(None).cast(kind).alias("__out")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(spec.value)
-        for b in batches:
-            values = [fn(c, x.as_py()) for x in b.column(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(values, out.type)],
-                                             names=[*b.schema.names[:-1], "__out"])
+        c = codec(spec.value, maker)
+        for whole in batches:
+            for k in range(0, whole.num_rows, ROWS):
+                b = whole.slice(k, ROWS)
+                values = [fn(c, x.as_py()) for x in b.column(b.num_columns - 1)]
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(values, out.type)],
+                                                 names=[*b.schema.names[:-1], "__out"])
 
     return src.mapInArrow(run, schema)
 
@@ -213,14 +225,14 @@ def _map(df: DataFrame, path: str, column: str, kind: str, fn, out: pa.Field, ke
 def encode(docs: DataFrame, tokenizer: str, text: str = "text", keep: Iterable[str] = ("doc_id",),
            out: str = "ids") -> DataFrame:
     """``keep`` columns and ``out``: the ids of each text, packed little-endian unsigned 32-bit (binary)."""
-    df = _map(docs, tokenizer, text, "binary", lambda c, t: c.encode(t or ""), pa.field("x", pa.binary()), keep)
+    df = _map(docs, tokenizer, text, "binary", Codec, lambda c, t: c.encode(t or ""), pa.field("x", pa.binary()), keep)
     return df.withColumnRenamed("__out", out)
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", keep: Iterable[str] = ("doc_id", "ids"),
            out: str = "decoded") -> DataFrame:
     """``keep`` columns and ``out``: the text of packed ids (null: the empty text)."""
-    df = _map(encoded, tokenizer, ids, "string", lambda c, b: c.decode(b or b""), pa.field("x", pa.string()), keep)
+    df = _map(encoded, tokenizer, ids, "string", Decoder, lambda c, b: c.decode(b or b""), pa.field("x", pa.string()), keep)
     return df.withColumnRenamed("__out", out)
 
 
