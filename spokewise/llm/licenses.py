@@ -7,7 +7,7 @@ the lines count, else the whole. A paragraph is normalised to lower-case words
 without punctuation, digits as 0, and described by the 1- to 3-word runs it
 contains. A sparse
 multinomial logistic regression, fitted on the notices of
-``license_templates`` with words left out and background text around them,
+``license_templates`` with words left out and on lines without evidence,
 gives the probability of every licence family and of the class "unknown"
 (sentences about licences that name no family, and background lines). The
 probabilities are calibrated by a temperature on variants that the fit did
@@ -17,18 +17,18 @@ family is confirmed by comparison with its templates: at least ``CONFIRM``
 of the two-word runs of one of them must stand in the paragraph; otherwise
 the paragraph is "unknown".
 
-Only words that background text lacks (cue words) begin a look at a
+Only words of notices that few texts have (cue words) begin a look at a
 document: every run of the model contains one, so a document without any
 has no evidence and is skipped before its lines are taken apart (first by the
 letters of cue words, one pass over the text). Scoring is
 a join with the model (some thousand rows by construction, broadcast) and
 one aggregation of the few paragraphs with evidence.
 
-The background is the ``BACKGROUND`` different texts with the smallest
-hashes. The model does not depend on anything else of the corpus. Whether a
-word is common there is counted without lines that a template matches, and
-each different line counts in one text only: a notice that a large part of
-the corpus carries keeps its cue words.
+Whether a word of the notices is common is counted over all different texts,
+without lines that a template matches, and each different line counts in one
+text only: a notice that a large part of the corpus carries keeps its cue
+words. The model depends on nothing else of the corpus: lines without a cue
+word have no run of the model, so that all of them are the same example.
 
 Defined results: null and blank texts have no paragraphs; a document
 without evidence has family "none" and an empty list; ties between
@@ -50,11 +50,12 @@ from pyspark.sql import functions as F
 from spokewise.llm.common import let, written
 from spokewise.llm.license_templates import TEMPLATES, UNKNOWN
 
-BACKGROUND = 300       # texts of the corpus for the unknown class and the cue words
+FEWEST = 300           # a corpus of fewer different texts is taken to have so many
+PLAIN = 600            # weight of lines without a cue word in the unknown class
 VARIANTS = 12          # of each template; every fourth is kept for calibration
 FALSE_SHARE = 0.01
 CONFIRM = 0.6
-COMMON = 0.1           # share of the background texts from which on a word is no cue
+COMMON = 0.1           # share of the different texts from which on a word is no cue
 RUN = 3                # words of the longest run
 WRAP = 100             # characters of a line that may go on in the next one
 WHOLE = -1             # line number of all lines of a paragraph together
@@ -98,54 +99,73 @@ def _notices(spark: SparkSession) -> DataFrame:
     return df.withColumn("words", F.split(normalised(F.col("text")), " "))
 
 
-def _examples(notices: DataFrame, background: DataFrame, cues: Column) -> DataFrame:
-    """(family, variant, words): notices with words left out, every second one inside a background line; and
-    background lines as unknown. Only background lines without a cue word are taken: others may be notices."""
-    line = background.select(F.explode(F.split("text", "\n")).alias("line"))
-    line = line.select(F.slice(F.split(normalised(F.col("line")), " "), 1, 30).alias("around")).where(
-        (F.size("around") > 3) & ~F.arrays_overlap("around", cues)).distinct().orderBy(F.xxhash64("around")).limit(600)
-    numbered = line.select("around", F.row_number().over(
-        Window.orderBy(F.xxhash64("around"))).alias("k"))  # 600 rows at most
+def _examples(notices: DataFrame) -> DataFrame:
+    """(family, variant, words): notices with words left out, and lines without a cue word as unknown. The latter
+    have no run of the model whatever they say, so that all of the corpus are one example, repeated ``PLAIN`` times."""
     variant = notices.withColumn("variant", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))))
-    # the plain notice, then one word in eight left out; every second variant stands inside other text
+    # the plain notice, then one word in eight left out
     less = F.filter("words", lambda w, i: (F.col("variant") < 2)
                     | (F.pmod(F.xxhash64(w, i, F.col("variant")), F.lit(8)) > 0))
-    variant = variant.withColumn("k", 1 + F.pmod(F.xxhash64("family", "n", "variant"), F.lit(300)))
-    mixed = variant.withColumn("less", less).join(numbered.withColumnRenamed("around", "a"), "k", "left")
-    words = F.when((F.col("variant") % 2 == 1) & F.col("a").isNotNull(), F.concat("a", "less")).otherwise(F.col("less"))
-    alone = numbered.select(F.lit(_UNKNOWN).alias("family"), F.pmod(F.col("k"), F.lit(VARIANTS)).cast("int").alias(
-        "variant"), F.col("around").alias("words"))
-    return mixed.select("family", "variant", words.alias("words")).unionByName(alone)
-
-
-def _common(background: DataFrame, notices: DataFrame) -> DataFrame:
-    """(word) of the words in many background texts; lines like a template and repeated lines don't count."""
-    lines = background.select(F.xxhash64("text").alias("t"), F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.select("t", normalised(F.col("line")).alias("line")).groupBy("line").agg(F.min("t").alias("t"))
-    lines = lines.select("t", F.split("line", " ").alias("words"))
-    lines = lines.withColumn("pairs", let(F.col("words"), lambda w: runs(w, 2, 2)))
-    templates = notices.where(F.col("family") != _UNKNOWN).select(runs(F.col("words"), 2, 2).alias("tpairs"))
-    alike = F.size(F.array_intersect("tpairs", "pairs")) >= CONFIRM * F.size("tpairs")
-    lines = lines.join(F.broadcast(templates), alike, "left_anti")
-    each = lines.select("t", F.explode("words").alias("word")).distinct()
-    return each.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > COMMON * BACKGROUND)
+    plain = notices.sparkSession.range(PLAIN).select(
+        F.lit(_UNKNOWN).alias("family"), (F.col("id") % VARIANTS).cast("int").alias("variant"),
+        F.array().cast("array<string>").alias("words"))
+    return variant.select("family", "variant", less.alias("words")).unionByName(plain)
+
+
+def _alike(words: Column, templates: list[list[str]]) -> Column:
+    """Whether a line has ``CONFIRM`` of the two-word runs of a template."""
+    known = F.array(*map(F.lit, sorted({pair for t in templates for pair in t})))
+    listed = F.array(*[F.array(*map(F.lit, t)) for t in templates])
+    fewest = min(CONFIRM * len(t) for t in templates)
+    return let(F.array_intersect(runs(words, 2, 2), known), lambda pairs: F.when(
+        F.size(pairs) >= fewest, F.exists(listed, lambda t: F.size(F.array_intersect(t, pairs)) >= CONFIRM * F.size(t))
+    ).otherwise(False))
+
+
+def _anchors(templates: list[list[str]]) -> set[str]:
+    """Words (long ones, as few texts have them) of which every line like a template has one: without them, fewer
+    than ``CONFIRM`` of its runs are left."""
+    chosen: set[str] = set()
+    for t in templates:
+        words = sorted({w for pair in t for w in pair.split(" ")}, key=lambda w: (len(w), w), reverse=True)
+        while sum(not chosen & set(pair.split(" ")) for pair in t) >= CONFIRM * len(t):
+            chosen.add(next(w for w in words if w not in chosen))
+    return chosen
+
+
+def _common(docs: DataFrame, text: Column, listed: list[str], templates: list[list[str]]) -> set[str]:
+    """Those of the listed words that stand in many of all different texts; lines like a template and repeated
+    lines don't count. A line travels as its hash and a bit for each listed word."""
+    total = docs.select(F.xxhash64(text).alias("t")).agg(F.count_distinct("t")).first()[0]
+    lines = docs.select(F.xxhash64(text).alias("t"), F.explode(F.transform(
+        F.split(text, "\n"), lambda line: F.split(normalised(line), " "))).alias("words"))
+    some = F.arrays_overlap("words", F.array(*map(F.lit, sorted(_anchors(templates)))))
+    lines = lines.where(~F.when(some, _alike(F.col("words"), templates)).otherwise(False))
+    each = lines.select("t", F.xxhash64("words").alias("line"), F.explode("words").alias("word"))
+    bits = [f"bits{k}" for k in range(0, len(listed), 62)]
+    rows = ", ".join(f"('{w}', {', '.join(f'{1 << k % 62 if k // 62 == j else 0}L' for j in range(len(bits)))})"
+                     for k, w in enumerate(listed))
+    place = docs.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t(word, {', '.join(bits)})")
+    # a line counts in the text with the smallest hash
+    lines = each.join(F.broadcast(place), "word").groupBy("line").agg(
+        F.min("t").alias("t"), *[F.bit_or(b).alias(b) for b in bits])
+    texts = lines.groupBy("t").agg(*[F.bit_or(b).alias(b) for b in bits])
+    counts = texts.agg(*[F.sum(F.getbit(bits[k // 62], F.lit(k % 62)).cast("long")) for k in range(len(listed))]).first()
+    return {w for w, n in zip(listed, counts) if (n or 0) > COMMON * max(total, FEWEST)}
 
 
 def train(docs: DataFrame, text: str = "text") -> Model:
-    """Fit the classifier on the notices and a bounded background from ``docs``."""
+    """Fit the classifier on the notices; which of their words are cues is counted over all of ``docs``."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import CountVectorizerModel
 
     spark = docs.sparkSession
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    # different texts, found by their hashes: copies fold before the shuffle
-    chosen = docs.select(F.xxhash64(body).alias("h")).distinct().orderBy("h").limit(BACKGROUND)
-    background = written(docs.select(body.alias("text"), F.xxhash64(body).alias("h")).join(
-        F.broadcast(chosen), "h").groupBy("h").agg(F.min("text").alias("text")).select("text"), "licence-background")
     notices = _notices(spark)
-    common = _common(background, notices)
-    words = notices.select(F.explode("words").alias("word")).distinct().where("length(word) > 1")
-    cues = sorted(r.word for r in words.join(common, "word", "left_anti").collect())
+    rows = notices.select("family", "words", runs(F.col("words"), 2, 2).alias("pairs")).collect()   # fixed notices
+    words = sorted({w for r in rows for w in r.words if len(w) > 1})
+    common = _common(docs, F.coalesce(F.col(f"`{text}`"), F.lit("")), words,
+                     [r.pairs for r in rows if r.family != _UNKNOWN])
+    cues = [w for w in words if w not in common]
     if not cues:
         return Model(_literal(spark, [""], [[0.0]]), [], [_UNKNOWN], [0.0])
     listed = F.array(*map(F.lit, cues))
@@ -153,7 +173,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     vocabulary = sorted(r.run for r in known.where(F.arrays_overlap(F.split("run", " "), listed)).collect())
     classes = sorted([*TEMPLATES, _UNKNOWN])
     number = F.array_position(F.array(*map(F.lit, classes)), F.col("family")) - 1
-    rows = written(_examples(notices, background, listed).select(
+    rows = written(_examples(notices).select(
         number.cast("double").alias("label"), "variant", runs(F.col("words")).alias("runs")), "licence-examples")
     counts = CountVectorizerModel.from_vocabulary(vocabulary, "runs", "features")
     counts = counts.setBinary(True)

@@ -249,3 +249,21 @@ def test_licence_of_a_third_of_the_rows_is_found(spark):
         F.col("text")))
     got = licenses.families(hot, licenses.train(hot)).where(F.col("doc_id") % 3 == 0).select("families").collect()
     assert got and all("apache" in r.families for r in got)
+
+
+def test_licence_cue_words_are_counted_over_all_texts(spark):
+    """"granted" stands in the 300 texts with the smallest hashes alone, "warranty" in all others; the sample said
+    the opposite. Variants of a notice and copies of a line or text don't make a word common."""
+    name = F.translate(F.col("id").cast("string"), "0123456789", "bcdfghjklm")     # numbers are all the same word
+    texts = spark.range(6000).select(F.concat(F.lit("an apple granted to neighbour "), name).alias("text"))
+    texts = texts.orderBy(F.xxhash64("text")).limit(300)
+    top = texts.agg(F.max(F.xxhash64("text"))).first()[0]
+    more = spark.range(6000).select(F.concat(F.lit("an apple without warranty for neighbour "), name).alias("text"))
+    more = more.where(F.xxhash64("text") > top).limit(3600)
+    more = more.withColumn("text", F.concat("text", F.lit("\nredistribute it as you like")))
+    docs = texts.unionByName(more).unionByName(texts.limit(1)).unionByName(
+        spark.createDataFrame([(None,), ("",), ("permission\n" * 900,)], "text string"))
+    docs = docs.unionByName(spark.range(500).select(F.concat(F.lit("Released under the MIT License "), name).alias("text")))
+    cues = licenses.train(docs.withColumn("doc_id", F.monotonically_increasing_id())).cues
+    assert {"granted", "redistribute", "permission", "released", "mit"} <= set(cues)
+    assert not {"warranty", "without", "an"} & set(cues)
