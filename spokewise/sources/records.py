@@ -109,7 +109,7 @@ def numbered(lines: DataFrame, fmt: CsvFormat, write) -> DataFrame:
     """(file, block, pos, line, record, alone): number of the record in its file that each line belongs to.
 
     ``alone`` lines are known to be whole records. ``write`` cuts the plan
-    (a written table), as the numbered blocks are read twice.
+    (a written table), as the numbered lines are read several times.
     """
     starts = (F_, U_, Q_)
     block = Window.partitionBy("file", "block").orderBy("pos")
@@ -120,7 +120,11 @@ def numbered(lines: DataFrame, fmt: CsvFormat, write) -> DataFrame:
     header = first & (F.col("block") == 0) if fmt.skip_header else F.lit(False)
     df = lines.withColumn("_row", F.row_number().over(block))
     for s in starts:     # a header line ends itself, whatever it holds
-        df = df.withColumn(f"_e{s}", F.when(header, F.lit(F_)).otherwise(line_effect(F.col("line"), s, fmt)))
+        effect = line_effect(F.col("line"), s, fmt)
+        if s == U_ and fmt.quote is not None:     # as in F once there is text before the first quote
+            bare = (F.col("line") != "") & ~F.startswith("line", F.lit(fmt.quote))
+            effect = F.when(bare, F.col(f"_e{F_}")).otherwise(effect)
+        df = df.withColumn(f"_e{s}", F.when(header, F.lit(F_)).otherwise(effect))
     esc = (F.when(header, F.lit(False)).otherwise(_odd_tail(F.col("line"), fmt.escape_unenclosed))
            if fmt.escape_unenclosed else F.lit(False))
     df = df.withColumn("_esc", esc).withColumn("_was_esc", F.coalesce(F.lag("_esc").over(block), F.lit(False)))
@@ -143,11 +147,10 @@ def numbered(lines: DataFrame, fmt: CsvFormat, write) -> DataFrame:
     keep = [c[s] for c in (after, count, begins) for s in starts] + [f"_next{s}" for s in starts]
     df = write(df.select("file", "block", "pos", "line", "_esc", *keep))
 
-    # the blocks of a file, in order: state and record number that each starts with
-    ends = df.groupBy("file", "block").agg(F.max_by(F.struct("_esc", *keep), "pos").alias("e")).select(
-        "file", F.struct("block", *[
-            F.when(F.col(f"e.{after[s]}"), F.lit(Q_)).when(F.col("e._esc"), F.lit(U_)).otherwise(F.lit(F_)).alias(f"end{s}")
-            for s in starts], *[F.col(f"e.{count[s]}").alias(f"n{s}") for s in starts]).alias("b"))
+    # the blocks of a file, in order: state and record number that each starts with, told by its last line
+    ends = df.where(F.col(f"_next{F_}").isNull()).select("file", F.struct("block", *[
+        F.when(F.col(after[s]), F.lit(Q_)).when(F.col("_esc"), F.lit(U_)).otherwise(F.lit(F_)).alias(f"end{s}")
+        for s in starts], *[F.col(count[s]).alias(f"n{s}") for s in starts]).alias("b"))
 
     def of(state: Column, b: Column, field: str) -> Column:
         return F.when(state == F_, b[f"{field}{F_}"]).when(state == U_, b[f"{field}{U_}"]).otherwise(b[f"{field}{Q_}"])
@@ -231,11 +234,16 @@ def _fields(pieces: Column, fmt: CsvFormat) -> Column:
         if escape:
             special = "".join("\\" + c if not c.isalnum() and not c.isspace() else c
                               for c in dict.fromkeys(fmt.delimiter + "\n" + escape + (quote or "")))
-            open_text = F.regexp_replace(plain, "\\Q" + escape + "\\E([" + special + "])", "$1")
+            open_text = F.when(F.contains(plain, F.lit(escape)), F.regexp_replace(
+                plain, "\\Q" + escape + "\\E([" + special + "])", "$1")).otherwise(plain)
         if not quote:
             return F.nullif(open_text, F.lit(""))
         enclosed = F.startswith(plain, F.lit(quote)) & F.endswith(plain, F.lit(quote)) & (F.length(plain) >= 2)
         inner = F.replace(F.substring(plain, F.lit(2), F.length(plain) - 2), F.lit(quote * 2), F.lit(quote))
         return F.nullif(F.when(enclosed, inner).otherwise(open_text), F.lit(""))
 
-    return let(found, lambda ends: F.transform(ends, lambda end, k: field(ends, end, k)))
+    whole = let(found, lambda ends: F.transform(ends, lambda end, k: field(ends, end, k)))
+    # most records have no delimiter inside a field: no piece goes on, so each is a field
+    goes_on = F.exists(pieces, lambda piece: let(seen(piece, F.lit(0)), lambda p: F.when(p["opens"], p["odd"]).otherwise(p["esc"])))
+    return F.when(goes_on, whole).otherwise(F.transform(
+        pieces, lambda piece: let(F.trim(piece) if fmt.trim_space else piece, value)))

@@ -153,3 +153,16 @@ def test_plain_files_are_not_shuffled(spark, workdir):
     write(stage, "a.csv", '1,"x",5\n2,b"c,6\n')
     parsed = loader.parse_csv(spark, [f"file:{stage}/a.csv"], SCHEMA, QUOTES)
     assert "Exchange" not in parsed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_blocks_are_chained_without_sorting_their_lines(spark, workdir):
+    stage = f"{workdir}/chained"
+    write(stage, "a.csv", '1,"x\ny",5\n2,a\\,b,6\n')
+    fmt = CsvFormat(record_delimiter="\n", quote='"', escape_unenclosed="\\")
+    lines = records.read_lines(spark, [stage], fmt)
+
+    def table(df):
+        df.write.parquet(f"{workdir}/chained-lines")
+        return spark.read.schema(df.schema).parquet(f"{workdir}/chained-lines")
+    plan = records.numbered(lines, fmt, table)._jdf.queryExecution().executedPlan().toString()
+    assert "max_by" not in plan and "SortAggregate" not in plan
