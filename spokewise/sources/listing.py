@@ -21,7 +21,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "path string, name string, size bigint, last_modified timestamp_ntz"
 ROWS = 10_000   # files of a batch of rows
-TASKS = 1000    # tasks of a listing; more folders than that share them
+TASKS = 1000    # tasks of a listing, at most
+FEW, FOLDERS = 32, 16   # so many folders have a task each; of more, a task takes several: starting it takes longer
 
 
 def open_store(root: str):
@@ -55,7 +56,7 @@ class StageReader(DataSourceReader):
         store, base = open_store(self.root)
         found = store.get_file_info(fs.FileSelector(base, allow_not_found=True))
         folders = sorted(f.path for f in found if f.type == fs.FileType.Directory and not hidden(f.base_name))
-        n = min(TASKS, len(folders))
+        n = min(len(folders), max(FEW, min(TASKS, -(-len(folders) // FOLDERS))))
         return [Prefixes([base], False), *[Prefixes(folders[k::n], True) for k in range(n)]]
 
     def read(self, partition: Prefixes) -> Iterator:

@@ -120,3 +120,11 @@ def test_pipe_files_without_rows_are_not_pending(spark, workdir):
     assert run() == 1 and run() == 0
     led = {os.path.basename(r["_file"]): r.row_parsed for r in ingest.read_pipe_ledger(spark, raw).collect()}
     assert led == {"a.csv": 1, "header only.csv": 0, "empty.csv": 0, "b.csv": 1, "later.csv": 0}
+
+
+def test_many_folders_share_tasks(spark, workdir):
+    files = {f"day={k:03d}/f.csv": "x" * k for k in range(100)}
+    stage_of(f"{workdir}/stage", files)
+    df = list_stage(spark, f"{workdir}/stage")
+    assert df.rdd.getNumPartitions() <= 33
+    assert sorted((r.name, r.size) for r in df.collect()) == [(f"day={k:03d}/f.csv", k) for k in range(100)]
