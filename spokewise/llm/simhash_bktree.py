@@ -185,9 +185,14 @@ def hex_fingerprint(fp: str = "fp") -> Column:
 
 def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 3,
                radius: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose id is its component's id (one document of each group; of repeated
-    rows with that id, one). Rows with a null id are kept: they cannot be told apart."""
-    comp = components(docs, text, doc_id, shingle, radius)
-    first = comp.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    ided = docs.join(first, F.col(f"`{doc_id}`") == F.col("__keep"), "left_semi").dropDuplicates([doc_id])
-    return ided.unionByName(docs.where(F.col(f"`{doc_id}`").isNull()))
+    """One row of ``docs`` of each group: with the smallest id, of several texts with that id the one with the least hash, of
+    repeated rows one. Rows with a null id are kept: they cannot be told apart."""
+    no_id = F.col(f"`{doc_id}`").isNull()
+    # the id alone does not tell rows apart: another text with it may be in another group
+    keyed = docs.withColumn("__key", F.struct(F.col(f"`{doc_id}`").alias("id"), F.xxhash64(F.coalesce(
+        F.col(f"`{text}`"), F.lit(""))).alias("hash")))
+    rows = keyed.where(~no_id)
+    first = components(rows, text, "__key", shingle, radius).where("doc_id = component_id").select(
+        F.col("doc_id").alias("__keep")).distinct()
+    ided = rows.join(first, F.col("__key") == F.col("__keep"), "left_semi").dropDuplicates(["__key"])
+    return ided.unionByName(keyed.where(no_id)).drop("__key")

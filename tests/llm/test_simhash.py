@@ -109,3 +109,14 @@ def test_keep_first_and_empty_table(spark):
     ids = [r.doc_id for r in kept.collect()]
     assert 1 in ids and 2 not in ids and ids.count(9) == 1 and ids.count(None) == 2
     assert sb.components(edge_docs(spark, [])).collect() == []
+
+
+def test_keep_first_tells_texts_with_one_id_apart(spark):
+    """Two different texts with an id are two documents; a copy of another document goes, whatever text its id also has."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(1, a), (5, b), (5, c), (7, a), (7, c + " tail"), (7, "wholly different words stand here"), (7, a)]
+    want = [(1, a), (5, b), (5, c), (7, c + " tail"), (7, "wholly different words stand here")]
+    if bin(sb.fingerprint(c) ^ sb.fingerprint(c + " tail")).count("1") <= 2:
+        want.remove((7, c + " tail"))
+    for data in (rows, rows[::-1]):
+        assert sorted((r.doc_id, r.text) for r in sb.keep_first(edge_docs(spark, data)).collect()) == sorted(want)
